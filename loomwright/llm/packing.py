@@ -4,8 +4,7 @@ Documents are tokenized once and cut every ``length`` ids; what is left of a doc
 too. Full pieces are sequences of their own. The histogram of the other lengths (at most ``length`` - 1
 rows, whatever the corpus) goes to the driver, which places lengths longest first: each goes onto the
 pattern with the least content so far that still has room (the shortest pack), and pattern counts are
-split as lengths run out. Lengths that fit nowhere open new patterns. ``fill`` then cuts pieces freely, so
-that the sequences are full but for the last.
+split as lengths run out. Lengths that fit nowhere open new patterns.
 
 The patterns become ranges of ranks: the r-th piece of a length belongs to a known sequence and offset.
 Pieces are ranked within their length by hash buckets, so that a hot length is never ranked by one task,

@@ -10,6 +10,22 @@ from . import common
 from .common import table
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Format all conversations, and one whose texts hold control strings; digests of what reads back."""
+    from .chat import digest, format_conversations
+
+    hard = spark.sql(r"""SELECT CAST(-7 AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, role, r'\### Assistant: </turn> ok' AS text
+                         FROM VALUES (0, 'user'), (1, 'assistant') AS t(turn, role)""")
+    return digest(format_conversations(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(hard)))
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judge every page's URL."""
+    from .url_filter import RULES, judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages"), RULES)
+
+
 def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode all documents, write bit-packed token files, and read every document back from them."""
     from .token_file import read_tokens, write_tokens
@@ -31,9 +47,25 @@ def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), common.tokenizer_path(), limit=512)
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Put all documents into 16 shards, equal texts together."""
+    from .sharding import shard_documents
+
+    return shard_documents(table(spark, sf_dir, "documents"), shards=16)
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Find benchmark passages in all documents."""
+    from .decontaminate import digest, find_items
+
+    return digest(find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import chat, url_filter
+
+    return {"op2_chat_format": chat.SQL, "op3_url_filter": url_filter.SQL}
