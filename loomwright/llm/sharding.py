@@ -47,9 +47,10 @@ def propagate(members: DataFrame, n: int, shards: int, rounds: int) -> DataFrame
         # A shard at its quota is no aim, but for those that are there.
         aims = votes.withColumnRenamed("shard", "aim")
         neighbours = here.join(aims, "group").where((F.col("aim") == F.col("shard")) | (_literal(room, F.col("aim")) > 0))
-        scored = neighbours.groupBy("row", "shard", "aim").agg(F.sum("votes").alias("votes"))
-        best = scored.groupBy("row", "shard").agg(F.max(F.struct("votes", (F.col("aim") == F.col("shard")).alias("stays"), (-F.col("aim")).alias("aim"))).alias("best"))
-        wants = written(best.select("row", "shard", (-F.col("best.aim")).cast("int").alias("aim")), "wants")
+        # Ties are settled by a hash that the members of a group share, so that they agree on one aim.
+        scored = neighbours.groupBy("row", "shard", "aim").agg(F.sum("votes").alias("votes"), F.max(F.xxhash64("group", "aim")).alias("tie"))
+        best = scored.groupBy("row", "shard").agg(F.max(F.struct("votes", "tie", "aim")).alias("best"))
+        wants = written(best.select("row", "shard", F.col("best.aim").alias("aim")), "wants")
         movers = wants.where("aim <> shard")
         n_movers = movers.count()
         if not n_movers:
