@@ -61,6 +61,14 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document by compression distance."""
+    from .toxicity import fit_on, score
+
+    documents = table(spark, sf_dir, "documents")
+    return score(documents, fit_on(documents, table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)}
 
