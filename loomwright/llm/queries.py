@@ -10,6 +10,13 @@ from . import common
 from .common import table
 
 
+def op1_jpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store all documents as baseline JPEGs and describe what is read back from them."""
+    from .media import describe, store
+
+    return describe(store(table(spark, sf_dir, "documents")))
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format all conversations, and one whose texts hold control strings; digests of what reads back."""
     from .chat import digest, format_conversations
@@ -61,6 +68,13 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 5-word shingle sets have a similarity of 0.8 or more."""
+    from .ngram_join import components
+
+    return components(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score every document by compression distance."""
     from .toxicity import fit_on, score
