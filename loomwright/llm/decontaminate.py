@@ -97,16 +97,12 @@ RESULT = "doc_id long, n_words long, n_hit long, items array<string>, spans arra
 
 def find_items(df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row for each document: words, words hit, ids of occurring items in string order, hit spans."""
-    spark = df.sparkSession
-    ship_package(spark)
-    items = benchmark.select(F.col(item_column).cast("string").alias("i"), F.col(item_text).alias("t"))
-    total = items.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
-    blocks = -(-total // BLOCK_BYTES) or 1
+    ship_package(df.sparkSession)
     out = df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    for block in range(blocks):
-        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == block)
-        known = spark.sparkContext.broadcast([(r["i"], r["t"]) for r in part.collect()])
-        out = _one_block(out, known, (uuid.uuid4().hex, block), block == 0, block == blocks - 1)
+    first = True
+    for key, known, last in blocks_of(benchmark, item_column, item_text):
+        out = _one_block(out, known, key, first, last)
+        first = False
     return out
 
 
@@ -148,10 +144,34 @@ def digest(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
-def clean(df: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents (all their columns) that no window of an item occurs in."""
-    hits = find_items(df.select("doc_id", "text"), benchmark).where("n_hit > 0").select("doc_id").distinct()
-    return df.join(hits, "doc_id", "left_anti")
+def blocks_of(benchmark: DataFrame, item_column: str = "item_id", item_text: str = "text"):
+    """Broadcast blocks of the items, one after the other, with a key for each."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col(item_column).cast("string").alias("i"), F.col(item_text).alias("t"))
+    total = items.agg(F.sum(F.coalesce(F.octet_length("t"), F.lit(0)) + 16)).first()[0] or 0
+    blocks = -(-total // BLOCK_BYTES) or 1
+    for block in range(blocks):
+        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == block)
+        yield (uuid.uuid4().hex, block), spark.sparkContext.broadcast([(r["i"], r["t"]) for r in part.collect()]), block == blocks - 1
+
+
+def clean(df: DataFrame, benchmark: DataFrame, text_column: str = "text") -> DataFrame:
+    """The documents (all their columns) in which no window of an item occurs; no shuffle."""
+    ship_package(df.sparkSession)
+    place = df.columns.index(text_column)
+
+    def without(key, known):
+        def run(batches):
+            found, _ = _built(key, known.value)
+            for batch in steps(batches):
+                keep = [not scan(found, t)[1].any() for t in batch.column(place).to_pylist()]
+                yield batch.filter(pa.array(keep, pa.bool_()))
+
+        return run
+
+    for key, known, _ in blocks_of(benchmark):
+        df = df.mapInArrow(without(key, known), df.schema)
+    return df
 
 
 def sha256_of(items: list[str]) -> str:

@@ -427,3 +427,12 @@ def _large(sets: DataFrame, links: DataFrame, bins: int) -> DataFrame:
     sent = marked.where("label <> main").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     both = marked.where("label = main").unionByName(sent.select(*marked.columns))
     return written(links.unionByName(_verified(both, ["component", "chunk"], bins)), "links")
+
+
+def keep_one(df: DataFrame) -> DataFrame:
+    """Of each component the document with the smallest doc_id, all its columns. Repeated rows of one id
+    and text are one document."""
+    found = components(df.select("doc_id", "text"))
+    others = found.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = df.join(others, "doc_id", "left_anti")
+    return kept.withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).select(*df.columns)

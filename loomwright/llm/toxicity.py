@@ -212,3 +212,17 @@ def score(df: DataFrame, model: Model, id_column: str = "doc_id", text_column: s
 
     rows = df.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(held_out(F.col(id_column)), F.lit(False)).alias("held_out"), F.col(text_column).alias("text"))
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def keep_ordinary(df: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
+    """The documents (all their columns) that are not predicted to be toxic; no shuffle."""
+    ship_package(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    place = df.columns.index(text_column)
+
+    def run(batches):
+        model = shared.value
+        for batch in steps(batches):
+            yield batch.filter(pa.array([model.score(t) < 0.5 for t in batch.column(place).to_pylist()], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
