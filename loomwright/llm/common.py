@@ -49,7 +49,7 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def salted_rank(df: DataFrame, keys: list[str], order: list[str], n_rows: int, name: str = "rank", per_group: int = 20_000) -> DataFrame:
+def salted_rank(df: DataFrame, keys: list[str], order: list[str], n_rows: int, name: str = "rank", per_group: int = 5_000) -> DataFrame:
     """``df`` with a gapless rank from 0 within ``keys``, in plain DataFrame functions.
 
     A hot key may hold most rows, so no task ranks a key as a whole: the rows of a key are dealt
@@ -60,7 +60,7 @@ def salted_rank(df: DataFrame, keys: list[str], order: list[str], n_rows: int, n
     from pyspark.sql import Window
     from pyspark.sql import functions as F
 
-    n = max(8, -(-n_rows // per_group))
+    n = min(4096, max(32, -(-n_rows // per_group)))
     dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(n)).cast("int"))
     sizes = dealt.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
