@@ -1 +1,8 @@
-"""Part of the loomwright engine; see the package docstring."""
+"""Queries over the supplied tables; importing this package fills the registry."""
+
+from importlib import import_module
+
+from .registry import QUERIES, SQL  # noqa: F401
+
+for _name in ("text_queries", "window_queries"):
+    import_module(f"{__name__}.{_name}")
