@@ -11,7 +11,7 @@ Sets of similarity 0.8 share at least k of the first n - ceil(0.8 n) + k shingle
 The boundary is where enumerating gets dearer than scanning, by the sizes' histogram and the measured length
 of lists. A set of under 4 shingles equals only equal sets.
 
-Steps: (1) sizes and signatures of all documents, and shingles that several documents of a chunk share;
+Steps: (1) sizes and signatures of all documents, and numbers of sets that hold a shingle;
 (2) postings, packed by bucket of their key; (3) in each bucket, neighbours in a list (by size, as far as
 sizes allow similarity) are linked: these candidate links, one for each posting at most, connect all pairs
 that can be similar; (4) their components; (5) the sets of each component meet once and overlaps are counted
@@ -39,9 +39,11 @@ from .common import ship_package, steps, written
 
 WORDS = 5
 NUM, DEN = 80, 100
-#: Shingles in a chunk of step 1, in one task of step 5, and in a bucket's postings; frequent shingles
-#: that are broadcast at most (16 bytes each); bits of the filter of step 5 (16 MB, whatever the corpus).
-CHUNK, AT_ONCE, POSTINGS, FREQUENT, FILTER_BITS = 4_000_000, 4_000_000, 1_500_000, 400_000, 27
+#: Shingles in a chunk of step 1, in one task of step 5, and in a bucket's postings.
+CHUNK, AT_ONCE, POSTINGS = 4_000_000, 4_000_000, 1_500_000
+#: A shingle of so many sets may rank as frequent; frequent shingles that are broadcast at most (16 bytes
+#: each, and a mask of 16 MB); bits of the filter of step 5 (16 MB, whatever the corpus).
+SHARED, FREQUENT, FILTER_BITS = 4, 1_000_000, 27
 _TABLE = np.arange(256, dtype=np.uint8)
 _TABLE[65:91] += 32
 _SPACE = np.zeros(256, bool)
@@ -105,65 +107,84 @@ def need(n):
     return -(-NUM * n // DEN)
 
 
-def _documents(df: DataFrame) -> DataFrame:
-    """Step 1. kind 0: a document (a: id, n: size of its set, s: its set); kind 1: a shingle (a) that n
-    sets of a chunk share."""
+def _documents(df: DataFrame, groups: int) -> DataFrame:
+    """Step 1. kind 0: a document (a: id, n: size of its set, s: its set); kind 1: a block of shingles for
+    counting (a: their group), 32 bits of each. Counted are the shingles in the first half of each set by
+    hash; the others hardly get into a prefix and rank as rare."""
 
-    def shared(parts):
-        t = np.sort(np.concatenate(parts))
-        edge = np.concatenate([[0], np.flatnonzero(t[1:] != t[:-1]) + 1, [len(t)]])
-        n = np.diff(edge)
-        k = n > 1
-        return _batch(1, t[edge[:-1]][k].view(np.int64), n[k], np.zeros(int(k.sum()), np.int64))
+    def block(parts):
+        t = np.concatenate(parts)
+        group = (t % np.uint64(groups)).astype(np.int64)
+        by = np.argsort(group, kind="stable")
+        high, edge = (t[by] >> np.uint64(32)).astype(np.uint32), np.concatenate([[0], np.cumsum(np.bincount(group, minlength=groups))])
+        used = np.flatnonzero(np.diff(edge))
+        zero = np.zeros(len(used), np.int64)
+        return _batch(1, used, zero, zero, [high[edge[g] : edge[g + 1]].tobytes() for g in used])
 
     def run(batches):
         parts, held, seen = [], 0, set()
         for batch in steps(batches, size=2_000_000):
             sets = shingle_sets(batch.column(1).to_pylist())
             sigs = [signature(s) for s in sets]
-            ids = batch.column(0)
-            yield _batch(0, ids, np.array([len(s) for s in sets]), np.array(sigs, np.int64))
+            yield _batch(0, batch.column(0), np.array([len(s) for s in sets]), np.array(sigs, np.int64), [None] * len(sets))
             for s, g in zip(sets, sigs):
-                if g not in seen and len(s):
+                if g not in seen and len(s) >= 4:
                     seen.add(g)
-                    parts.append(s)
-                    held += len(s)
-            if held >= CHUNK:
-                yield shared(parts)
+                    parts.append(s[: (len(s) + 1) // 2])
+                    held += len(parts[-1])
+            if held >= CHUNK // 2:
+                yield block(parts)
                 parts, held, seen = [], 0, set()
         if parts:
-            yield shared(parts)
+            yield block(parts)
+
+    return df.mapInArrow(run, "kind int, a long, n int, s long, tokens binary")
+
 
-    return df.mapInArrow(run, "kind int, a long, n int, s long")
+def _batch(kind, a, n, s, tokens) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int32)), a if isinstance(a, pa.Array) else pa.array(a), pa.array(np.asarray(n, np.int32)), pa.array(s), pa.array(tokens, pa.binary())], ["kind", "a", "n", "s", "tokens"])
 
 
-def _batch(kind, a, n, s) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int32)), a if isinstance(a, pa.Array) else pa.array(a), pa.array(np.asarray(n, np.int32)), pa.array(s)], ["kind", "a", "n", "s"])
+def _counts(seen: DataFrame) -> DataFrame:
+    """Shingles (by group and 32 bits) that at least ``SHARED`` sets hold, with their number."""
+
+    def run(pdf):
+        import pandas as pd
+
+        t = np.sort(np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["tokens"]]))
+        edge = np.concatenate([[0], np.flatnonzero(t[1:] != t[:-1]) + 1, [len(t)]])
+        n = np.diff(edge)
+        k = np.flatnonzero(n >= SHARED)
+        return pd.DataFrame({"key": (np.int64(pdf["a"].iloc[0]) << 32) | t[edge[k]].astype(np.int64), "n": n[k]})
+
+    return seen.where("kind = 1").select("a", "tokens").groupBy("a").applyInPandas(run, "key long, n long")
 
 
 class Order:
-    """The global order of shingles: frequent ones last."""
+    """The global order of shingles: frequent ones last, by their number."""
 
-    def __init__(self, tokens: np.ndarray, counts: np.ndarray) -> None:
-        by = np.argsort(tokens)
-        self.tokens, counts = tokens[by], counts[by]
-        self.rank = np.empty(len(tokens), np.int64)
-        self.rank[np.lexsort((self.tokens, counts))] = np.arange(len(tokens))
-        self.maybe = np.zeros(1 << 22, bool)
-        self.maybe[(self.tokens >> np.uint64(42)).astype(np.int64)] = True
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, groups: int) -> None:
+        by = np.argsort(keys)
+        self.keys, counts, self.groups = keys[by].astype(np.uint64), counts[by], np.uint64(groups)
+        self.rank = np.empty(len(keys), np.int64)
+        self.rank[np.lexsort((self.keys, counts))] = np.arange(len(keys))
+        # A shingle whose 24 bits are not here is rare.
+        self.maybe = np.zeros(1 << 24, bool)
+        self.maybe[(self.keys & np.uint64(0xFFFFFF)).astype(np.int64)] = True
 
     def prefix(self, s: np.ndarray, n: int) -> np.ndarray:
         """The first n of a set (sorted by hash) in the global order."""
-        look = np.flatnonzero(self.maybe[(s >> np.uint64(42)).astype(np.int64)])
+        look = np.flatnonzero(self.maybe[((s >> np.uint64(32)) & np.uint64(0xFFFFFF)).astype(np.int64)])
         if not len(look):
             return s[:n]
-        at = np.minimum(np.searchsorted(self.tokens, s[look]), len(self.tokens) - 1)
-        hit = self.tokens[at] == s[look]
+        key = (s[look] % self.groups) << np.uint64(32) | s[look] >> np.uint64(32)
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        hit = self.keys[at] == key
         look, at = look[hit], at[hit]
         rare = np.delete(s, look)
         if len(rare) >= n:
             return rare[:n]
-        return np.concatenate([rare, s[look][np.argsort(self.rank[at])][: n - len(rare)]])
+        return np.concatenate([rare, s[look][np.lexsort((s[look], self.rank[at]))][: n - len(rare)]])
 
 
 def postings(s: np.ndarray, order: Order, boundary: int) -> np.ndarray:
@@ -369,26 +390,26 @@ def components(df: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     spark = df.sparkSession
     ship_package(spark)
     docs = df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    seen = written(_documents(docs), "sets")
+    groups = 4 * max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    seen = written(_documents(docs, groups), "sets")
     rows = seen.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("n"), F.col("s").alias("node"))
 
     # Frequent shingles: as many of the most frequent ones as may be broadcast.
-    counts = seen.where("kind = 1").groupBy("a").agg(F.sum("n").alias("n"))
-    counts = written(counts, "counts")
+    counts = written(_counts(seen), "counts")
     step = F.floor(F.log2("n") * 4).cast("int")
     histogram = sorted(((r["k"], r["c"], r["q"]) for r in counts.groupBy(step.alias("k")).agg(F.count("*").alias("c"), F.sum(F.col("n") * F.col("n")).alias("q")).collect()), reverse=True)
     held, floor = 0, 10**6
     for k, c, _ in histogram:
-        if held + c > FREQUENT or k < 8:  # 8: shared by 4 sets
+        if held + c > FREQUENT:
             break
         held, floor = held + c, k
     top = counts.where(step >= floor).toPandas()
-    order = spark.sparkContext.broadcast(Order(top["a"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)))
+    order = spark.sparkContext.broadcast(Order(top["key"].to_numpy(np.int64), top["n"].to_numpy(np.int64), groups))
 
     # The boundary between small and large sets, and the number of buckets.
     sizes = {r["n"]: r["c"] for r in rows.groupBy(F.least("n", F.lit(65)).alias("n")).agg(F.count("*").alias("c")).collect()}
     total = rows.agg(F.sum("n")).first()[0] or 0
-    partners = sum(q for k, _, q in histogram if k < floor) / max(1, total)
+    partners = sum(q for k, _, q in histogram if k < floor) / max(1, total) + 0.05  # and pairs that share less
     boundary = choose_boundary(sizes, partners)
     buckets = max(12, -(-total * 22 // 100 // POSTINGS))
 
@@ -429,10 +450,30 @@ def _large(sets: DataFrame, links: DataFrame, bins: int) -> DataFrame:
     return written(links.unionByName(_verified(both, ["component", "chunk"], bins)), "links")
 
 
+def _by_filter(df: DataFrame, bits, inside: bool) -> DataFrame:
+    """Rows whose doc_id the filter holds (or does not; null ids never are in it)."""
+    place = df.columns.index("doc_id")
+
+    def run(batches):
+        known = bits.value
+        for batch in batches:
+            ids = batch.column(place)
+            slot = ids.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False) % (1 << FILTER_BITS)
+            hit = (known[slot >> 3] >> (slot & 7) & 1).astype(bool) & ids.is_valid().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(hit if inside else ~hit))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def keep_one(df: DataFrame) -> DataFrame:
     """Of each component the document with the smallest doc_id, all its columns. Repeated rows of one id
-    and text are one document."""
-    found = components(df.select("doc_id", "text"))
+    and text are one document.
+
+    Only rows that may have to go are shuffled: a filter of fixed size lets all others pass as they are."""
+    spark = df.sparkSession
+    found = written(components(df.select("doc_id", "text")), "components")
     others = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = df.join(others, "doc_id", "left_anti")
-    return kept.withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).select(*df.columns)
+    repeated = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    bits = spark.sparkContext.broadcast(_needed(others.unionByName(repeated).where("doc_id is not null").select(F.col("doc_id").alias("node"))))
+    doubtful = _by_filter(df, bits, True).join(others, "doc_id", "left_anti").withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"])
+    return _by_filter(df, bits, False).unionByName(doubtful.select(*df.columns))
