@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 #: White space spelled out, as Java's \s misses U+3000 (fixed values).
 WHITE = " \\t\\n\\x0b\\f\\r\\x{85}\\x{a0}\\x{3000}"
@@ -41,12 +43,22 @@ def seconds_of(c: Column) -> Column:
     return F.when(c.rlike("^[0-9]{1,3}:[0-9]{2}:[0-9]{2}$"), n(1) * 3600 + n(2) * 60 + n(3)).when(c.rlike("^[0-9]{1,3}:[0-9]{2}$"), n(1) * 60 + n(2))
 
 
-def bigrams(c: Column) -> Column:
+@F.pandas_udf(ArrayType(StringType()))
+def bigrams(texts: pd.Series) -> pd.Series:
     """Search tokens: white space goes, every adjacent pair of characters is a token, and every ideograph
-    from U+4E00 to U+9FFF by itself."""
+    from U+4E00 to U+9FFF by itself. (Higher-order functions over the characters took 20 times as long.)"""
+
+    def tokens(s: str | None) -> list[str]:
+        s = "".join((s or "").split())
+        return [a + b for a, b in zip(s, s[1:])] + [x for x in s if "\u4e00" <= x <= "\u9fff"]
+
+    return texts.map(tokens)
+
+
+def n_bigrams(c: Column) -> Column:
+    """``size(bigrams(c))`` without the tokens."""
     s = strip_white(c)
-    pairs = F.when(F.length(s) >= 2, F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda i: F.substring(s, i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
-    return F.concat(pairs, F.regexp_extract_all(s, F.lit("([\\x{4e00}-\\x{9fff}])"), F.lit(1)))
+    return F.greatest(F.length(s) - 1, F.lit(0)) + F.length(s) - F.length(F.regexp_replace(s, "[\\x{4e00}-\\x{9fff}]+", ""))
 
 
 def any_of(c: Column, terms: list[str]) -> Column:
