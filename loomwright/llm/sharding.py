@@ -4,7 +4,7 @@ Documents that share a group are linked. Every document starts in a shard by its
 round, groups count their members by shard (a pre-aggregated table of at most ``shards`` rows for each
 group), every document adds up its groups' counts and wants the shard with most of its neighbours among
 its own and those with room, and a shard takes in movers up to its quota less the linked documents it holds.
-Rounds end when none moves. Documents without links then fill what the quotas leave, so the shards' row
+Rounds end when none moves (a group over a quota fills one shard a round). Documents without links then fill what the quotas leave, so the shards' row
 counts differ by one at most (law ``rows``).
 
 No group is collected: counts are partial aggregates, joins are equi-joins that AQE may split, ranks are
@@ -63,7 +63,7 @@ def propagate(members: DataFrame, n: int, shards: int, rounds: int) -> DataFrame
     return state
 
 
-def shard_documents(df: DataFrame, shards: int = 16, rounds: int = 8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def shard_documents(df: DataFrame, shards: int = 16, rounds: int = 32, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row for each document: its size, shard and slot; documents of equal text are linked."""
     text = F.coalesce(F.col(text_column), F.lit(""))
     base = df.select(F.col(id_column).cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.xxhash64(text).alias("_h"))
