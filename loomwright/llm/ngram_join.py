@@ -14,7 +14,8 @@ of lists. A set of under 4 shingles equals only equal sets.
 Steps: (1) sizes and signatures of all documents, and numbers of sets that hold a shingle;
 (2) postings, packed by bucket of their key; (3) in each bucket, neighbours in a list (by size, as far as
 sizes allow similarity) are linked: these candidate links, one for each posting at most, connect all pairs
-that can be similar; (4) their components; (5) the sets of each component meet once and overlaps are counted
+that can be similar; (4) their components, refined: the heads of a component's sets (prefixes for a larger k) meet, and
+pairs that share fewer than k shingles there part; (5) the sets of each refined component meet once and overlaps are counted
 exactly, unless the two are connected already. A component of over ``AT_ONCE`` shingles is dealt into chunks:
 first each chunk by itself, then some members of large clusters of all chunks, then every chunk against all
 sets outside the component's largest cluster. That leaves out only pairs that are connected already, so no
@@ -107,6 +108,12 @@ def need(n):
     return -(-NUM * n // DEN)
 
 
+def head_need(n):
+    """Shingles that the heads of two similar sets share at least, by the smaller one's size. A head is the
+    prefix for this k: n - need(n) + head_need(n) shingles."""
+    return n // 20 + 1
+
+
 def _documents(df: DataFrame, groups: int) -> DataFrame:
     """Step 1. kind 0: a document (a: id, n: size of its set, s: its set); kind 1: a block of shingles for
     counting (a: their group), 32 bits of each. Counted are the shingles in the first half of each set by
@@ -312,8 +319,8 @@ def _needed(nodes: DataFrame):
     return bits
 
 
-def _sets(df: DataFrame, bits) -> DataFrame:
-    """The sets that the filter lets pass."""
+def _sets(df: DataFrame, bits, order=None) -> DataFrame:
+    """The sets that the filter lets pass; with an order only their heads."""
 
     def run(batches):
         known, seen = bits.value, set()
@@ -324,26 +331,28 @@ def _sets(df: DataFrame, bits) -> DataFrame:
                 slot = g % (1 << FILTER_BITS)
                 if len(s) >= 4 and known[slot >> 3] >> (slot & 7) & 1 and g not in seen:
                     seen.add(g)
-                    out.append((g, s.tobytes()))
+                    n = len(s)
+                    out.append((g, (order.value.prefix(s, n - need(n) + head_need(n)) if order else s).tobytes()))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in out], pa.int64()), pa.array([s for _, s in out], pa.binary())], ["node", "tokens"])
 
     return df.mapInArrow(run, "node long, tokens binary")
 
 
-def join_sets(ids: list[int], sets: list[np.ndarray], labels: list[int]) -> list[tuple[int, int]]:
+def join_sets(ids: list[int], sets: list[np.ndarray], labels: list[int], sizes: list[int] | None = None) -> list[tuple[int, int]]:
     """Links between labels, enough to connect what similar sets connect: pairs whose labels are connected
-    already are passed over."""
-    size = np.array([len(s) for s in sets])
+    already are passed over. With ``sizes`` the sets are heads, and links are of pairs that may be similar."""
+    held = np.array([len(s) for s in sets])
+    size = held if sizes is None else np.array(sizes)
     by = np.lexsort((ids, size))
-    size, sets = size[by], [sets[i] for i in by]
+    size, held, sets = size[by], held[by], [sets[i] for i in by]
     names, label = np.unique(np.array(labels, np.int64)[by], return_inverse=True)
     flat = np.concatenate(sets)
     _, token = np.unique(flat, return_inverse=True)
-    owner = np.repeat(np.arange(len(sets)), size)
+    owner = np.repeat(np.arange(len(sets)), held)
     order = np.argsort(token, kind="stable")
     lists, edge = owner[order], np.concatenate([[0], np.cumsum(np.bincount(token))])
-    begin = np.concatenate([[0], np.cumsum(size)])
+    begin = np.concatenate([[0], np.cumsum(held)])
     upto = np.searchsorted(size, DEN * size // NUM, side="right")
     found = []
     for i in range(len(sets)):
@@ -354,8 +363,8 @@ def join_sets(ids: list[int], sets: list[np.ndarray], labels: list[int]) -> list
         lo, n = edge[t], edge[t + 1] - edge[t]
         at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
         shared = np.bincount(lists[at], minlength=len(sets))[i + 1 : upto[i]]
-        union = size[i] + size[i + 1 : upto[i]] - shared
-        for j in np.flatnonzero(other & (DEN * shared >= NUM * union)):
+        enough = DEN * shared >= NUM * (size[i] + size[i + 1 : upto[i]] - shared) if sizes is None else shared >= head_need(size[i])
+        for j in np.flatnonzero(other & enough):
             a, b = label[i], label[i + 1 + j]
             if a != b:
                 found.append((int(names[a]), int(names[b])))
@@ -363,8 +372,8 @@ def join_sets(ids: list[int], sets: list[np.ndarray], labels: list[int]) -> list
     return found
 
 
-def _verified(rows: DataFrame, keys: list[str], bins: int) -> DataFrame:
-    """Links of the sets that meet under ``keys``; rows: keys, node, tokens, label. Small groups share a
+def _verified(rows: DataFrame, keys: list[str], bins: int, heads: bool = False) -> DataFrame:
+    """Links of the sets that meet under ``keys``; rows: keys, node, tokens, label, n. Small groups share a
     task's call: groups are dealt into bins by their keys."""
 
     def run(pdf):
@@ -374,10 +383,10 @@ def _verified(rows: DataFrame, keys: list[str], bins: int) -> DataFrame:
         for _, group in pdf.groupby(keys, sort=False):
             if len(group) > 1:
                 group = group.drop_duplicates("node")
-                links += join_sets(group["node"].tolist(), [np.frombuffer(t, np.uint64) for t in group["tokens"]], group["label"].tolist())
+                links += join_sets(group["node"].tolist(), [np.frombuffer(t, np.uint64) for t in group["tokens"]], group["label"].tolist(), group["n"].tolist() if heads else None)
         return pd.DataFrame({"a": np.array([x for x, _ in links], np.int64), "b": np.array([x for _, x in links], np.int64)})
 
-    return rows.select(*keys, "node", "tokens", "label").groupBy(F.pmod(F.xxhash64(*keys), F.lit(bins)).alias("bin")).applyInPandas(run, "a long, b long")
+    return rows.select(*keys, "node", "tokens", "label", "n").groupBy(F.pmod(F.xxhash64(*keys), F.lit(bins)).alias("bin")).applyInPandas(run, "a long, b long")
 
 
 def _relabel(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -414,11 +423,23 @@ def components(df: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     buckets = max(12, -(-total * 22 // 100 // POSTINGS))
 
     blocks = written(_postings(docs, order, boundary, buckets), "postings")
-    candidates = connected_components(_links(blocks))
-    candidates = written(candidates.join(rows.select("node", "n").distinct(), "node"), "candidates")
+    sizes_of = rows.select("node", "n").distinct()
+    candidates = written(connected_components(_links(blocks)).join(sizes_of, "node"), "candidates")
+
+    # Heads, a quarter of the sets, tell most pairs apart that share a few shingles only. Components whose
+    # heads are too many for a task stay as they are.
+    heavy = candidates.groupBy("component").agg((F.sum("n") > 4 * AT_ONCE).alias("heavy"))
+    marked = written(candidates.join(heavy, "component"), "marked")
+    light = marked.where("not heavy").select("node", "component", "n")
+    bins = max(48, -(-(candidates.agg(F.sum("n")).first()[0] or 0) // AT_ONCE))
+    bits = spark.sparkContext.broadcast(_needed(light))
+    heads = _sets(docs, bits, order).join(light, "node").withColumn("label", F.col("node"))
+    finer = _verified(heads, ["component"], bins, heads=True).unionByName(marked.where("heavy").select(F.col("node").alias("a"), F.col("component").alias("b")))
+    candidates = written(connected_components(finer).join(sizes_of, "node"), "candidates")
+
     many = candidates.groupBy("component").agg(F.ceil(F.sum("n") / AT_ONCE).cast("int").alias("chunks"))
     bits = spark.sparkContext.broadcast(_needed(candidates))
-    placed = candidates.join(many, "component").select("node", "component", "chunks", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk"))
+    placed = candidates.join(many, "component").select("node", "component", "n", "chunks", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk"))
     sets = _sets(docs, bits).join(placed, "node").withColumn("label", F.col("node"))
     bins = max(48, -(-4 * (candidates.agg(F.sum("n")).first()[0] or 0) // AT_ONCE))
     links = written(_verified(sets, ["component", "chunk"], bins), "links")
