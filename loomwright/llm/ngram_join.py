@@ -15,7 +15,7 @@ Steps: (1) sizes and signatures of all documents, and numbers of sets that hold
 (2) postings, packed by bucket of their key; (3) in each bucket, neighbours in a list (by size, as far as
 sizes allow similarity) are linked: these candidate links, one for each posting at most, connect all pairs
 that can be similar; (4) their components, refined: the heads of a component's sets (prefixes for a larger k) meet, and
-pairs that share fewer than k shingles there part; (5) the sets of each refined component meet once and overlaps are counted
+pairs that share fewer than k shingles there, or differ too much already, part; (5) the sets of each refined component meet once and overlaps are counted
 exactly, unless the two are connected already. A component of over ``AT_ONCE`` shingles is dealt into chunks:
 first each chunk by itself, then some members of large clusters of all chunks, then every chunk against all
 sets outside the component's largest cluster. That leaves out only pairs that are connected already, so no
@@ -41,7 +41,7 @@ from .common import ship_package, steps, written
 WORDS = 5
 NUM, DEN = 80, 100
 #: Shingles in a chunk of step 1, in one task of step 5, and in a bucket's postings.
-CHUNK, AT_ONCE, POSTINGS = 4_000_000, 4_000_000, 1_500_000
+CHUNK, AT_ONCE, POSTINGS = 2_000_000, 4_000_000, 1_500_000
 #: A shingle of so many sets may rank as frequent; frequent shingles that are broadcast at most (16 bytes
 #: each, and a mask of 16 MB); bits of the filter of step 5 (16 MB, whatever the corpus).
 SHARED, FREQUENT, FILTER_BITS = 4, 1_000_000, 27
@@ -130,7 +130,7 @@ def _documents(df: DataFrame, groups: int) -> DataFrame:
 
     def run(batches):
         parts, held, seen = [], 0, set()
-        for batch in steps(batches, size=2_000_000):
+        for batch in steps(batches, size=1_000_000):
             sets = shingle_sets(batch.column(1).to_pylist())
             sigs = [signature(s) for s in sets]
             yield _batch(0, batch.column(0), np.array([len(s) for s in sets]), np.array(sigs, np.int64), [None] * len(sets))
@@ -181,17 +181,21 @@ class Order:
 
     def prefix(self, s: np.ndarray, n: int) -> np.ndarray:
         """The first n of a set (sorted by hash) in the global order."""
+        return self.head(s, n)[0]
+
+    def head(self, s: np.ndarray, n: int) -> tuple[np.ndarray, int, bool]:
+        """The same, how many of it are rare, and whether these are all rare ones of the set."""
         look = np.flatnonzero(self.maybe[((s >> np.uint64(32)) & np.uint64(0xFFFFFF)).astype(np.int64)])
         if not len(look):
-            return s[:n]
+            return s[:n], min(n, len(s)), len(s) <= n
         key = (s[look] % self.groups) << np.uint64(32) | s[look] >> np.uint64(32)
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         hit = self.keys[at] == key
         look, at = look[hit], at[hit]
         rare = np.delete(s, look)
         if len(rare) >= n:
-            return rare[:n]
-        return np.concatenate([rare, s[look][np.lexsort((s[look], self.rank[at]))][: n - len(rare)]])
+            return rare[:n], n, len(rare) == n
+        return np.concatenate([rare, s[look][np.lexsort((s[look], self.rank[at]))][: n - len(rare)]]), len(rare), True
 
 
 def postings(s: np.ndarray, order: Order, boundary: int) -> np.ndarray:
@@ -247,7 +251,7 @@ def _postings(df: DataFrame, order, boundary: int, buckets: int) -> DataFrame:
     def run(batches):
         known = order.value
         keys, sets, sizes, held, seen = [], [], [], 0, set()
-        for batch in steps(batches, size=2_000_000):
+        for batch in steps(batches, size=1_000_000):
             for s in shingle_sets(batch.column(1).to_pylist()):
                 g = signature(s)
                 if g in seen or len(s) < 4:
@@ -319,20 +323,36 @@ def _needed(nodes: DataFrame):
     return bits
 
 
+def packed_head(s: np.ndarray, order: Order) -> np.ndarray:
+    """A set's head for ``join_sets``: number of rare shingles, whether they are all, then 32 bits of each
+    (what else agrees in these can only add links)."""
+    n = len(s)
+    head, rare, whole = order.head(s, n - need(n) + head_need(n))
+    return np.concatenate([np.array([rare, whole], np.uint32), (head >> np.uint64(32)).astype(np.uint32)])
+
+
+def may_be_similar(a: np.ndarray, b: np.ndarray, shared: int, n: int, m: int) -> bool:
+    """Whether heads leave room for similarity: up to the smaller last rare shingle both heads are complete, and
+    there the sets must not differ by more than similar sets of n and m shingles may differ in all."""
+    x, y = a[2 : 2 + a[0]], b[2 : 2 + b[0]]
+    last = min(int(x[-1]) if not a[1] and len(x) else 2**32, int(y[-1]) if not b[1] and len(y) else 2**32)
+    apart = int(np.searchsorted(x, last, side="right")) + int(np.searchsorted(y, last, side="right")) - 2 * shared
+    return (DEN + NUM) * apart <= (DEN - NUM) * (n + m)
+
+
 def _sets(df: DataFrame, bits, order=None) -> DataFrame:
     """The sets that the filter lets pass; with an order only their heads."""
 
     def run(batches):
         known, seen = bits.value, set()
-        for batch in steps(batches, size=2_000_000):
+        for batch in steps(batches, size=1_000_000):
             out = []
             for s in shingle_sets(batch.column(1).to_pylist()):
                 g = signature(s)
                 slot = g % (1 << FILTER_BITS)
                 if len(s) >= 4 and known[slot >> 3] >> (slot & 7) & 1 and g not in seen:
                     seen.add(g)
-                    n = len(s)
-                    out.append((g, (order.value.prefix(s, n - need(n) + head_need(n)) if order else s).tobytes()))
+                    out.append((g, (packed_head(s, order.value) if order else s).tobytes()))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in out], pa.int64()), pa.array([s for _, s in out], pa.binary())], ["node", "tokens"])
 
@@ -342,12 +362,13 @@ def _sets(df: DataFrame, bits, order=None) -> DataFrame:
 def join_sets(ids: list[int], sets: list[np.ndarray], labels: list[int], sizes: list[int] | None = None) -> list[tuple[int, int]]:
     """Links between labels, enough to connect what similar sets connect: pairs whose labels are connected
     already are passed over. With ``sizes`` the sets are heads, and links are of pairs that may be similar."""
-    held = np.array([len(s) for s in sets])
+    skip = 0 if sizes is None else 2
+    held = np.array([len(s) - skip for s in sets])
     size = held if sizes is None else np.array(sizes)
     by = np.lexsort((ids, size))
     size, held, sets = size[by], held[by], [sets[i] for i in by]
     names, label = np.unique(np.array(labels, np.int64)[by], return_inverse=True)
-    flat = np.concatenate(sets)
+    flat = np.concatenate([s[skip:] for s in sets])
     _, token = np.unique(flat, return_inverse=True)
     owner = np.repeat(np.arange(len(sets)), held)
     order = np.argsort(token, kind="stable")
@@ -366,7 +387,7 @@ def join_sets(ids: list[int], sets: list[np.ndarray], labels: list[int], sizes:
         enough = DEN * shared >= NUM * (size[i] + size[i + 1 : upto[i]] - shared) if sizes is None else shared >= head_need(size[i])
         for j in np.flatnonzero(other & enough):
             a, b = label[i], label[i + 1 + j]
-            if a != b:
+            if a != b and (sizes is None or may_be_similar(sets[i], sets[i + 1 + j], int(shared[j]), int(size[i]), int(size[i + 1 + j]))):
                 found.append((int(names[a]), int(names[b])))
                 label[label == b] = a
     return found
@@ -383,7 +404,7 @@ def _verified(rows: DataFrame, keys: list[str], bins: int, heads: bool = False)
         for _, group in pdf.groupby(keys, sort=False):
             if len(group) > 1:
                 group = group.drop_duplicates("node")
-                links += join_sets(group["node"].tolist(), [np.frombuffer(t, np.uint64) for t in group["tokens"]], group["label"].tolist(), group["n"].tolist() if heads else None)
+                links += join_sets(group["node"].tolist(), [np.frombuffer(t, np.uint32 if heads else np.uint64) for t in group["tokens"]], group["label"].tolist(), group["n"].tolist() if heads else None)
         return pd.DataFrame({"a": np.array([x for x, _ in links], np.int64), "b": np.array([x for _, x in links], np.int64)})
 
     return rows.select(*keys, "node", "tokens", "label", "n").groupBy(F.pmod(F.xxhash64(*keys), F.lit(bins)).alias("bin")).applyInPandas(run, "a long, b long")
