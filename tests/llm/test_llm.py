@@ -441,3 +441,55 @@ def test_every_llm_query_has_ten_and_runs_small(spark):
     from loomwright.llm.queries import queries
 
     assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in queries()) == list(range(1, 11))
+
+
+def test_heads_of_similar_sets_stay_together():
+    from loomwright.llm.ngram_join import Order, join_sets, packed_head
+
+    rng = np.random.default_rng(1)
+    pool = rng.integers(0, 2**63, 3000).astype(np.uint64)
+    frequent = np.unique(pool[:400])
+    order = Order(((frequent % np.uint64(4)) << np.uint64(32) | (frequent >> np.uint64(32))).astype(np.int64), rng.integers(4, 99, len(frequent)), 4)
+    similar = 0
+    for _ in range(1500):
+        n = int(rng.integers(4, 120))
+        a = np.unique(np.concatenate([rng.choice(pool, n // 2), rng.integers(0, 2**63, n - n // 2).astype(np.uint64)]))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) > rng.random() * 0.2], rng.integers(0, 2**63, int(rng.integers(0, 6))).astype(np.uint64)]))
+        shared = len(np.intersect1d(a, b))
+        if min(len(a), len(b)) >= 4 and 100 * shared >= 80 * (len(a) + len(b) - shared):
+            similar += 1
+            assert join_sets([1, 2], [packed_head(a, order), packed_head(b, order)], [1, 2], [len(a), len(b)])
+    assert similar > 500
+
+
+def test_pipeline_equals_brute_force(spark):
+    import corpus_pipeline
+    from loomwright.llm.toxicity import fit_on
+
+    sf = "/root/testdata/sf0.001"
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
+    model = fit_on(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+    left = [(d, t) for d, t in docs if model.score(t) < 0.5]
+    keep = {c for _, _, c in brute_components(left)}
+    left = [(d, t) for d, t in left if d in keep]
+    want = {d for d, _, _, _, _, hit in brute_items(left, items) if not hit}
+    got = corpus_pipeline.run(spark, sf).collect()
+    assert {r["doc_id"] for r in got} == want and len(want) > 50
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "ngram_jaccard", "decontamination", "packing"]
+    whole = defaultdict(int)
+    for r in got:
+        whole[r["doc_id"]] += r["length"]
+    assert all(whole[r["doc_id"]] == r["doc_tokens"] for r in got)
+
+
+def test_pipeline_stages_take_odd_rows(spark):
+    """Nulls in any column, an extra column and a repeated row pass every stage."""
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.createDataFrame([(1, None, None, None, None, 1), (None, "a b c d e f g", "en", "s", 1, 2), (3, "", "en", None, 0, 3), (3, "", "en", None, 0, 3), (4, "x y z", None, "s", 5, 4)], "doc_id long, text string, lang string, source string, n_chars long, label long")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = common.written(stage(spark, docs, sf), "stage")
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "label"]
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()) == [(False, 1), (False, 3), (False, 4), (True, 0)]
