@@ -56,6 +56,9 @@ def written(df: DataFrame, what: str) -> DataFrame:
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers, wherever they run (once per context)."""
     sc = spark.sparkContext
+    # Whole texts are long: Spark's default of 10,000 rows would be tens of MB at once on either side.
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == 10_000:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     if getattr(sc, "_loomwright_shipped", False):
         return
     folder = tempfile.mkdtemp(prefix="loomwright-")
