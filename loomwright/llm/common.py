@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import itertools
 from collections.abc import Iterator
 
@@ -15,6 +17,13 @@ from loomwright.session import new_folder, shared_dir, ship_package, table, writ
 STEP_ROWS, STEP_BYTES = 2_000, 4_000_000
 
 
+def release() -> None:
+    """Give memory that was freed back to the system: an executor's limit counts what its Python workers hold."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def steps(batches: Iterator[pa.RecordBatch], column: str = "text", rows: int = STEP_ROWS, size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of at most ``rows`` rows and about ``size`` bytes of one column."""
     for batch in batches:
@@ -26,6 +35,7 @@ def steps(batches: Iterator[pa.RecordBatch], column: str = "text", rows: int = S
         while at < n:
             yield batch.slice(at, step)
             at += step
+        release()
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
