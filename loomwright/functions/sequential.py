@@ -85,6 +85,22 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() if x is not None and y is not None else 0.0 for x, y in zip(a, b)])
 
 
+def ratio_over(least: float):
+    """``ratio`` where it is over ``least``, else 0; difflib's own upper bounds (lengths, then character
+    counts) spare most of the work and change nothing, as no ratio is over its bound."""
+
+    @F.pandas_udf("double")
+    def over(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = []
+        for x, y in zip(a, b):
+            m = difflib.SequenceMatcher(None, x, y) if x is not None and y is not None else None
+            r = m.ratio() if m and m.real_quick_ratio() > least and m.quick_ratio() > least else 0.0
+            out.append(r if r > least else 0.0)
+        return pd.Series(out, dtype="float64")
+
+    return over
+
+
 def edit_breakdown(truth: str, heard: str) -> tuple[int, int, int]:
     """Substitutions, deletions, insertions; of equal paths match or substitution, then deletion, then insertion."""
     n, m = len(truth), len(heard)

@@ -84,14 +84,13 @@ def _(t):
 
 def _cards(t):
     words = F.array_distinct(F.split(F.lower("p_name"), " "))
-    return t.part.where("p_size <= 10").select("p_brand", "p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("text"), F.array_union(words, F.split("p_type", " ")).alias("items"))
+    return t.part.select("p_brand", "p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("text"), F.array_union(words, F.split("p_type", " ")).alias("items"))
 
 
 @query("gr2_duplicate_clusters")
 def _(t):
     """Pairs that share two items and are similar in text; their components; one canonical member each."""
-    pairs = folds.similar_pairs(_cards(t), "p_brand", "p_partkey", "text", "items", 2, 0.6)
-    cc = connected_components(pairs)
+    cc = connected_components(folds.similar_links(_cards(t), "p_brand", "p_partkey", "text", "items", 2, 0.6))
     members = cc.join(t.part.select(F.col("p_partkey").alias("node"), "p_retailprice"), "node")
     return first_of(members, ["component"], [F.desc("p_retailprice"), "node"]).select("component", F.col("node").alias("canonical"))
 
@@ -99,15 +98,14 @@ def _(t):
 @query("gr4_pack_clusters")
 def _(t):
     """Pairs that share two items or are similar in text, within a category."""
-    return connected_components(folds.similar_pairs(_cards(t).where("p_partkey % 4 = 0"), "p_brand", "p_partkey", "text", "items", 2, 0.5, either=True))
+    return connected_components(folds.similar_links(_cards(t), "p_brand", "p_partkey", "text", "items", 2, 0.5, either=True))
 
 
 @query("sx28_mark_near_duplicates")
 def _(t):
     """Each card's most similar smaller one of its brand, and whether it counts as a duplicate."""
-    p = folds.similar_pairs(_cards(t), "p_brand", "p_partkey", "text", "items", 2, 0.0)
-    best = first_of(p, ["b"], [F.desc("ratio"), F.desc("shared"), "a"])
-    return best.select(F.col("b").alias("p_partkey"), F.col("a").alias("nearest"), (F.col("ratio") > 0.6).alias("duplicate"))
+    best = folds.nearest_before(_cards(t), "p_brand", "p_partkey", "text", "items", 2, 0.0)
+    return best.select(F.col("id").alias("p_partkey"), "nearest", (F.col("ratio") > 0.6).alias("duplicate"))
 
 
 @query("ex3_run_variance")

@@ -1,6 +1,8 @@
 """Boundary cases of operators, and every query of the registry against its SQL on the smallest tables."""
 
+import difflib
 import json
+import random
 
 import duckdb
 import pytest
@@ -110,6 +112,62 @@ def test_contained_dedupe_and_cover(spark):
     assert [r["i"] for r in folds.cover_categories(c, "k", "i", "c", 2).orderBy("place").collect()] == [2, 3]
 
 
+@pytest.fixture(scope="module")
+def cards():
+    """Copies, shared items without like texts and the other way round, an order-dependent ratio, nulls."""
+    rng = random.Random(3)
+    out = [("p", 1, "tide", ["a"]), ("p", 2, "diet", ["b"]), ("q", 3, "diet", ["a"]), ("q", 4, "tide", ["b"]), ("p", 5, None, ["a", "b"]), ("p", 6, None, ["a", "b"]), ("p", 7, None, ["a"]), ("p", 8, "", None), ("p", 9, "", None)]
+    for i in range(10, 150):
+        n = rng.randint(1, 3)
+        out.append((rng.choice("pqrs"), i, "".join(rng.choice("abcdefgh ") for _ in range(n * 3)), [rng.choice("tuvwxyz") + rng.choice("12") for _ in range(n)]))
+    return out + [(b, i + 200, s, x) for b, i, s, x in out[9::3]] + [("p", 500, out[20][2], [*out[20][3], "t1", "u1"])]
+
+
+def card_pairs(cards, ok):
+    """Brute force over all pairs of a block: (a, b, ratio, shared) where ok(shared, ratio)."""
+    cards = sorted(cards, key=lambda c: c[1])
+    for i, (p, a, s, x) in enumerate(cards):
+        for q, b, t, y in cards[i + 1 :]:
+            if p == q:
+                r = difflib.SequenceMatcher(None, s, t).ratio() if s is not None and t is not None else 0.0
+                if ok(n := len(set(x or []) & set(y or [])), r):
+                    yield a, b, r, n
+
+
+def card_components(pairs):
+    of = {}
+    for a, b, *_ in pairs:
+        x, y = of.setdefault(a, {a}), of.setdefault(b, {b})
+        if x is not y:
+            x |= y
+            of |= dict.fromkeys(y, x)
+    return sorted((k, min(v)) for k, v in of.items())
+
+
+@pytest.mark.parametrize("shared, least", [(2, 0.5), (3, 0.6)])
+def test_similar_links_equal_all_pairs(spark, cards, shared, least):
+    df = spark.createDataFrame(cards, "g string, id long, t string, i array<string>")
+    for either in (False, True):
+        got = rows(connected_components(folds.similar_links(df, "g", "id", "t", "i", shared, least, either=either)))
+        assert got == card_components(card_pairs(cards, lambda n, r: (n >= shared or r > least) if either else (n >= shared and r > least)))
+
+
+def test_nearest_before_equals_all_pairs(spark, cards):
+    df = spark.createDataFrame(cards, "g string, id long, t string, i array<string>")
+    want = {}
+    for a, b, r, n in card_pairs(cards, lambda n, r: n >= 2 and r > 0):
+        want[b] = max(want.get(b, ()), (r, n, -a))
+    assert rows(folds.nearest_before(df, "g", "id", "t", "i", 2, 0.0)) == sorted((b, -a, r) for b, (r, n, a) in want.items())
+
+
+def test_card_queries_see_all_parts(spark):
+    cards = [(r["p_brand"], r["p_partkey"], f"{r['p_name']} {r['p_type']}", r["p_name"].lower().split(" ") + r["p_type"].split(" ")) for r in spark.read.parquet(f"{SF}/part.parquet").collect()]
+    assert rows(plans.QUERIES["gr4_pack_clusters"](spark, SF)) == card_components(card_pairs(cards, lambda n, r: n >= 2 or r > 0.5))
+    got = plans.QUERIES["gr2_duplicate_clusters"](spark, SF).select("component")
+    assert rows(got) == sorted({(c,) for _, c in card_components(card_pairs(cards, lambda n, r: n >= 2 and r > 0.6))})
+    assert plans.QUERIES["sx28_mark_near_duplicates"](spark, SF).count() == len({b for _, b, *_ in card_pairs(cards, lambda n, r: n >= 2 and r > 0)})
+
+
 def test_sources(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"id": 1}\n\n{"id": 2}\n')
     assert src.read_jsonl(spark, str(tmp_path / "a.jsonl"), "id long").where("id is not null").count() == 2
