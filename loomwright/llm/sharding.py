@@ -1,6 +1,7 @@
 """Balanced label propagation: linked documents move to shards under quotas; DataFrame functions only.
 
-Documents that share a group are linked. Every document starts in a shard by its id's hash. In each
+Documents that share a group are linked. Every linked document starts in a shard by its row's hash; what is
+over a quota there starts in the shards with room, so no shard is ever over its quota. In each
 round, groups count their members by shard (a pre-aggregated table of at most ``shards`` rows for each
 group), every document adds up its groups' counts and wants the shard with most of its neighbours among
 its own and those with room, and a shard takes in movers up to its quota less the linked documents it holds.
@@ -34,11 +35,34 @@ def _literal(values: list[int], key) -> F.Column:
     return F.element_at(F.array(*[F.lit(int(v)).cast("long") for v in values]), key + 1)
 
 
+def _filled(room: list[int], rank) -> F.Column:
+    """The shard of the row of a rank, if shards with room are filled one after the other."""
+    upto, places = [], 0
+    for r in room:
+        places += r
+        upto.append(places)
+    return F.size(F.filter(F.array(*[F.lit(u).cast("long") for u in upto]), lambda u: u <= rank)).cast("int")
+
+
+def _within(state: DataFrame, quota: list[int]) -> DataFrame:
+    """``state`` with what a shard holds over its quota moved to the shards with room."""
+    load = _by_shard(state, len(quota))
+    over = sum(max(0, x - q) for q, x in zip(quota, load))
+    if not over:
+        return state
+    ranked = written(salted_rank(state, ["shard"], ["row"], sum(load)), "ranked")
+    stays = F.col("rank") < _literal(quota, F.col("shard"))
+    excess = salted_rank(ranked.where(~stays).select("row", F.lit(0).alias("_all")), ["_all"], ["row"], over)
+    room = [max(0, q - x) for q, x in zip(quota, load)]
+    return written(ranked.where(stays).select("row", "shard").unionByName(excess.select("row", _filled(room, F.col("rank")).alias("shard"))), "shards")
+
+
 def propagate(members: DataFrame, n: int, shards: int, rounds: int) -> DataFrame:
     """(row, shard) of all linked rows. ``members``: (row, group), a stored table."""
     quota = quotas(n, shards)
     state = written(members.select("row").distinct().withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")), "shards")
     total = state.count()
+    state = _within(state, quota)
     for _ in range(rounds):
         load = _by_shard(state, shards)
         room = [max(0, q - x) for q, x in zip(quota, load)]
@@ -75,13 +99,10 @@ def shard_documents(df: DataFrame, shards: int = 16, rounds: int = 32, id_column
     members = written(base.join(linked, ["size", "text_crc32", "_h"]).select("row", group.alias("group")), "members")
     placed = propagate(members, n, shards, rounds)
     free = [q - x for q, x in zip(quotas(n, shards), _by_shard(placed, shards))]
-    upto, places = [], 0
-    for f in free:
-        places += f
-        upto.append(places)
+    assert min(free) >= 0, "a shard is over its quota"
     single = base.join(placed, "row", "left_anti")
-    single = salted_rank(single.withColumn("_all", F.lit(0)), ["_all"], ["row"], max(places, 1))
-    shard = F.size(F.filter(F.array(*[F.lit(u).cast("long") for u in upto]), lambda u: u <= F.col("rank")))
-    done = base.join(placed, "row").select("row", "doc_id", "size", "text_crc32", "shard").unionByName(single.select("row", "doc_id", "size", "text_crc32", shard.cast("int").alias("shard")))
+    single = salted_rank(single.withColumn("_all", F.lit(0)), ["_all"], ["row"], max(sum(free), 1))
+    shard = _filled(free, F.col("rank"))
+    done = base.join(placed, "row").select("row", "doc_id", "size", "text_crc32", "shard").unionByName(single.select("row", "doc_id", "size", "text_crc32", shard.alias("shard")))
     ranked = salted_rank(written(done, "placed"), ["shard"], ["row"], max(n, 1), name="slot")
     return ranked.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -301,6 +301,21 @@ def test_sharding(spark):
     assert shard_documents(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("texts", [["hot"] * 1000, [f"pair {i // 2}" for i in range(600)], ["a"] * 12 + ["b", "b", "c", "c"] + list("defg")], ids=["equal", "pairs", "small"])
+def test_sharding_of_copies_keeps_its_law(spark, texts):
+    from loomwright.llm.sharding import shard_documents
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = shard_documents(df, shards=16).collect()
+    assert Counter(r["doc_id"] for r in rows) == Counter(range(len(texts)))
+    by = defaultdict(list)
+    for r in rows:
+        by[r["shard"]].append(r["slot"])
+    counts = [len(by[s]) for s in range(16)]
+    assert max(counts) - min(counts) <= 1 and sum(counts) == len(texts), counts
+    assert all(sorted(s) == list(range(len(s))) for s in by.values())
+
+
 def brute_items(docs, items):
     word = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (t or "").translate(UPPER))
     windows = defaultdict(set)
