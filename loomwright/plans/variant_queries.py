@@ -156,7 +156,7 @@ def _(t):
     """Ordered rewrite rules on every element of a document's evidence."""
     from .fold_queries import RULES
 
-    clips = lines(t).where("line_no <= 3").select("doc_id", "line_no", S.rule_rewriter(RULES)("line").alias("clip"))
+    clips = lines(t).select("doc_id", "line_no", S.rule_rewriter(RULES)("line").alias("clip"))
     return clips.groupBy("doc_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "clip"))), lambda s: s["clip"]).alias("clips"))
 
 
