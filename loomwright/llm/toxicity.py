@@ -1,52 +1,63 @@
 """Toxicity by compression distance: zstandard dictionaries of toxic and of ordinary text.
 
-A text is lower-cased and cut at blanks into windows of about ``WINDOW`` bytes. A window is compressed
-twice: with what was trained on ordinary text, and with that plus a dictionary trained on toxic text. What
-the second saves is the window's distance; for ordinary windows it is near 0, because both sides hold
-the ordinary content. A document's score is a logistic function, calibrated on labelled documents that
-no dictionary was trained on, of its largest distances and its number of windows.
-
-Fitting runs on the driver over a bounded sample of labelled rows (``SAMPLE`` of each label at most, taken
-by a hash of doc_id, and ``MAX_WINDOWS`` of their windows). Labels mark documents, not windows, so
-dictionaries are refined in rounds: each half of the toxic sample picks, with the dictionary of the other
-half, the windows that ordinary text hardly ever equals in distance, and the next dictionary is trained on
-these; ordinary windows of large distance go to the ordinary side. Scoring reads whole texts.
-
-Null text counts as empty; an empty text has no windows and gets the score of distance 0. Repeated rows are
-scored each. Without labelled rows of both kinds the score is the toxic share of the labels (0 without
-any). An empty table gives an empty result. Extra columns are ignored.
+A text is lower-cased and cut at blanks into windows: words, and overlapping pieces of longer runs. A window is
+set in a frame of fixed bytes (zstandard stores inputs under some 7 bytes as they are, whatever the dictionary) and
+compressed twice: with a dictionary trained on ordinary text, and with one trained on toxic text. The two lengths
+and the window's own make a cell; a table, calibrated on labelled documents that no dictionary was trained on,
+holds how many times more often windows of toxic documents fall into a cell than others. Windows of ``HIT`` or
+more are hits; a document's score is a logistic function, calibrated on the same documents, of its hits.
+
+Fitting runs on the driver over a bounded sample of labelled rows: ``SAMPLE`` of each label at most, taken by a hash
+of doc_id, and of these as many whole texts of each label as ``SAMPLE_BYTES`` hold (a text that does not fit is passed
+over). Each distinct window of a document counts once, and passages seen before in the sample not at all.
+
+Labels mark documents, not windows, so what the toxic dictionary is trained on is found in rounds. The toxic sample is
+dealt into halves. With a dictionary of one half, the other half's windows fall into cells; those of cells that are
+rarer in ordinary documents make up the next dictionary, and the cells must get rarer at each of ``LEVELS``. What passes
+the last is taken. A round leaves out what was taken before, so that content which few documents hold (of a rarer
+language, for example) has its turn; thresholds are of cells, so common content cannot raise them.
+
+Null text counts as empty; an empty text has no windows and gets the score of no hits. Repeated rows are scored
+each; the sample has one text of an id (the smallest). Without labelled rows of both kinds the score is the toxic share
+of the labels (0 without any). Labels that contradict each other for one id count as toxic. An empty table gives an
+empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import zlib
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package, steps
+from .common import ship_package, steps, written
 
-WINDOW, LEVEL = 32, 19
-#: Labelled rows of each kind that are read at most, and windows of each kind that are used.
-SAMPLE, MAX_WINDOWS = 1_600, 60_000
-_ORDINARY, _CONTRAST, _TOXIC = 96_000, 16_000, 3_000  # bytes of the dictionaries
-_ROUNDS = (0.99, 0.997, 0.9985, 0.999)  # quantiles of ordinary windows' distances that picked windows exceed
+FRAME, WINDOW, LEVEL = bytes(range(1, 9)), 32, 19
+#: Labelled rows of each kind that are read at most, and bytes of their texts.
+SAMPLE, SAMPLE_BYTES = 2_500, 8_000_000
+#: Bytes of the ordinary dictionary, and of the toxic one; of the latter in each round.
+ORDINARY, TOXIC, ROUNDS = 64_000, 6_000, (6_000, 3_000, 12_000, 6_000)
+SEGMENT, DMER = 30, 6  # of the trainer: a segment holds a framed word
+#: How many times likelier a cell must be in toxic documents, step by step, for training; and for a hit.
+LEVELS, HIT = (1.5, 2.5, 5.0), 3.0
+#: Calibration lets toxic rows weigh as if they were this share, at least: misses count then as false alarms do.
+SHARE = 0.3
+_CELLS = 64 * 64 * 64
 
 
 def windows(text: str | None) -> list[bytes]:
-    """Windows of whole words (a word of over twice the size is cut)."""
+    """Words, and pieces of ``WINDOW`` bytes that overlap by half of longer ones; unframed."""
     if not text:
         return []
-    raw = b" " + text.lower().encode("utf-8", "replace")
-    out, at, n = [], 0, len(raw)
-    while at < n:
-        cut = raw.find(b" ", at + WINDOW)
-        if cut < 0 or cut - at > 2 * WINDOW:
-            cut = min(n, at + 2 * WINDOW)
-        out.append(raw[at:cut])
-        at = cut
+    out = []
+    for word in text.lower().encode("utf-8", "replace").split():
+        if len(word) <= WINDOW:
+            out.append(word)
+        else:
+            out += [word[i : i + WINDOW] for i in range(0, len(word) - WINDOW // 2, WINDOW // 2)]
     return out
 
 
@@ -62,54 +73,89 @@ def compressor(content: bytes):
     return zstandard.ZstdCompressor(dict_data=words, compression_params=p).compress
 
 
-def lengths(compress, parts: list[bytes]) -> np.ndarray:
-    return np.fromiter((len(compress(w)) for w in parts), np.int32, len(parts))
+def lengths(content: bytes, parts: list[bytes]) -> np.ndarray:
+    """Compressed lengths of framed windows with a dictionary."""
+    compress = compressor(content)
+    return np.fromiter((len(compress(FRAME + w + b"\n")) for w in parts), np.int64, len(parts))
 
 
-def features(distances: np.ndarray) -> list[float]:
-    """The three largest distances, and the logarithm of the number of windows."""
-    top = np.sort(np.concatenate([distances, [0, 0, 0]]))[::-1]
-    return [float(top[0]), float(top[1]), float(top[2]), float(np.log1p(len(distances)))]
+def _cell(own, ordinary, toxic):
+    """A window's cell: its own length and both compressed lengths."""
+    return (np.minimum(own, 63) * 64 + np.minimum(ordinary, 63)) * 64 + np.minimum(toxic, 63)
+
+
+class Vocabulary:
+    """Distinct windows of some documents, and documents' windows as places in it."""
+
+    def __init__(self, *groups: list[list[bytes]]) -> None:
+        places: dict[bytes, int] = {}
+        self.groups = [np.array([places.setdefault(w, len(places)) for d in docs for w in d], np.int64) for docs in groups]
+        self.words = list(places)
+        self.own = np.fromiter(map(len, self.words), np.int64, len(places))
+
+    def cells(self, ordinary: np.ndarray, toxic: bytes) -> np.ndarray:
+        return _cell(self.own, ordinary, lengths(toxic, self.words))
+
+
+def _ratio(toxic: np.ndarray, ordinary: np.ndarray, spread: float) -> np.ndarray:
+    """How many times likelier each cell is among the first ones, less ``spread`` standard errors of their count."""
+    a, b = np.bincount(toxic, minlength=_CELLS), np.bincount(ordinary, minlength=_CELLS)
+    return np.maximum(a - spread * np.sqrt(a), 0) / (b + 1) * (len(ordinary) + 1) / (len(toxic) + 1)
 
 
 @dataclass
 class Model:
     ordinary: bytes
     toxic: bytes
+    table: dict[int, float]  # weight of cells that hold hits
     weights: list[float]
+    known: dict = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.sides = None
 
-    def distances(self, text: str | None) -> np.ndarray:
-        if self.sides is None:
-            self.sides = compressor(self.ordinary), compressor(self.ordinary + self.toxic)
+    def hits(self, text: str | None) -> tuple[list[float], int]:
+        """Weights of a text's hits, and its number of windows."""
         parts = windows(text)
-        return lengths(self.sides[0], parts) - lengths(self.sides[1], parts)
+        if self.sides is None:
+            self.sides = compressor(self.ordinary), compressor(self.toxic)
+        if len(self.known) > 200_000:
+            self.known = {}
+        known, table, (plainly, side) = self.known, self.table, self.sides
+        out = []
+        for w in parts:
+            x = known.get(w)
+            if x is None:
+                framed = FRAME + w + b"\n"
+                x = known[w] = table.get(int(_cell(len(w), len(plainly(framed)), len(side(framed)))), 0.0)
+            if x:
+                out.append(x)
+        return out, len(parts)
 
     def score(self, text: str | None) -> float:
         if not self.toxic:
             return self.weights[0]
-        return float(_sigmoid(np.dot(self.weights, _design(np.array([features(self.distances(text))]))[0])))
+        return float(_sigmoid(np.dot(self.weights, features(*self.hits(text)))))
 
     def __getstate__(self) -> dict:
-        return {"ordinary": self.ordinary, "toxic": self.toxic, "weights": self.weights, "sides": None}
+        return {"ordinary": self.ordinary, "toxic": self.toxic, "table": self.table, "weights": self.weights, "known": {}, "sides": None}
 
 
-def _sigmoid(x):
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+def features(weights: list[float], n: int) -> list[float]:
+    """Intercept, the three heaviest hits, the number of all, and their density."""
+    top = sum(sorted(weights, reverse=True)[:3])
+    return [1.0, top, float(np.log1p(len(weights))), len(weights) / (n + 20) * 20]
 
 
-def _design(x: np.ndarray) -> np.ndarray:
-    """Intercept, the features, and what the largest distances gain by together."""
-    return np.column_stack([np.ones(len(x)), x, x[:, 0] * x[:, 3], x[:, 1] * x[:, 3], x[:, 0] ** 2])
+def _sigmoid(x):
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, share: float, ridge: float = 0.3) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, share: float, ridge: float = 0.1) -> np.ndarray:
     """Weights by Newton's method, with a small ridge; rows count so that label 1 has ``share`` of them."""
     w = np.zeros(x.shape[1])
     each = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
-    for _ in range(40):
+    for _ in range(60):
         p = _sigmoid(x @ w)
         step = np.linalg.solve(x.T @ (x * (each * p * (1 - p) + 1e-9)[:, None]) + ridge * np.eye(len(w)), x.T @ (each * (y - p)) - ridge * w)
         w = w + step
@@ -118,62 +164,86 @@ def _logistic(x: np.ndarray, y: np.ndarray, share: float, ridge: float = 0.3) ->
     return w
 
 
-def _train(parts: list[bytes], size: int, k: int) -> bytes:
+def _train(parts: list[bytes], size: int) -> bytes:
     import zstandard
 
+    framed = [FRAME + w + b"\n" for w in parts]
     try:
-        return zstandard.train_dictionary(size, parts, k=k, d=6).as_bytes()
+        return zstandard.train_dictionary(size, framed, k=SEGMENT, d=DMER).as_bytes()
     except zstandard.ZstdError:  # too few samples for the trainer: their content is the dictionary
-        return b"".join(parts)[:size]
+        return b"".join(dict.fromkeys(framed))[-size:]
 
 
 def _flat(docs: list[list[bytes]]) -> list[bytes]:
     return [w for d in docs for w in d]
 
 
-def _bounded(docs: list[list[bytes]], most: int) -> list[list[bytes]]:
-    """Evenly fewer windows of each document, if all are more than ``most``."""
-    total = sum(map(len, docs))
-    if total <= most:
-        return docs
-    share = total / most
-    return [[d[int(i * share)] for i in range(int(len(d) / share))] or d[:1] for d in docs]
+def _fresh(docs: list[list[bytes]]) -> list[list[bytes]]:
+    """The distinct windows of each document that are in no run of five windows of a document before."""
+    seen: set[int] = set()
+    out = []
+    for d in docs:
+        runs = [zlib.crc32(b" ".join(d[i : i + 5])) for i in range(len(d) - 4)]
+        old = np.zeros(len(d), bool)
+        for i, r in enumerate(runs):
+            if r in seen:
+                old[i : i + 5] = True
+        seen.update(runs)
+        out.append(list(dict.fromkeys(w for w, o in zip(d, old) if not o)))
+    return out
+
+
+def _thirds(docs: list) -> tuple[list, list]:
+    """What dictionaries are trained on, and what is kept for calibration."""
+    return docs[len(docs) // 3 :], docs[: len(docs) // 3]
+
+
+def _toxic_windows(toxic: list[list[bytes]], check: list[list[bytes]], ordinary: bytes) -> list[bytes]:
+    """Windows of toxic documents for the toxic dictionary; see the head of this module."""
+    known = Vocabulary(toxic[::2], toxic[1::2], check)
+    *halves, plain = known.groups
+    words, plainly = known.words, lengths(ordinary, known.words)
+    taken = [np.zeros(len(words), bool), np.zeros(len(words), bool)]
+    for size in ROUNDS:
+        left = [h[~t[h]] for h, t in zip(halves, taken)]
+        found = left
+        for least in LEVELS:
+            sides = [known.cells(plainly, _train([words[i] for i in f], size)) for f in found]
+            found = [x[(_ratio(c[x], c[plain], 1.5) >= least)[c[x]]] for x, c in zip(left, sides[::-1])]
+            if not all(map(len, found)):
+                break
+        else:
+            for t, f in zip(taken, found):
+                t[f] = True
+    # A cell also has a few windows that ordinary documents hold about as often: these teach nothing.
+    mine = np.concatenate(halves)
+    a, b = (np.bincount(x, minlength=len(words)) for x in (mine, plain))
+    keep = (taken[0] | taken[1]) & (a * len(plain) >= 2 * (b + 1) * len(mine))
+    return [words[i] for i in mine[keep[mine]]]
 
 
 def fit(rows: list[tuple[str, int]], share: float | None = None) -> Model:
     """A model of labelled texts (text, 0 or 1), given in a fixed order. ``share``: label 1's part of all
     labelled rows, if ``rows`` is a sample with another part."""
-    toxic = [t for t, y in rows if y == 1 and t]
-    plain = [t for t, y in rows if y == 0 and t]
-    if len(toxic) < 4 or len(plain) < 4:
-        return Model(b"", b"", [sum(y for _, y in rows) / len(rows) if rows else 0.0])
-    # A third of each kind is kept for calibration.
-    t_fit, t_cal, p_fit, p_cal = (x for kind in (toxic, plain) for x in (kind[len(kind) // 3 :], kind[: len(kind) // 3]))
-    halves = [_bounded([windows(t) for t in t_fit[i::2]], MAX_WINDOWS // 2) for i in (0, 1)]
-    ordinary = _bounded([windows(t) for t in p_fit], MAX_WINDOWS)
-    learn, check = _flat(ordinary[::2]), _flat(ordinary[1::2])
-    base = _train(learn, _ORDINARY, 32) + _train(learn, _CONTRAST, 16)
-    picked = [_flat(h) for h in halves]
-    others = [_flat(halves[1]), _flat(halves[0])]
-    for turn, q in enumerate(_ROUNDS):
-        plainly = compressor(base)
-        before = lengths(plainly, check)
-        hard: list[bytes] = []
-        found = []
-        for mine, other in zip(picked, others):
-            side = compressor(base + _train(mine, _CONTRAST if turn == 0 else _TOXIC, 16))
-            d = before - lengths(side, check)
-            least = max(2, np.quantile(d, q))
-            hard += [w for w, x in zip(check, d) if x > least]
-            d = lengths(plainly, other) - lengths(side, other)
-            found.append([w for w, x in zip(other, d) if x > least])
-        picked = [found[1] or picked[0], found[0] or picked[1]]
-        if len(hard) > 100:
-            base += _train(hard, 2 * _TOXIC, 16)
-    model = Model(base, _train(picked[0] + picked[1], _TOXIC, 16), [])
-    x = np.array([features(model.distances(t)) for t in t_cal + p_cal])
+    docs = list(zip(_fresh([windows(t) for t, _ in rows]), rows))
+    toxic = [(d, t) for d, (t, y) in docs if y == 1 and d]
+    plain = [(d, t) for d, (t, y) in docs if y == 0 and d]
+    overall = Model(b"", b"", {}, [sum(y for _, y in rows) / len(rows) if rows else 0.0])
+    if len(toxic) < 8 or len(plain) < 8:
+        return overall
+    (t_fit, t_cal), (p_fit, p_cal) = _thirds(toxic), _thirds(plain)
+    ordinary = _train(_flat([d for d, _ in p_fit[::2]]), ORDINARY)
+    parts = _toxic_windows([d for d, _ in t_fit], [d for d, _ in p_fit[1::2]], ordinary)
+    if not parts:
+        return overall
+    content = _train(parts, TOXIC)
+    known = Vocabulary([d for d, _ in t_cal], [d for d, _ in p_cal])
+    cell = known.cells(lengths(ordinary, known.words), content)
+    ratio = _ratio(*(cell[g] for g in known.groups), 0.5)
+    model = Model(ordinary, content, {int(c): float(np.log(ratio[c])) for c in np.flatnonzero(ratio >= HIT)}, [])
+    x = np.array([features(*model.hits(t)) for _, t in t_cal + p_cal])
     y = np.array([1] * len(t_cal) + [0] * len(p_cal))
-    model.weights = _logistic(_design(x), y, share or float(np.mean(y))).tolist()
+    model.weights = _logistic(x, y, max(SHARE, share or float(np.mean(y)))).tolist()
     return model
 
 
@@ -181,15 +251,26 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")), F.lit(5)) == 0
 
 
-def fit_on(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def fit_on(df: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int = SAMPLE_BYTES) -> Model:
     """Fit on labelled rows outside the held-out fifth."""
     known = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     picks = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for y in (0, 1)]
     chosen = {r["doc_id"]: r["toxic"] for p in picks for r in p.collect()}  # at most 2 * sample numbers
-    ids = df.sparkSession.createDataFrame([(i, y) for i, y in chosen.items()], "doc_id long, toxic int")
-    rows = df.select("doc_id", "text").join(F.broadcast(ids), "doc_id").collect() if chosen else []
-    rows.sort(key=lambda r: (hash_order(r["doc_id"]), r["text"] or ""))
+    if not chosen:
+        return fit([])
+    spark = df.sparkSession
+    ids = spark.createDataFrame(list(chosen.items()), "doc_id long, toxic int")
+    texts = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).join(F.broadcast(ids), "doc_id")
+    texts = written(texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "sample")
+    sizes = sorted(((hash_order(r["doc_id"]), r["doc_id"], r["n"] or 0) for r in texts.select("doc_id", F.octet_length("text").alias("n")).collect()))
+    room, fits = {0: size, 1: size}, []
+    for _, i, held in sizes:
+        if held <= room[chosen[i]]:
+            room[chosen[i]] -= held
+            fits.append((i,))
+    rows = texts.join(F.broadcast(spark.createDataFrame(fits, "doc_id long")), "doc_id").collect()
+    rows.sort(key=lambda r: hash_order(r["doc_id"]))
     return fit([(r["text"], r["toxic"]) for r in rows], n.get(1, 0) / max(1, sum(n.values())))
 
 
