@@ -46,6 +46,8 @@ LEVELS, HIT = (1.5, 2.5, 5.0), 3.0
 #: Calibration lets toxic rows weigh as if they were this share, at least: misses count then as false alarms do.
 SHARE = 0.3
 _CELLS = 64 * 64 * 64
+#: Distinct windows whose weights a worker remembers, twice.
+REMEMBERED = 400_000
 
 
 def windows(text: str | None) -> list[bytes]:
@@ -109,7 +111,8 @@ class Model:
     toxic: bytes
     table: dict[int, float]  # weight of cells that hold hits
     weights: list[float]
-    known: dict = field(default_factory=dict)
+    known: dict = field(default_factory=dict)  # weights of windows seen lately, and of those seen before
+    older: dict = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.sides = None
@@ -119,15 +122,18 @@ class Model:
         parts = windows(text)
         if self.sides is None:
             self.sides = compressor(self.ordinary), compressor(self.toxic)
-        if len(self.known) > 200_000:
-            self.known = {}
-        known, table, (plainly, side) = self.known, self.table, self.sides
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        known, older, table, (plainly, side) = self.known, self.older, self.table, self.sides
         out = []
         for w in parts:
             x = known.get(w)
             if x is None:
-                framed = FRAME + w + b"\n"
-                x = known[w] = table.get(int(_cell(len(w), len(plainly(framed)), len(side(framed)))), 0.0)
+                x = older.get(w)
+                if x is None:
+                    framed = FRAME + w + b"\n"
+                    x = table.get((len(w) * 64 + min(len(plainly(framed)), 63)) * 64 + min(len(side(framed)), 63), 0.0)
+                known[w] = x
             if x:
                 out.append(x)
         return out, len(parts)
@@ -138,7 +144,7 @@ class Model:
         return float(_sigmoid(np.dot(self.weights, features(*self.hits(text)))))
 
     def __getstate__(self) -> dict:
-        return {"ordinary": self.ordinary, "toxic": self.toxic, "table": self.table, "weights": self.weights, "known": {}, "sides": None}
+        return {"ordinary": self.ordinary, "toxic": self.toxic, "table": self.table, "weights": self.weights, "known": {}, "older": {}, "sides": None}
 
 
 def features(weights: list[float], n: int) -> list[float]:
