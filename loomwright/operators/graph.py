@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwright.session import written
+from loomwright.session import forget, written
 
 
 def _stars(edges: DataFrame, both_ways: bool) -> DataFrame:
@@ -24,16 +24,18 @@ def _stars(edges: DataFrame, both_ways: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 30) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) of all nodes of an edge table; the component is its smallest node.
 
     Loops and repeated edges are ignored. Every round is written to the shared folder and costs joins on
-    a node, whose hot keys AQE splits; nothing is collected but one fingerprint of the table.
+    a node, whose hot keys AQE splits; the round before is deleted. Rounds go on until the table stays as it is (their
+    number grows with the logarithm of a component's size); nothing is collected but one fingerprint of it.
     """
     e = written(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b and a is not null and b is not null").distinct(), "edges")
     before = None
-    for _ in range(rounds):
-        e = written(_stars(_stars(e, True), False), "stars")
+    while True:
+        last, e = e, written(_stars(_stars(e, True), False), "stars")
+        forget(last)
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before:
             break

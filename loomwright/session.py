@@ -21,11 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    It is what the cluster names in ``spark.checkpoint.dir``. Only where that is unset (a local
-    session, as in tests) a folder of this machine is used.
+    It is what the cluster names in ``spark.checkpoint.dir``. Only where that is unset in a local
+    session, as in tests, a folder of this machine is used; a cluster without one is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = _local_shared()
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
@@ -50,7 +52,20 @@ def written(df: DataFrame, what: str) -> DataFrame:
     path = new_folder(spark, what)
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` stored and that no later read needs. What others were derived from must
+    have been consumed: a lazy result that still reads one fails."""
+    for t in tables:
+        path = t.__dict__.pop("_stored_at", None)
+        if path:
+            spark = t.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def ship_package(spark: SparkSession) -> None:
