@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 
-from loomwright.session import new_folder, shared_dir, ship_package, table, written  # noqa: F401  (for the operators)
+from loomwright.session import forget, new_folder, shared_dir, ship_package, table, written  # noqa: F401  (for the operators)
 
 #: Rows and bytes of text that one step in a Python worker handles at a time.
 STEP_ROWS, STEP_BYTES = 2_000, 4_000_000

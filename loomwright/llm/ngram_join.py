@@ -11,15 +11,19 @@ Sets of similarity 0.8 share at least k of the first n - ceil(0.8 n) + k shingle
 The boundary is where enumerating gets dearer than scanning, by the sizes' histogram and the measured length
 of lists. A set of under 4 shingles equals only equal sets.
 
-Steps: (1) sizes and signatures of all documents, and numbers of sets that hold a shingle;
-(2) postings, packed by bucket of their key; (3) in each bucket, neighbours in a list (by size, as far as
-sizes allow similarity) are linked: these candidate links, one for each posting at most, connect all pairs
-that can be similar; (4) their components, refined: the heads of a component's sets (prefixes for a larger k) meet, and
-pairs that share fewer than k shingles there, or differ too much already, part; (5) the sets of each refined component meet once and overlaps are counted
-exactly, unless the two are connected already. A component of over ``AT_ONCE`` shingles is dealt into chunks:
-first each chunk by itself, then some members of large clusters of all chunks, then every chunk against all
-sets outside the component's largest cluster. That leaves out only pairs that are connected already, so no
-pair of different components goes unseen. (6) Links' components, joined back to documents.
+Steps: (1) sizes, signatures and sketches of all documents, and numbers of sets that hold a shingle;
+(2) postings, packed by bucket of their key; (3) in each bucket, the sets of a list that sizes allow to be similar are
+paired if the list has at most ``SHORT``, so that each pair can be judged: a sketch has the parity of a set's shingles in
+about as many places as it has shingles, and where two sketches differ in more places than similar sets may
+differ in shingles, the pair goes. That is exact, and leaves hardly any pair that only shares a shingle or two. Sets of
+a longer list are linked to their neighbours by size, which connects all that can be similar and needs no pairs;
+(4) candidate components of both kinds of links; those with links of longer lists are refined: the heads of their sets
+(prefixes for a larger k) meet, and pairs that share fewer than k shingles there, or differ too much already, part;
+(5) the sets of each component meet once and overlaps are counted exactly, unless the two are connected
+already. A component of over ``AT_ONCE`` shingles is dealt into chunks: first each chunk by itself, then some members
+of large clusters of all chunks, then what is outside the component's largest cluster, in parts, against every chunk.
+That leaves out only pairs that are connected already, so no pair of different components goes unseen. (6) Links'
+components, joined back to documents. Tables of a step are deleted when the next one has been written.
 
 Null or empty texts, and texts without words, have no shingles and no links. A text of 1 to 4 words is one
 shingle. Repeated rows are one set. Ids may repeat: each row is returned. An empty table gives an empty result.
@@ -36,12 +40,16 @@ from pyspark.sql import functions as F
 from loomwright.operators.graph import connected_components
 
 from .bpe import mix
-from .common import ship_package, steps, written
+from .common import forget, ship_package, steps, written
 
 WORDS = 5
 NUM, DEN = 80, 100
-#: Shingles in a chunk of step 1, in one task of step 5, and in a bucket's postings.
-CHUNK, AT_ONCE, POSTINGS = 2_000_000, 4_000_000, 1_500_000
+#: Shingles in a chunk of step 1, in one task of step 5, and in a bucket's postings; sets in one task of step 5.
+CHUNK, AT_ONCE, POSTINGS, SETS_AT_ONCE = 2_000_000, 4_000_000, 1_500_000, 40_000
+#: Bytes of text whose shingles one task counts, and one group of them.
+COUNTED, GROUPED = 64_000_000, 8_000_000
+#: Sets of a list that are paired: ten pairs at most for a list of five.
+SHORT = 5
 #: A shingle of so many sets may rank as frequent; frequent shingles that are broadcast at most (16 bytes
 #: each, and a mask of 16 MB); bits of the filter of step 5 (16 MB, whatever the corpus).
 SHARED, FREQUENT, FILTER_BITS = 4, 1_000_000, 27
@@ -114,10 +122,26 @@ def head_need(n):
     return n // 20 + 1
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Parities of a set's shingles in as many places as the next power of two has, 64 at least."""
+    places = max(64, 1 << int(len(s) - 1).bit_length())
+    return np.packbits((np.bincount((s & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1).astype(np.uint8)).tobytes()
+
+
+def apart(a: bytes, b: bytes) -> int:
+    """In how many shingles two sets differ at least. Parities of fewer places are those of more, folded."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) != len(y):
+        if len(x) < len(y):
+            x, y = y, x
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _documents(df: DataFrame, groups: int) -> DataFrame:
-    """Step 1. kind 0: a document (a: id, n: size of its set, s: its set); kind 1: a block of shingles for
-    counting (a: their group), 32 bits of each. Counted are the shingles in the first half of each set by
-    hash; the others hardly get into a prefix and rank as rare."""
+    """Step 1. kind 0: a document (a: id, n: size of its set, s: its set, tokens: its sketch, where a task meets a set
+    for the first time); kind 1: a block of shingles for counting (a: their group), 32 bits of each. Counted are
+    the shingles in the first half of each set by hash; the others hardly get into a prefix and rank as rare."""
 
     def block(parts):
         t = np.concatenate(parts)
@@ -132,13 +156,15 @@ def _documents(df: DataFrame, groups: int) -> DataFrame:
         parts, held, seen = [], 0, set()
         for batch in steps(batches, size=1_000_000):
             sets = shingle_sets(batch.column(1).to_pylist())
-            sigs = [signature(s) for s in sets]
-            yield _batch(0, batch.column(0), np.array([len(s) for s in sets]), np.array(sigs, np.int64), [None] * len(sets))
+            sigs, marks = [signature(s) for s in sets], []
             for s, g in zip(sets, sigs):
+                marks.append(None)
                 if g not in seen and len(s) >= 4:
                     seen.add(g)
+                    marks[-1] = sketch(s)
                     parts.append(s[: (len(s) + 1) // 2])
                     held += len(parts[-1])
+            yield _batch(0, batch.column(0), np.array([len(s) for s in sets]), np.array(sigs, np.int64), marks)
             if held >= CHUNK // 2:
                 yield block(parts)
                 parts, held, seen = [], 0, set()
@@ -152,7 +178,7 @@ def _batch(kind, a, n, s, tokens) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int32)), a if isinstance(a, pa.Array) else pa.array(a), pa.array(np.asarray(n, np.int32)), pa.array(s), pa.array(tokens, pa.binary())], ["kind", "a", "n", "s", "tokens"])
 
 
-def _counts(seen: DataFrame) -> DataFrame:
+def _counts(seen: DataFrame, tasks: int) -> DataFrame:
     """Shingles (by group and 32 bits) that at least ``SHARED`` sets hold, with their number."""
 
     def run(pdf):
@@ -164,7 +190,7 @@ def _counts(seen: DataFrame) -> DataFrame:
         k = np.flatnonzero(n >= SHARED)
         return pd.DataFrame({"key": (np.int64(pdf["a"].iloc[0]) << 32) | t[edge[k]].astype(np.int64), "n": n[k]})
 
-    return seen.where("kind = 1").select("a", "tokens").groupBy("a").applyInPandas(run, "key long, n long")
+    return seen.where("kind = 1").select("a", "tokens").repartition(tasks, "a").groupBy("a").applyInPandas(run, "key long, n long")
 
 
 class Order:
@@ -272,8 +298,9 @@ def _postings(df: DataFrame, order, boundary: int, buckets: int) -> DataFrame:
     return df.mapInArrow(run, "bucket int, keys binary, at binary, sets binary, sizes binary")
 
 
-def _links(blocks: DataFrame) -> DataFrame:
-    """Step 3: candidate links of each bucket, thinned to a forest."""
+def _links(blocks: DataFrame, tasks: int) -> DataFrame:
+    """Step 3: candidate links of each bucket: pairs of short lists (a, b and their sizes), and a forest of neighbours in
+    longer ones (``long``)."""
 
     def run(pdf):
         import pandas as pd
@@ -282,7 +309,7 @@ def _links(blocks: DataFrame) -> DataFrame:
         shift = np.cumsum([0, *(len(x) // 8 for x in pdf["sets"])])
         who = np.concatenate([np.frombuffer(x, np.uint32).astype(np.int64) + o for x, o in zip(pdf["at"], shift)])
         sets = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["sets"]])
-        size = np.concatenate([np.frombuffer(x, np.int32) for x in pdf["sizes"]])
+        size = np.concatenate([np.frombuffer(x, np.int32) for x in pdf["sizes"]]).astype(np.int64)
         # Only keys that occur again matter.
         by = np.argsort(key, kind="stable")
         key, who = key[by], who[by]
@@ -290,11 +317,20 @@ def _links(blocks: DataFrame) -> DataFrame:
         keep = np.concatenate([again, [False]]) | np.concatenate([[False], again])
         key, who = key[keep], who[keep]
         by = np.lexsort((sets[who], size[who], key))
-        key, who = key[by], who[by]
-        a, b = sets[who[:-1]], sets[who[1:]]
-        n, m = size[who[:-1]].astype(np.int64), size[who[1:]].astype(np.int64)
-        link = (key[1:] == key[:-1]) & (a != b) & (NUM * m <= DEN * n)
-        pairs = np.unique(np.column_stack([a[link], b[link]]), axis=0)
+        key, node, size = key[by], sets[who[by]], size[who[by]]
+        # A set that several tasks met is once in a list.
+        new = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])[: len(key)]
+        key, node, size = key[new], node[new], size[new]
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+        members = np.diff(np.concatenate([start, [len(key)]]))
+        many = np.repeat(members > SHORT, members)
+        pairs = []
+        for d in range(1, SHORT):
+            i = np.flatnonzero((key[d:] == key[:-d]) & ~many[:-d] & (NUM * size[d:] <= DEN * size[:-d]))
+            pairs.append(np.column_stack([node[i], node[i + d], size[i], size[i + d]]))
+        pairs = np.unique(np.concatenate(pairs), axis=0)
+        i = np.flatnonzero((key[1:] == key[:-1]) & many[:-1] & (NUM * size[1:] <= DEN * size[:-1]))
+        chain = np.unique(np.column_stack([node[i], node[i + 1]]), axis=0)
         parent: dict[int, int] = {}
 
         def root(x):
@@ -303,14 +339,30 @@ def _links(blocks: DataFrame) -> DataFrame:
                 x = p
             return x
 
-        for x, y in pairs.tolist():
+        for x, y in chain.tolist():
             x, y = root(x), root(y)
             if x != y:
                 parent[max(x, y)] = min(x, y)
-        nodes = list(parent)
-        return pd.DataFrame({"a": np.array(nodes, np.int64), "b": np.array([root(x) for x in nodes], np.int64)})
+        nodes = np.array(list(parent), np.int64)
+        tree = pd.DataFrame({"a": nodes, "b": np.array([root(x) for x in parent], np.int64), "n": 0, "m": 0, "long": True})
+        return pd.concat([pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1], "n": pairs[:, 2], "m": pairs[:, 3], "long": False}), tree])
+
+    return blocks.repartition(tasks, "bucket").groupBy("bucket").applyInPandas(run, "a long, b long, n long, m long, long boolean").distinct()
 
-    return blocks.groupBy("bucket").applyInPandas(run, "a long, b long")
+
+def _judged(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs whose sketches allow similarity; rows: documents' sets with sketches."""
+
+    def run(batches):
+        for batch in batches:
+            n, m = (batch.column(i).to_numpy() for i in (2, 3))
+            least = np.array([apart(x.as_py(), y.as_py()) for x, y in zip(batch.column(4), batch.column(5))], np.int64)
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array((DEN + NUM) * least <= (DEN - NUM) * (n + m)))
+
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    marks = rows.where("tokens is not null").join(ends, "node").groupBy("node").agg(F.first("tokens").alias("x"))
+    both = pairs.join(marks.withColumnRenamed("node", "a"), "a").join(marks.select(F.col("node").alias("b"), F.col("x").alias("y")), "b")
+    return both.select("a", "b", "n", "m", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def _needed(nodes: DataFrame):
@@ -383,7 +435,9 @@ def join_sets(ids: list[int], sets: list[np.ndarray], labels: list[int], sizes:
         t = token[begin[i] : begin[i + 1]]
         lo, n = edge[t], edge[t + 1] - edge[t]
         at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        shared = np.bincount(lists[at], minlength=len(sets))[i + 1 : upto[i]]
+        met = lists[at]
+        met = met[(met > i) & (met < upto[i])] - (i + 1)
+        shared = np.bincount(met, minlength=upto[i] - (i + 1))
         enough = DEN * shared >= NUM * (size[i] + size[i + 1 : upto[i]] - shared) if sizes is None else shared >= head_need(size[i])
         for j in np.flatnonzero(other & enough):
             a, b = label[i], label[i + 1 + j]
@@ -407,7 +461,8 @@ def _verified(rows: DataFrame, keys: list[str], bins: int, heads: bool = False)
                 links += join_sets(group["node"].tolist(), [np.frombuffer(t, np.uint32 if heads else np.uint64) for t in group["tokens"]], group["label"].tolist(), group["n"].tolist() if heads else None)
         return pd.DataFrame({"a": np.array([x for x, _ in links], np.int64), "b": np.array([x for _, x in links], np.int64)})
 
-    return rows.select(*keys, "node", "tokens", "label", "n").groupBy(F.pmod(F.xxhash64(*keys), F.lit(bins)).alias("bin")).applyInPandas(run, "a long, b long")
+    dealt = rows.select(*keys, "node", "tokens", "label", "n", F.pmod(F.xxhash64(*keys), F.lit(bins)).cast("int").alias("bin"))
+    return dealt.repartition(max(12, bins // 4), "bin").groupBy("bin").applyInPandas(run, "a long, b long")
 
 
 def _relabel(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -420,12 +475,15 @@ def components(df: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     spark = df.sparkSession
     ship_package(spark)
     docs = df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    groups = 4 * max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = max(64, held // GROUPED)
     seen = written(_documents(docs, groups), "sets")
-    rows = seen.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("n"), F.col("s").alias("node"))
+    counts = written(_counts(seen, max(least, held // COUNTED)), "counts")
+    rows = written(seen.where("kind = 0").select(F.col("a").alias("doc_id"), "n", F.col("s").alias("node"), "tokens"), "rows")
+    forget(seen)
 
     # Frequent shingles: as many of the most frequent ones as may be broadcast.
-    counts = written(_counts(seen), "counts")
     step = F.floor(F.log2("n") * 4).cast("int")
     histogram = sorted(((r["k"], r["c"], r["q"]) for r in counts.groupBy(step.alias("k")).agg(F.count("*").alias("c"), F.sum(F.col("n") * F.col("n")).alias("q")).collect()), reverse=True)
     held, floor = 0, 10**6
@@ -444,32 +502,52 @@ def components(df: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     buckets = max(12, -(-total * 22 // 100 // POSTINGS))
 
     blocks = written(_postings(docs, order, boundary, buckets), "postings")
-    sizes_of = rows.select("node", "n").distinct()
-    candidates = written(connected_components(_links(blocks)).join(sizes_of, "node"), "candidates")
+    links = written(_links(blocks, max(least, buckets // 2)), "links")
+    forget(blocks, counts)
+    judged = _judged(links.where("not long").select("a", "b", "n", "m"), rows)
+    found = connected_components(judged.unionByName(links.where("long").select("a", "b")))
+    sizes_of = rows.where("tokens is not null").select("node", "n").distinct()
+    candidates = written(found.join(sizes_of, "node"), "candidates")
+    chained = written(candidates.join(links.where("long").select(F.col("a").alias("node")).distinct(), "node").select("component", F.lit(True).alias("long")).distinct(), "chained")
+    # So few components are heavy that they may be broadcast: one for each 4 * AT_ONCE shingles of all, at most.
+    heavy = candidates.groupBy("component").agg(F.sum("n").alias("n")).where(F.col("n") > 4 * AT_ONCE).select("component", F.lit(True).alias("heavy"))
+    marked = candidates.join(chained, "component", "left").join(F.broadcast(heavy), "component", "left")
+    marked = written(marked.withColumn("refined", F.expr("long is not null and heavy is null")), "marked")
+    forget(candidates, chained, links)
 
     # Heads, a quarter of the sets, tell most pairs apart that share a few shingles only. Components whose
     # heads are too many for a task stay as they are.
-    heavy = candidates.groupBy("component").agg((F.sum("n") > 4 * AT_ONCE).alias("heavy"))
-    marked = written(candidates.join(heavy, "component"), "marked")
-    light = marked.where("not heavy").select("node", "component", "n")
-    bins = max(48, -(-(candidates.agg(F.sum("n")).first()[0] or 0) // AT_ONCE))
-    bits = spark.sparkContext.broadcast(_needed(light))
-    heads = _sets(docs, bits, order).join(light, "node").withColumn("label", F.col("node"))
-    finer = _verified(heads, ["component"], bins, heads=True).unionByName(marked.where("heavy").select(F.col("node").alias("a"), F.col("component").alias("b")))
+    light = marked.where("refined").select("node", "component", "n")
+    bins = max(48, -(-(light.agg(F.sum("n")).first()[0] or 0) // AT_ONCE))
+    whole = marked.where("not refined").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    if light.isEmpty():
+        finer = whole
+    else:
+        bits = spark.sparkContext.broadcast(_needed(light))
+        heads = _sets(docs, bits, order).join(light, "node").withColumn("label", F.col("node"))
+        finer = _verified(heads, ["component"], bins, heads=True).unionByName(whole)
     candidates = written(connected_components(finer).join(sizes_of, "node"), "candidates")
-
-    many = candidates.groupBy("component").agg(F.ceil(F.sum("n") / AT_ONCE).cast("int").alias("chunks"))
-    bits = spark.sparkContext.broadcast(_needed(candidates))
-    placed = candidates.join(many, "component").select("node", "component", "n", "chunks", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk"))
+    forget(marked)
+
+    # Likewise few components are dealt into chunks.
+    sums = candidates.groupBy("component").agg(F.ceil(F.greatest(F.sum("n") / AT_ONCE, F.count("*") / SETS_AT_ONCE)).cast("int").alias("chunks"))
+    placed = candidates.join(F.broadcast(sums.where("chunks > 1")), "component", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    placed = written(placed.select("node", "component", "n", "chunks", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk")), "placed")
+    total = placed.agg(F.sum("n")).first()[0] or 0
+    forget(candidates)
+    bits = spark.sparkContext.broadcast(_needed(placed))
     sets = _sets(docs, bits).join(placed, "node").withColumn("label", F.col("node"))
-    bins = max(48, -(-4 * (candidates.agg(F.sum("n")).first()[0] or 0) // AT_ONCE))
+    bins = max(48, -(-4 * total // AT_ONCE))
     links = written(_verified(sets, ["component", "chunk"], bins), "links")
     if not placed.where("chunks > 1").isEmpty():
         links = _large(written(sets.where("chunks > 1").dropDuplicates(["node"]), "large"), links, bins)
     found = connected_components(links)
+    forget(links, placed)
 
-    joined = rows.join(found, "node", "left").withColumn("component", F.coalesce("component", F.when(F.col("node") != 0, F.col("node"))))
-    smallest = joined.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
+    joined = rows.select("doc_id", "n", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", F.when(F.col("node") != 0, F.col("node"))))
+    joined = written(joined, "joined")
+    smallest = written(joined.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least")), "smallest")
+    forget(rows)
     return joined.join(smallest, "component", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
 
 
@@ -483,13 +561,20 @@ def _large(sets: DataFrame, links: DataFrame, bins: int) -> DataFrame:
     some = labelled.join(size, ["component", "chunk", "label"]).withColumn("_n", nth).where("_n <= 8").drop("_n")
     links = written(links.unionByName(_verified(some, ["component"], bins)), "links")
     labelled = written(_relabel(sets, links), "large")
-    # What is outside the largest label of the component goes to every chunk.
-    counts = labelled.groupBy("component", "label").agg(F.count("*").alias("c"))
+    # What is outside the largest label of the component meets every chunk, and itself, in parts of a task's size.
+    counts = labelled.groupBy("component", "label").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
     main = counts.groupBy("component").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
-    marked = labelled.join(main, "component")
-    sent = marked.where("label <> main").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    both = marked.where("label = main").unionByName(sent.select(*marked.columns))
-    return written(links.unionByName(_verified(both, ["component", "chunk"], bins)), "links")
+    outside = counts.join(main, "component").where("label <> main").groupBy("component", "main")
+    parts = outside.agg(F.ceil(F.greatest(F.sum("n") / AT_ONCE, F.sum("c") / SETS_AT_ONCE)).cast("int").alias("parts"))
+    # One row for a component of several chunks: few, as above.
+    marked = labelled.join(F.broadcast(written(parts, "parts")), "component")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    out = marked.where("label <> main").withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int"))
+    left = marked.where("label = main").unionByName(out.withColumn("chunk", F.col("chunks") + F.col("part")).select(*marked.columns)).withColumn("part", every(F.col("parts")))
+    right = out.withColumn("chunk", every(F.col("chunks") + F.col("parts")))
+    links = written(links.unionByName(_verified(left.unionByName(right), ["component", "chunk", "part"], bins)), "links")
+    forget(sets, labelled)
+    return links
 
 
 def _by_filter(df: DataFrame, bits, inside: bool) -> DataFrame:
