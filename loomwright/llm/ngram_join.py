@@ -139,7 +139,7 @@ def apart(a: bytes, b: bytes) -> int:
 
 
 def _documents(df: DataFrame, groups: int) -> DataFrame:
-    """Step 1. kind 0: a document (a: id, n: size of its set, s: its set, tokens: its sketch, where a task meets a set
+    """Step 1. kind 0: a document (a: id, k: its key, n: size of its set, s: its set, tokens: its sketch, where a task meets a set
     for the first time); kind 1: a block of shingles for counting (a: their group), 32 bits of each. Counted are
     the shingles in the first half of each set by hash; the others hardly get into a prefix and rank as rare."""
 
@@ -150,7 +150,7 @@ def _documents(df: DataFrame, groups: int) -> DataFrame:
         high, edge = (t[by] >> np.uint64(32)).astype(np.uint32), np.concatenate([[0], np.cumsum(np.bincount(group, minlength=groups))])
         used = np.flatnonzero(np.diff(edge))
         zero = np.zeros(len(used), np.int64)
-        return _batch(1, used, zero, zero, [high[edge[g] : edge[g + 1]].tobytes() for g in used])
+        return _batch(1, used, zero, zero, zero, [high[edge[g] : edge[g + 1]].tobytes() for g in used])
 
     def run(batches):
         parts, held, seen = [], 0, set()
@@ -164,18 +164,19 @@ def _documents(df: DataFrame, groups: int) -> DataFrame:
                     marks[-1] = sketch(s)
                     parts.append(s[: (len(s) + 1) // 2])
                     held += len(parts[-1])
-            yield _batch(0, batch.column(0), np.array([len(s) for s in sets]), np.array(sigs, np.int64), marks)
+            yield _batch(0, batch.column(0), batch.column(2), np.array([len(s) for s in sets]), np.array(sigs, np.int64), marks)
             if held >= CHUNK // 2:
                 yield block(parts)
                 parts, held, seen = [], 0, set()
         if parts:
             yield block(parts)
 
-    return df.mapInArrow(run, "kind int, a long, n int, s long, tokens binary")
+    return df.mapInArrow(run, "kind int, a long, k long, n int, s long, tokens binary")
 
 
-def _batch(kind, a, n, s, tokens) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int32)), a if isinstance(a, pa.Array) else pa.array(a), pa.array(np.asarray(n, np.int32)), pa.array(s), pa.array(tokens, pa.binary())], ["kind", "a", "n", "s", "tokens"])
+def _batch(kind, a, k, n, s, tokens) -> pa.RecordBatch:
+    whole = [x if isinstance(x, pa.Array) else pa.array(x) for x in (a, k)]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int32)), *whole, pa.array(np.asarray(n, np.int32)), pa.array(s), pa.array(tokens, pa.binary())], ["kind", "a", "k", "n", "s", "tokens"])
 
 
 def _counts(seen: DataFrame, tasks: int) -> DataFrame:
@@ -471,16 +472,30 @@ def _relabel(rows: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def components(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row for each document: doc_id, n_shingles, component_id (the smallest id reachable by links)."""
+    """One row for each document: doc_id, n_shingles, component_id (the smallest id reachable by links; null if
+    nothing reachable has an id)."""
+    joined = _classes(df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")))
+    smallest = written(joined.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least")), "smallest")
+    return joined.join(smallest, "component", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+
+
+def _key() -> F.Column:
+    """What tells rows apart: id and text, either of which may be null."""
+    return F.xxhash64("doc_id", "text")
+
+
+def _classes(df: DataFrame) -> DataFrame:
+    """A stored table of one row for each of ``df`` (doc_id, text): doc_id, k (its key), n (size of its set), component
+    (null: no shingles)."""
     spark = df.sparkSession
     ship_package(spark)
-    docs = df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    docs = df.select("doc_id", "text", _key().alias("k"))
     held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = max(64, held // GROUPED)
     seen = written(_documents(docs, groups), "sets")
     counts = written(_counts(seen, max(least, held // COUNTED)), "counts")
-    rows = written(seen.where("kind = 0").select(F.col("a").alias("doc_id"), "n", F.col("s").alias("node"), "tokens"), "rows")
+    rows = written(seen.where("kind = 0").select(F.col("a").alias("doc_id"), "k", "n", F.col("s").alias("node"), "tokens"), "rows")
     forget(seen)
 
     # Frequent shingles: as many of the most frequent ones as may be broadcast.
@@ -544,11 +559,10 @@ def components(df: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     found = connected_components(links)
     forget(links, placed)
 
-    joined = rows.select("doc_id", "n", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", F.when(F.col("node") != 0, F.col("node"))))
-    joined = written(joined, "joined")
-    smallest = written(joined.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least")), "smallest")
+    joined = rows.select("doc_id", "k", "n", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", F.when(F.col("node") != 0, F.col("node"))))
+    joined = written(joined.select("doc_id", "k", "n", "component"), "joined")
     forget(rows)
-    return joined.join(smallest, "component", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+    return joined
 
 
 def _large(sets: DataFrame, links: DataFrame, bins: int) -> DataFrame:
@@ -577,30 +591,38 @@ def _large(sets: DataFrame, links: DataFrame, bins: int) -> DataFrame:
     return links
 
 
-def _by_filter(df: DataFrame, bits, inside: bool) -> DataFrame:
-    """Rows whose doc_id the filter holds (or does not; null ids never are in it)."""
-    place = df.columns.index("doc_id")
+def _by_filter(df: DataFrame, key: str, bits, inside: bool) -> DataFrame:
+    """Rows whose key the filter holds, or does not."""
+    place = df.columns.index(key)
 
     def run(batches):
         known = bits.value
         for batch in batches:
-            ids = batch.column(place)
-            slot = ids.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False) % (1 << FILTER_BITS)
-            hit = (known[slot >> 3] >> (slot & 7) & 1).astype(bool) & ids.is_valid().to_numpy(zero_copy_only=False)
+            slot = batch.column(place).to_numpy() % (1 << FILTER_BITS)
+            hit = (known[slot >> 3] >> (slot & 7) & 1).astype(bool)
             yield batch.filter(pa.array(hit if inside else ~hit))
 
     return df.mapInArrow(run, df.schema)
 
 
 def keep_one(df: DataFrame) -> DataFrame:
-    """Of each component the document with the smallest doc_id, all its columns. Repeated rows of one id
-    and text are one document.
+    """Of each component the document with the smallest doc_id, all its columns; of several texts of that id in the
+    component the one with the smallest hash. A document without an id stays only where its component has none with
+    one. Rows of equal id and text are one document, also if they have no shingles; ids alone tell nothing apart, so
+    different texts of one id are judged each by its own component. An empty table gives an empty result.
 
     Only rows that may have to go are shuffled: a filter of fixed size lets all others pass as they are."""
     spark = df.sparkSession
-    found = written(components(df.select("doc_id", "text")), "components")
-    others = found.where("doc_id <> component_id").select("doc_id").distinct()
-    repeated = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    bits = spark.sparkContext.broadcast(_needed(others.unionByName(repeated).where("doc_id is not null").select(F.col("doc_id").alias("node"))))
-    doubtful = _by_filter(df, bits, True).join(others, "doc_id", "left_anti").withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"])
-    return _by_filter(df, bits, False).unionByName(doubtful.select(*df.columns))
+    found = _classes(df.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k")).alias("first")
+    stays = written(found.where("component is not null").groupBy("component").agg(first).select("component", F.col("first.k").alias("stays")), "stays")
+    others = written(found.join(stays, "component").where("k <> stays").select("k").distinct(), "others")
+    repeated = found.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k")
+    bits = spark.sparkContext.broadcast(_needed(others.unionByName(repeated).select(F.col("k").alias("node"))))
+    forget(found, stays)
+    key = "_k"
+    while key in df.columns:
+        key += "_"
+    keyed = df.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), F.col("text")))
+    doubtful = _by_filter(keyed, key, bits, True).join(others.withColumnRenamed("k", key), key, "left_anti").dropDuplicates([key])
+    return _by_filter(keyed, key, bits, False).unionByName(doubtful.select(*keyed.columns)).drop(key)
