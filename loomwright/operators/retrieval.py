@@ -1,35 +1,101 @@
 """Bigram BM25 over a table of documents, with boosts, filters and quotas.
 
-The corpus is one posting table (term, doc, tf). A set of queries is answered at once: their distinct terms
-meet the postings in an equi-join, and scores are sums by (query, document). Nothing is collected.
+The corpus becomes one stored posting table (term, doc, tf) of the queries' terms, with each document's length. A set of
+queries is answered at once: their terms meet the postings in an equi-join, and scores are sums by (query, document).
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from loomwright.functions.text import bigrams, n_bigrams
+from loomwright.session import ship_package, written
 
 K1, B = 1.5, 0.75
+#: Distinct terms of the queries that are broadcast at most, 8 bytes each; beyond that all postings are made.
+MAX_TERMS = 1_000_000
+_BARRIER, _SINGLE = 0x1FFFFF, 1 << 42
 
 
-def bm25(docs: DataFrame, queries: DataFrame, doc_id: str, doc_text: str, query_id: str, query_text: str, tokens=bigrams) -> DataFrame:
+def term_codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Search tokens of all texts as numbers (two code points, or one ideograph), the text each is of, and how
+    many each text has. They are those of ``functions.text.bigrams``."""
+    plain = ["".join((s or "").split()) for s in texts]
+    code = np.frombuffer((chr(0x10FFFF) + chr(0x10FFFF).join(plain) + chr(0x10FFFF)).encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
+    ends = np.cumsum([0, *(len(p) + 1 for p in plain)])
+    edge = np.zeros(len(code), bool)
+    edge[ends] = True
+    owner = np.cumsum(edge) - 1
+    pair = np.flatnonzero(~edge[:-1] & ~edge[1:])
+    single = np.flatnonzero((code >= 0x4E00) & (code <= 0x9FFF) & ~edge)
+    who = np.concatenate([owner[pair], owner[single]])
+    return np.concatenate([code[pair] << 21 | code[pair + 1], code[single] | _SINGLE]), who, np.bincount(who, minlength=len(texts))[: len(texts)]
+
+
+def _query_terms(queries: DataFrame, query_id: str, query_text: str) -> DataFrame:
+    rows = queries.select(F.col(query_id).alias("query"), F.col(query_text).alias("text"))
+    schema = StructType([rows.schema["query"], StructField("term", LongType())])
+
+    def run(batches):
+        for batch in batches:
+            codes, who, _ = term_codes(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(who)), pa.array(codes)], ["query", "term"])
+
+    return rows.mapInArrow(run, schema).distinct()
+
+
+def postings(docs: DataFrame, doc_id: str, doc_text: str, wanted=None) -> DataFrame:
+    """(doc, dl, term, tf); a document also has one row of term -1. ``wanted``: a broadcast array of the only terms."""
+    rows = docs.select(F.col(doc_id).alias("doc"), F.col(doc_text).alias("text"))
+    fields = [StructField(x, LongType()) for x in ("dl", "term", "tf")]
+
+    def run(batches):
+        terms = None if wanted is None else wanted.value
+        if terms is not None:  # most tokens are told apart by a mask of some bits of their codes
+            maybe = np.zeros(1 << 20, bool)
+            maybe[terms * 0x9E3779B1 >> 7 & 0xFFFFF] = True
+        for big in batches:
+            for at in range(0, big.num_rows, 256):
+                batch = big.slice(at, 256)
+                codes, who, dl = term_codes(batch.column(1).to_pylist())
+                if terms is not None:
+                    keep = maybe[codes * 0x9E3779B1 >> 7 & 0xFFFFF]
+                    codes, who = codes[keep], who[keep]
+                    keep = np.isin(codes, terms)
+                    codes, who = codes[keep], who[keep]
+                by = np.lexsort((codes, who))
+                codes, who = codes[by], who[by]
+                first = np.flatnonzero(np.concatenate([[True], (codes[1:] != codes[:-1]) | (who[1:] != who[:-1])])[: len(codes)])
+                tf = np.diff(np.concatenate([first, [len(codes)]]))
+                each = np.arange(batch.num_rows)
+                owner = np.concatenate([each, who[first]])
+                term, n = np.concatenate([np.full(len(each), -1), codes[first]]), np.concatenate([np.zeros(len(each), np.int64), tf])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(dl[owner]), pa.array(term), pa.array(n)], ["doc", "dl", "term", "tf"])
+
+    return rows.mapInArrow(run, StructType([rows.schema["doc"], *fields]))
+
+
+def bm25(docs: DataFrame, queries: DataFrame, doc_id: str, doc_text: str, query_id: str, query_text: str) -> DataFrame:
     """(query, doc, score) of all pairs that share a term. A term counts once in a query. Document
-    frequencies and the mean length are those of all of ``docs``.
-
-    Only postings of query terms are made: the queries' distinct terms join the exploded tokens."""
-    length = n_bigrams if tokens is bigrams else lambda c: F.size(tokens(c))
-    size = docs.agg(F.count("*").alias("n"), F.avg(length(F.col(doc_text))).alias("avgdl"))
-    # The length is made before the tokens are exploded: else the text would go along with every token.
-    toks = docs.select(F.col(doc_id).alias("doc"), length(F.col(doc_text)).alias("dl"), tokens(F.col(doc_text)).alias("t")).select("doc", "dl", F.explode("t").alias("term"))
-    terms = queries.select(F.col(query_id).alias("query"), F.explode(F.array_distinct(tokens(F.col(query_text)))).alias("term"))
-    wanted = terms.select("term").distinct()
-    tf = toks.join(wanted, "term").groupBy("term", "doc", "dl").agg(F.count("*").alias("tf"))
+    frequencies and the mean length are those of all of ``docs``; null texts count as empty."""
+    spark = docs.sparkSession
+    ship_package(spark)
+    terms = written(_query_terms(queries, query_id, query_text), "terms")
+    distinct = terms.select("term").distinct()
+    wanted = None
+    if distinct.count() <= MAX_TERMS:
+        wanted = spark.sparkContext.broadcast(np.sort(np.array([r["term"] for r in distinct.collect()], np.int64)))
+    held = written(postings(docs, doc_id, doc_text, wanted), "postings")
+    size = held.where("term = -1").agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
+    tf = held.where("term <> -1")
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-    weighed = tf.join(df, "term").crossJoin(F.broadcast(size)).select("term", "doc", weight.alias("w"))  # size is one row
+    # A term's weight in a document is made once, whatever the number of queries; size is one row.
+    weighed = tf.join(df, "term").crossJoin(F.broadcast(size)).select("term", "doc", weight.alias("w"))
     return terms.join(weighed, "term").groupBy("query", "doc").agg(F.sum("w").alias("score"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomwright.session import written
+
 
 def gap_sessions(df: DataFrame, time: str, gap, keys: list[str], order: list[str], name: str = "session") -> DataFrame:
     """A session number from 0 within ``keys``; a new session begins where the gap to the row before is
@@ -14,6 +16,16 @@ def gap_sessions(df: DataFrame, time: str, gap, keys: list[str], order: list[str
     return df.withColumn("_new", new).withColumn(name, F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
+def place_in_order(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """The place of every row, from 1, in the order of all rows: rows are dealt by ranges of ``order`` and numbered
+    within each, and what the ranges before hold is added. ``order`` must tell rows apart. No task sorts all."""
+    dealt = written(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = dealt.groupBy("_range").agg(F.count("*").alias("_n"))  # one row for each range
+    before = sizes.select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return dealt.withColumn(name, within).join(F.broadcast(before), "_range").withColumn(name, (F.col(name) + F.col("_before")).cast("long")).drop("_range", "_before")
+
+
 def interval_union(df: DataFrame, start: str, end: str, keys: list[str], touching: bool = True, slack=0) -> DataFrame:
     """Unions of overlapping intervals; with ``touching`` equal ends merge, with ``slack`` gaps below it do."""
     w = Window.partitionBy(*keys).orderBy(start, end)

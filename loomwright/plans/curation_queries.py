@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomwright.functions import text as T
 from loomwright.operators import joins as J
 from loomwright.operators import windows as W
+from loomwright.operators.containment import held_quotes
 
 from .registry import query
 from .text_queries import LINES, lines
@@ -16,58 +17,57 @@ from .window_queries import EVENTS, events
 NORM = r"regexp_replace(lower({}), '[^\p{{L}}\p{{N}}]+', '', 'g')"
 
 
-def _quotes(t):
-    """Items as quotes: (item_id, head of 60 characters), a stated set that is broadcast after a size check."""
-    q = t.benchmark.select("item_id", F.substring("text", 1, 60).alias("quote"))
-    assert q.count() <= 100_000, "quotes are broadcast"
-    return F.broadcast(q)
+def _normal(df, key: str):
+    return df.select(key, T.normal(F.col("text")).alias("x"))
 
 
-@query("ev2_quote_check", f"SELECT item_id, count(*) AS found_in FROM benchmark b JOIN documents d ON contains({NORM.format('d.text')}, {NORM.format('left(b.text, 60)')}) GROUP BY item_id")
+@query("ev2_quote_check", f"SELECT item_id, count(*) AS found_in FROM benchmark b JOIN documents d ON contains({NORM.format('d.text')}, {NORM.format('b.text')}) GROUP BY item_id")
 def _(t):
-    """Normalised containment of quotes in documents."""
-    q = _quotes(t).select("item_id", T.normal(F.col("quote")).alias("q"))
-    d = t.documents.select("doc_id", T.normal(F.col("text")).alias("x"))
-    return d.join(F.broadcast(q), F.contains("x", F.col("q"))).groupBy("item_id").agg(F.count("*").alias("found_in"))
+    """Normalised containment of whole quotes in documents."""
+    return held_quotes(_normal(t.documents, "doc_id"), ["doc_id"], "x", _normal(t.benchmark, "item_id"), "x").groupBy("item_id").agg(F.count("*").alias("found_in"))
 
 
 @query(
     "ev3_graded_trace",
-    f"""WITH g AS (SELECT item_id, doc_id, CASE WHEN contains(d.text, b.text) THEN 1 WHEN contains({NORM.format('d.text')}, {NORM.format('b.text')}) THEN 2 WHEN contains({NORM.format('d.text')}, left({NORM.format('b.text')}, 16)) THEN 3 END AS g FROM benchmark b, documents d)
+    f"""WITH g AS (SELECT item_id, doc_id, CASE WHEN contains(d.text, b.text) THEN 1 WHEN contains({NORM.format('d.text')}, {NORM.format('b.text')}) THEN 2 WHEN contains({NORM.format('d.text')}, left({NORM.format('b.text')}, 12)) THEN 3 END AS g FROM benchmark b, documents d)
         SELECT b.item_id, CASE min(g) WHEN 1 THEN 'verbatim' WHEN 2 THEN 'normalised' WHEN 3 THEN 'paraphrase' ELSE 'missing' END AS grade FROM benchmark b LEFT JOIN g ON b.item_id = g.item_id GROUP BY b.item_id""",
 )
 def _(t):
     """The best grade at which a quote is found anywhere."""
-    items = t.benchmark.select("item_id", F.col("text").alias("quote"), T.normal(F.col("text")).alias("q"))
-    assert items.count() <= 100_000, "quotes are broadcast"
-    d = t.documents.select("text", T.normal(F.col("text")).alias("x"))
-    hit = d.join(F.broadcast(items), F.contains("x", F.substring("q", 1, 16)))
-    grade = F.when(F.contains("text", F.col("quote")), 1).when(F.contains("x", F.col("q")), 2).otherwise(3)
-    best = hit.groupBy("item_id").agg(F.min(grade).alias("g"))
+    q = _normal(t.benchmark, "item_id")
+    probes = q.select("item_id", F.lit(2).alias("g"), "x").unionByName(q.select("item_id", F.lit(3).alias("g"), F.substring("x", 1, 12).alias("x")))
+    exact = held_quotes(t.documents, [], "text", t.benchmark.select("item_id", F.lit(1).alias("g"), "text"), "text")
+    best = exact.unionByName(held_quotes(_normal(t.documents, "doc_id"), [], "x", probes, "x")).groupBy("item_id").agg(F.min("g").alias("g"))
     name = F.when(F.col("g") == 1, "verbatim").when(F.col("g") == 2, "normalised").when(F.col("g") == 3, "paraphrase").otherwise("missing")
     return t.benchmark.select("item_id").join(best, "item_id", "left").select("item_id", name.alias("grade"))
 
 
-@query("ev4_ellipsis_parts", "SELECT item_id, doc_id FROM benchmark b JOIN documents d ON contains(d.text, left(b.text, 20)) AND contains(d.text, substr(b.text, 31, 20))")
+@query("ev4_ellipsis_parts", "SELECT item_id, doc_id FROM benchmark b JOIN documents d ON contains(d.text, left(b.text, (length(b.text) // 2)::INT - 5)) AND contains(d.text, substr(b.text, (length(b.text) // 2)::INT + 6))")
 def _(t):
-    """Quotes cut by an ellipsis: every part must occur."""
-    q = _quotes(t).select("item_id", F.split(F.concat(F.substring("quote", 1, 20), F.lit("…"), F.substring("quote", 31, 20)), "…").alias("parts"))
-    return t.documents.join(F.broadcast(q), F.contains("text", F.element_at("parts", 1))).where(F.forall("parts", lambda p: F.contains(F.col("text"), p))).select("item_id", "doc_id")
+    """Quotes whose middle an ellipsis stands for: every part must occur."""
+    half = F.floor(F.length("text") / 2).cast("int")
+    parts = F.split(F.concat(F.left("text", half - 5), F.lit("…"), F.substr("text", half + 6)), "…")
+    q = t.benchmark.select("item_id", F.posexplode(parts).alias("k", "part"))
+    hit = held_quotes(t.documents, ["doc_id"], "text", q, "part")
+    return hit.groupBy("item_id", "doc_id").agg(F.countDistinct("k").alias("n")).where("n = 2").select("item_id", "doc_id")
 
 
-@query("ev5_first_line", f"SELECT item_id, doc_id, min(line_no)::BIGINT AS line_no FROM ({LINES}) l JOIN benchmark b ON contains(l.line, left(b.text, 30)) GROUP BY ALL")
+def _quoted_lines(t):
+    """(item_id, doc_id, line_no) of the lines that hold a whole quote."""
+    return held_quotes(lines(t), ["doc_id", "line_no"], "line", t.benchmark.select("item_id", "text"), "text")
+
+
+@query("ev5_first_line", f"SELECT item_id, doc_id, min(line_no)::BIGINT AS line_no FROM ({LINES}) l JOIN benchmark b ON contains(l.line, b.text) GROUP BY ALL")
 def _(t):
-    """The first line that holds a quote's head."""
-    q = _quotes(t).select("item_id", F.substring("quote", 1, 30).alias("h"))
-    return lines(t).join(F.broadcast(q), F.contains("line", F.col("h"))).groupBy("item_id", "doc_id").agg(F.min("line_no").alias("line_no"))
+    """The first line that holds a quote."""
+    return _quoted_lines(t).groupBy("item_id", "doc_id").agg(F.min("line_no").alias("line_no"))
 
 
-@query("ev6_offset_audit", f"WITH l AS (SELECT item_id, doc_id, line_no FROM ({LINES}) l JOIN benchmark b ON contains(l.line, left(b.text, 30))) SELECT item_id, doc_id, min(abs(line_no - 2))::BIGINT AS off, min(abs(line_no - 2)) > 3 AS flagged FROM l GROUP BY ALL")
+@query("ev6_offset_audit", f"WITH l AS (SELECT item_id, doc_id, line_no FROM ({LINES}) l JOIN benchmark b ON contains(l.line, b.text)) SELECT item_id, doc_id, min(abs(line_no - 2))::BIGINT AS off, min(abs(line_no - 2)) > 3 AS flagged FROM l GROUP BY ALL")
 def _(t):
     """Distance of the nearest occurrence from the claimed place (line 2)."""
-    q = _quotes(t).select("item_id", F.substring("quote", 1, 30).alias("h"))
     d = F.min(F.abs(F.col("line_no") - 2))
-    return lines(t).join(F.broadcast(q), F.contains("line", F.col("h"))).groupBy("item_id", "doc_id").agg(d.alias("off"), (d > 3).alias("flagged"))
+    return _quoted_lines(t).groupBy("item_id", "doc_id").agg(d.alias("off"), (d > 3).alias("flagged"))
 
 
 @query("ev8_references", "SELECT doc_id, list_sort(list_distinct(list_concat(regexp_extract_all(text, '[0-9]{4,}'), [doc_id::VARCHAR, source]))) AS refs FROM documents")
@@ -301,10 +301,11 @@ def _(t):
     return t.documents.groupBy("source").agg(F.count("*").alias("n"), (F.countDistinct("doc_id") == F.count("*")).alias("unique_ids"), (F.max("n_chars") <= 50000).alias("capped"))
 
 
-@query("sx8_render_diff", "WITH a AS (SELECT conv_id, turn, upper(left(text, 10)) AS x FROM conversations WHERE turn < 3), b AS (SELECT conv_id, turn, left(text, 10) AS y FROM conversations WHERE turn > 0) SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, coalesce(a.turn, b.turn) AS turn, CASE WHEN y IS NULL THEN 'removed' WHEN x IS NULL THEN 'added' WHEN x = y THEN 'same' ELSE 'changed' END AS change FROM a FULL JOIN b ON a.conv_id = b.conv_id AND a.turn = b.turn")
+@query("sx8_render_diff", "WITH a AS (SELECT conv_id, turn, text AS x FROM conversations WHERE turn < 3), b AS (SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN text || '!' ELSE text END AS y FROM conversations WHERE turn > 0) SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, coalesce(a.turn, b.turn) AS turn, CASE WHEN y IS NULL THEN 'removed' WHEN x IS NULL THEN 'added' WHEN x = y THEN 'same' ELSE 'changed' END AS change FROM a FULL JOIN b ON a.conv_id = b.conv_id AND a.turn = b.turn")
 def _(t):
-    a = t.conversations.where("turn < 3").select("conv_id", "turn", F.upper(F.substring("text", 1, 10)).alias("x"))
-    b = t.conversations.where("turn > 0").select("conv_id", "turn", F.substring("text", 1, 10).alias("y"))
+    """An old rendering (turns 0 to 2) and a new one (from turn 1 on, even turns edited), whole texts compared."""
+    a = t.conversations.where("turn < 3").select("conv_id", "turn", F.col("text").alias("x"))
+    b = t.conversations.where("turn > 0").select("conv_id", "turn", F.when(F.col("turn") % 2 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")).alias("y"))
     return a.join(b, ["conv_id", "turn"], "full").select("conv_id", "turn", F.when(F.col("y").isNull(), "removed").when(F.col("x").isNull(), "added").when(F.col("x") == F.col("y"), "same").otherwise("changed").alias("change"))
 
 

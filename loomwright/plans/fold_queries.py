@@ -46,7 +46,9 @@ def _(t):
 
 @query("tx20_json_strings")
 def _(t):
-    return t.events.select("event_id", F.explode(S.json_strings("props")).alias("s")).select("event_id", "s.path", "s.value")
+    """All strings of documents as nested JSON (their first line, language and source)."""
+    nested = F.to_json(F.struct("doc_id", F.struct("lang", F.array("source", F.element_at(F.split("text", "\n"), 1)).alias("parts")).alias("meta")))
+    return t.documents.select("doc_id", F.explode(S.json_strings(nested)).alias("s")).select("doc_id", "s.path", "s.value")
 
 
 @query("win11_line_merge")

@@ -54,11 +54,11 @@ def _(t):
 
 @query(
     "jn8_theta_pairs",
-    "WITH e AS (SELECT l_orderkey AS o, l_suppkey AS s FROM lineitem WHERE l_suppkey < 20 GROUP BY ALL), p AS (SELECT a.s AS s1, b.s AS s2, count(*) AS shared FROM e a JOIN e b ON a.o = b.o AND a.s < b.s GROUP BY ALL) SELECT s1, s2, shared FROM p WHERE shared >= 2",
+    "WITH e AS (SELECT l_orderkey AS o, l_suppkey AS s FROM lineitem GROUP BY ALL), p AS (SELECT a.s AS s1, b.s AS s2, count(*) AS shared FROM e a JOIN e b ON a.o = b.o AND a.s < b.s GROUP BY ALL) SELECT s1, s2, shared FROM p WHERE shared >= 2",
 )
 def _(t):
     """Pairs of suppliers that share two orders or more, blocked on the order."""
-    e = t.lineitem.where("l_suppkey < 20").select(F.col("l_orderkey").alias("o"), F.col("l_suppkey").alias("s")).distinct()
+    e = t.lineitem.select(F.col("l_orderkey").alias("o"), F.col("l_suppkey").alias("s")).distinct()
     return e.withColumnRenamed("s", "s1").join(e.withColumnRenamed("s", "s2"), "o").where("s1 < s2").groupBy("s1", "s2").agg(F.count("*").alias("shared")).where("shared >= 2")
 
 
@@ -256,11 +256,10 @@ def _(t):
 # --- sorts, limits, sets -----------------------------------------------------------------------------
 
 
-@query("srt1_stable_sort", f"SELECT event_id, row_number() OVER (ORDER BY s, event_id) AS place FROM ({EVENTS}) ORDER BY place LIMIT 1000")
+@query("srt1_stable_sort", f"SELECT event_id, row_number() OVER (ORDER BY s, event_id) AS place FROM ({EVENTS})")
 def _(t):
-    """The first thousand by time, ties by id."""
-    top = events(t).orderBy("s", "event_id").limit(1000)
-    return top.select("event_id", F.row_number().over(Window.orderBy("s", "event_id")).cast("long").alias("place"))
+    """The place of every event by time, ties by id."""
+    return W.place_in_order(events(t).select("s", "event_id"), ["s", "event_id"], "place").select("event_id", "place")
 
 
 @query("top1_top_k", "SELECT doc_id, n_chars FROM documents WHERE n_chars > 0 ORDER BY n_chars DESC, doc_id LIMIT 25")
@@ -331,10 +330,10 @@ def _(t):
     return J.first_of(t.conversations.select("conv_id", "turn", "text"), ["conv_id", "text"], ["turn"])
 
 
-@query("set7_append_batch", "SELECT doc_id, lang FROM documents WHERE doc_id % 7 <> 0 UNION ALL SELECT doc_id, lang FROM documents d WHERE doc_id % 7 = 0 AND NOT EXISTS (SELECT 1 FROM documents e WHERE e.doc_id = d.doc_id AND e.doc_id % 7 <> 0)")
+@query("set7_append_batch", "SELECT doc_id, lang FROM documents WHERE doc_id % 7 <> 0 UNION ALL SELECT doc_id, source FROM documents d WHERE doc_id % 3 = 0 AND NOT EXISTS (SELECT 1 FROM documents e WHERE e.doc_id = d.doc_id AND e.doc_id % 7 <> 0)")
 def _(t):
-    """A batch is appended only where its ids are new."""
-    old, batch = t.documents.where("doc_id % 7 <> 0").select("doc_id", "lang"), t.documents.where("doc_id % 7 = 0").select("doc_id", "lang")
+    """A batch is appended only where its ids are new: of every third id, those divisible by 7."""
+    old, batch = t.documents.where("doc_id % 7 <> 0").select("doc_id", "lang"), t.documents.where("doc_id % 3 = 0").select("doc_id", F.col("source").alias("lang"))
     return old.unionByName(batch.join(old, "doc_id", "left_anti"))
 
 

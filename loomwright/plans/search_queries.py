@@ -9,6 +9,7 @@ from loomwright.functions import text as T
 from loomwright.operators import joins as J
 from loomwright.operators import retrieval as R
 from loomwright.operators import windows as W
+from loomwright.operators.containment import held_quotes
 from loomwright.operators.graph import connected_components
 
 from .registry import query
@@ -56,10 +57,10 @@ def _(t):
     return t.part.select("p_partkey", T.bigrams(x).alias("tokens"), T.n_bigrams(x).cast("long").alias("n"))
 
 
-@query("ir2_bm25_batch", f"WITH {_bm25_sql(queries='SELECT item_id AS query, left(text, 40) AS q FROM benchmark')} SELECT query, doc, round(score, 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY round(score, 4) DESC, doc) AS k FROM scored) WHERE k <= 5")
+@query("ir2_bm25_batch", f"WITH {_bm25_sql(queries='SELECT item_id AS query, text AS q FROM benchmark')} SELECT query, doc, round(score, 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY round(score, 4) DESC, doc) AS k FROM scored) WHERE k <= 5")
 def _(t):
-    """The five best documents for the head of every benchmark item."""
-    q = t.benchmark.select("item_id", F.substring("text", 1, 40).alias("q"))
+    """The five best documents for every benchmark item."""
+    q = t.benchmark.select("item_id", F.col("text").alias("q"))
     s = R.bm25(t.documents, q, "doc_id", "text", "item_id", "q").withColumn("score", F.round("score", 4))
     return W.top_per_group(s, ["query"], [F.desc("score"), "doc"], 5)
 
@@ -158,26 +159,23 @@ def _(t):
     return t.documents.where(F.contains(F.lower("text"), F.lit("license"))).groupBy("lang", "source").agg(F.count("*").alias("n"))
 
 
-_TOP5 = f"{_bm25_sql(queries='SELECT item_id AS query, left(text, 40) AS q FROM benchmark')}, top AS (SELECT query, doc, row_number() OVER (PARTITION BY query ORDER BY round(score, 4) DESC, doc) AS k FROM scored), gold AS (SELECT item_id AS query, doc_id AS doc FROM benchmark b JOIN documents d ON contains(d.text, left(b.text, 60)))"
+_TOP5 = f"{_bm25_sql(queries='SELECT item_id AS query, text AS q FROM benchmark')}, top AS (SELECT query, doc, row_number() OVER (PARTITION BY query ORDER BY round(score, 4) DESC, doc) AS k FROM scored), gold AS (SELECT item_id AS query, doc_id AS doc FROM benchmark b JOIN documents d ON contains(d.text, b.text))"
 
 
 def _top(t):
-    q = t.benchmark.select("item_id", F.substring("text", 1, 40).alias("q"))
+    q = t.benchmark.select("item_id", F.col("text").alias("q"))
     s = R.bm25(t.documents, q, "doc_id", "text", "item_id", "q").withColumn("score", F.round("score", 4))
     return s.withColumn("k", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "doc")))
 
 
 def _gold(t):
-    """Documents that hold the first 60 characters of an item. The items are a stated set, broadcast after a
-    check of its size."""
-    heads = t.benchmark.select(F.col("item_id").alias("query"), F.substring("text", 1, 60).alias("h"))
-    assert heads.count() <= 100_000, "items are broadcast"
-    return t.documents.join(F.broadcast(heads), F.contains("text", F.col("h"))).select("query", F.col("doc_id").alias("doc"))
+    """Documents that hold a whole item."""
+    return held_quotes(t.documents, ["doc_id"], "text", t.benchmark.select(F.col("item_id").alias("query"), "text"), "text").select("query", F.col("doc_id").alias("doc"))
 
 
 @query("agg16_hit_rate", f"WITH {_TOP5}, h AS (SELECT g.query, min(k) AS best FROM gold g LEFT JOIN top USING (query, doc) GROUP BY g.query) SELECT count(*) AS queries, count(*) FILTER (best <= 1) AS at_1, count(*) FILTER (best <= 5) AS at_5, round(count(*) FILTER (best <= 5) / count(*), 4) AS recall_5 FROM h")
 def _(t):
-    """Recall of the documents that hold an item's head."""
+    """Recall of the documents that hold an item."""
     h = _gold(t).join(_top(t).select("query", "doc", "k"), ["query", "doc"], "left").groupBy("query").agg(F.min("k").alias("best"))
     return h.agg(F.count("*").alias("queries"), F.count_if(F.col("best") <= 1).alias("at_1"), F.count_if(F.col("best") <= 5).alias("at_5"), F.round(F.count_if(F.col("best") <= 5) / F.count("*"), 4).alias("recall_5"))
 

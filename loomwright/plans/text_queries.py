@@ -16,9 +16,9 @@ def lines(t):
     return t.documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("p", "line")).select("doc_id", (F.col("p") + 1).cast("long").alias("line_no"), "line")
 
 
-@query("tx2_backreference", r"SELECT doc_id, regexp_replace(left(text, 400), '([a-z]+)ing\b', '\1ed', 'g') AS rewritten FROM documents")
+@query("tx2_backreference", r"SELECT doc_id, regexp_replace(text, '([a-z]+)ing\b', '\1ed', 'g') AS rewritten FROM documents")
 def _(t):
-    return t.documents.select("doc_id", F.regexp_replace(F.substring("text", 1, 400), r"([a-z]+)ing\b", "$1ed").alias("rewritten"))
+    return t.documents.select("doc_id", F.regexp_replace("text", r"([a-z]+)ing\b", "$1ed").alias("rewritten"))
 
 
 @query("tx6_unit_normalise", "SELECT p_partkey, CASE WHEN u IN ('STEEL', 'BRASS', 'COPPER', 'NICKEL', 'TIN') THEN 'metal' WHEN u = '' OR u IS NULL THEN NULL ELSE lower(u) END AS unit FROM (SELECT p_partkey, string_split(p_type, ' ')[-1] AS u FROM part)")

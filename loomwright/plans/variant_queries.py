@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomwright.functions import sequential as S
 from loomwright.functions import text as T
 from loomwright.operators import joins as J
+from loomwright.operators.containment import held_quotes
 from loomwright.operators import windows as W
 
 from .registry import query
@@ -56,12 +57,12 @@ def _(t):
     return t.part.select("p_partkey", F.exists(F.array(*map(F.lit, ("STEEL", "TIN", "BRASS"))), lambda x: F.endswith(F.col("p_type"), x)).alias("hit"))
 
 
-@query("sx19_packet_membership", f"SELECT doc_id, line_no::BIGINT AS line_no FROM ({LINES}) l WHERE line_no <= 3 AND NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id AND starts_with(d.text, l.line))")
+@query("sx19_packet_membership", f"WITH l AS (SELECT x.*, source, lang FROM ({LINES}) x JOIN documents USING (doc_id)) SELECT doc_id, line_no::BIGINT AS line_no FROM l WHERE lang <> 'en' AND NOT EXISTS (SELECT 1 FROM l p WHERE p.lang = 'en' AND p.source = l.source AND p.line = l.line)")
 def _(t):
-    """Evidence lines that are not the head of their packet."""
-    heads = t.documents.select("doc_id", F.element_at(F.split("text", "\n"), 1).alias("first"), F.col("text").alias("whole"))
-    j = lines(t).where("line_no <= 3").join(heads, "doc_id")
-    return j.where(~F.startswith("whole", F.col("line"))).select("doc_id", "line_no")
+    """Evidence lines (of documents in other languages) that are no line of their source's packet (its English documents)."""
+    l = t.documents.select("doc_id", "source", "lang", F.posexplode(F.split("text", "\n")).alias("p", "line"))  # noqa: E741
+    packet = l.where("lang = 'en'").select("source", "line").distinct()
+    return l.where("lang <> 'en'").join(packet, ["source", "line"], "left_anti").select("doc_id", (F.col("p") + 1).cast("long").alias("line_no"))
 
 
 @query("sx21_cache_seed", "SELECT a.doc_id, b.doc_id AS seeded_from FROM documents a JOIN documents b ON a.source = b.source AND a.n_chars = b.n_chars AND a.doc_id > b.doc_id")
@@ -122,12 +123,10 @@ def _(t):
     return w.withColumn("k", k.cast("long")).where("k <= 3")
 
 
-@query("sx33_contained_source_first", "WITH h AS (SELECT item_id, d.doc_id, d.source = 'src0' AS own FROM benchmark b JOIN documents d ON contains(d.text, left(b.text, 40))) SELECT item_id, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY own DESC, doc_id) AS k FROM h) WHERE k = 1")
+@query("sx33_contained_source_first", "WITH h AS (SELECT item_id, d.doc_id, d.source = 'src0' AS own FROM benchmark b JOIN documents d ON contains(d.text, b.text)) SELECT item_id, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY own DESC, doc_id) AS k FROM h) WHERE k = 1")
 def _(t):
     """Containment in the preferred source, else anywhere."""
-    q = t.benchmark.select("item_id", F.substring("text", 1, 40).alias("h"))
-    assert q.count() <= 100_000, "quotes are broadcast"
-    h = t.documents.join(F.broadcast(q), F.contains("text", F.col("h"))).select("item_id", "doc_id", (F.col("source") == "src0").alias("own"))
+    h = held_quotes(t.documents, ["doc_id", "source"], "text", t.benchmark.select("item_id", "text"), "text").select("item_id", "doc_id", (F.col("source") == "src0").alias("own"))
     return J.first_of(h, ["item_id"], [F.desc("own"), "doc_id"]).select("item_id", "doc_id")
 
 
