@@ -195,7 +195,7 @@ def test_sources(spark, tmp_path):
     (tmp_path / "s1.lines").write_text("# head\n[01:02] hi\n[1:00:03] there\n")
     assert rows(src.read_transcripts(spark, str(tmp_path / "s1.lines"))) == [("s1", 62, "hi"), ("s1", 3603, "there")]
     (tmp_path / "bad.jsonl").write_text('{"a": 1}\n{oops\n')
-    assert rows(src.malformed(spark, str(tmp_path / "bad.jsonl"))) == [("bad.jsonl", 1)]
+    assert [(r["file"].split("/")[-1], r["bad_lines"]) for r in src.malformed(spark, str(tmp_path / "bad.jsonl")).collect()] == [("bad.jsonl", 1)]
     df = spark.createDataFrame([(1, "a", 0), (2, "b", 1)], "id long, t string, batch int")
     sinks.write_batches(df, str(tmp_path / "out"), "batch")
     assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.is_dir()) == ["batch=0", "batch=1"]
