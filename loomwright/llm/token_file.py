@@ -149,7 +149,9 @@ def write_tokens(df: DataFrame, path: str, folder: str | None = None, end_id: in
             writer.close()
             yield pa.RecordBatch.from_pydict({"part": pa.array([task.partitionId()], pa.int32()), "uri": [f"{folder}/{name}"], "documents": pa.array([sum(map(len, writer.docs))], pa.int64()), "tokens": pa.array([writer.n], pa.int64())})
 
-    dealt = df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).repartitionByRange(F.col("doc_id")).sortWithinPartitions("doc_id", "text")
+    # Ranges of (id, hash of the text): rows of one id, or without any, are dealt to several files too.
+    dealt = df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), F.xxhash64(text_column).alias("_h"))
+    dealt = dealt.repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h").select("doc_id", "text")
     manifest = dealt.mapInArrow(run, "part int, uri string, documents long, tokens long")
     where = new_folder(spark, "manifest")
     manifest.write.parquet(where)
