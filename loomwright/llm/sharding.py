@@ -67,7 +67,8 @@ def propagate(members: DataFrame, n: int, shards: int, rounds: int) -> DataFrame
         load = _by_shard(state, shards)
         room = [max(0, q - x) for q, x in zip(quota, load)]
         here = members.join(state, "row")
-        votes = here.groupBy("group", "shard").agg(F.count("*").alias("votes"))
+        # Stored: a join whose two sides are read as they are can be split where a group is hot.
+        votes = written(here.groupBy("group", "shard").agg(F.count("*").alias("votes")), "votes")
         # A shard at its quota is no aim, but for those that are there.
         aims = votes.withColumnRenamed("shard", "aim")
         neighbours = here.join(aims, "group").where((F.col("aim") == F.col("shard")) | (_literal(room, F.col("aim")) > 0))
@@ -95,7 +96,7 @@ def shard_documents(df: DataFrame, shards: int = 16, rounds: int = 32, id_column
     base = written(base.withColumn("row", F.monotonically_increasing_id()), "rows")
     n = base.count()
     group = F.struct("size", "text_crc32", "_h")
-    linked = base.groupBy("size", "text_crc32", "_h").agg(F.count("*").alias("copies")).where("copies > 1").select("size", "text_crc32", "_h")
+    linked = written(base.groupBy("size", "text_crc32", "_h").agg(F.count("*").alias("copies")).where("copies > 1").select("size", "text_crc32", "_h"), "linked")
     members = written(base.join(linked, ["size", "text_crc32", "_h"]).select("row", group.alias("group")), "members")
     placed = propagate(members, n, shards, rounds)
     free = [q - x for q, x in zip(quotas(n, shards), _by_shard(placed, shards))]
