@@ -6,11 +6,13 @@ window; an item without words has none. The automaton holds every window with a
 one pass over a document's normal form finds all windows at word bounds; offsets in the normal form map
 back to words, and for documents that were hit to characters of the original text.
 
-The items are a stated query set. Their size is measured first: up to ``BLOCK_BYTES`` they are one
-automaton; beyond that they are cut into blocks, each of which is collected, broadcast and scanned in turn.
+The items are a stated query set. They are cut into pieces of ``PIECE`` words that overlap by a window less a word, and
+equal pieces of one item count once. The pieces' size is measured first: up to ``BLOCK_BYTES`` they are one
+automaton; beyond that they are dealt by a hash into blocks, each of which is collected, broadcast and scanned in turn.
 
 Null or empty documents and items have no words. Repeated items count once by item_id; repeated documents
-are judged each. An empty benchmark hits nothing. Columns beside id and text are ignored.
+are judged each. An item without an id hits words like any other, but there is no id to count or to list. An empty
+benchmark hits nothing. Columns beside id and text are ignored.
 """
 
 from __future__ import annotations
@@ -24,11 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package, steps
+from .common import ship_package, steps, written
 
 WINDOW = 10
 #: Bytes of item text in one automaton, which takes about 100 times as much memory at most.
 BLOCK_BYTES = 2_000_000
+#: Words of an item that stay together.
+PIECE = 5_000
 _WORD_BYTES = set(range(48, 58)) | set(range(97, 123)) | set(range(128, 256))
 _TABLE = bytes((b + 32 if 65 <= b <= 90 else b) if (b + 32 if 65 <= b <= 90 else b) in _WORD_BYTES else 32 for b in range(256))
 _WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -39,7 +43,7 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").translate(_TABLE).split()
 
 
-def automaton(items: list[tuple[str, str | None]]):
+def automaton(items: list[tuple[str | None, str | None]]):
     """The automaton over all windows: each match gives (number of words, places of the item ids)."""
     import ahocorasick
 
@@ -58,13 +62,13 @@ def automaton(items: list[tuple[str, str | None]]):
     return found
 
 
-_BUILT: dict[tuple, tuple[object, list[str]]] = {}
+_BUILT: dict[tuple, tuple[object, list[str | None]]] = {}
 
 
-def _built(key: tuple, items: list[tuple[str, str | None]]):
+def _built(key: tuple, items: list[tuple[str | None, str | None]]):
     if key not in _BUILT:
         _BUILT.clear()  # one block at a time
-        _BUILT[key] = automaton(items), [str(i) for i, _ in items]
+        _BUILT[key] = automaton(items), [i for i, _ in items]
     return _BUILT[key]
 
 
@@ -121,7 +125,7 @@ def _one_block(df: DataFrame, known, key: tuple, first: bool, last: bool) -> Dat
                 if mask:
                     old = np.frombuffer(mask, bool)
                     hit = hit | old if len(hit) else old
-                names_hit = sorted({*seen, *(names[k] for k in who)})
+                names_hit = sorted({*seen, *(names[k] for k in who if names[k] is not None)})
                 items.append(names_hit)
                 if last:
                     n_words.append(n)
@@ -144,14 +148,31 @@ def digest(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def _pieces(benchmark: DataFrame, item_column: str, item_text: str) -> DataFrame:
+    """(i, t): items' normal forms, cut so that no window is lost."""
+
+    def run(batches):
+        for batch in steps(batches):
+            ids, texts = [], []
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                w = words(text)
+                for at in range(0, max(len(w) - WINDOW + 1, 1), PIECE - WINDOW + 1) if w else ():
+                    ids.append(i)
+                    texts.append(b" ".join(w[at : at + PIECE]).decode("utf-8", "replace"))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(texts, pa.string())], ["i", "t"])
+
+    ship_package(benchmark.sparkSession)
+    return benchmark.select(F.col(item_column).cast("string").alias("i"), F.col(item_text).alias("t")).mapInArrow(run, "i string, t string").distinct()
+
+
 def blocks_of(benchmark: DataFrame, item_column: str = "item_id", item_text: str = "text"):
     """Broadcast blocks of the items, one after the other, with a key for each."""
     spark = benchmark.sparkSession
-    items = benchmark.select(F.col(item_column).cast("string").alias("i"), F.col(item_text).alias("t"))
-    total = items.agg(F.sum(F.coalesce(F.octet_length("t"), F.lit(0)) + 16)).first()[0] or 0
+    items = written(_pieces(benchmark, item_column, item_text), "items")
+    total = items.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
     blocks = -(-total // BLOCK_BYTES) or 1
     for block in range(blocks):
-        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == block)
+        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block)
         yield (uuid.uuid4().hex, block), spark.sparkContext.broadcast([(r["i"], r["t"]) for r in part.collect()]), block == blocks - 1
 
 
