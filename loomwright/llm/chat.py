@@ -81,14 +81,22 @@ def digest(parsed: DataFrame) -> DataFrame:
 
 
 def events_of(conversations: DataFrame) -> DataFrame:
-    """A table of turns as an event log: each row is one ``message``. Rows that share a turn number are
-    turns of their own, ordered by role and text."""
+    """A table of turns as an event log, as a chat service would have streamed it. An assistant's turn is a draft, its
+    regeneration (nothing yet), and the text in two deltas; any other turn is a first message that an edit replaces.
+    Rows that share a turn number are turns of their own, ordered by role and text."""
     within = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
-    return conversations.select("conv_id", "turn", "role", "text").withColumn("nth", F.row_number().over(within)).select("conv_id", "turn", "nth", F.lit(0).alias("seq"), F.lit("message").alias("kind"), "role", "text")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    half = F.floor(F.length(text) / 2).cast("int")
+    event = lambda seq, kind, t: F.struct(F.lit(seq).alias("seq"), F.lit(kind).alias("kind"), t.alias("text"))
+    draft = event(0, "message", F.left(text, F.lit(16)))
+    streamed = F.array(draft, event(1, "regenerate", F.lit("")), event(2, "delta", text.substr(F.lit(1), half)), event(3, "delta", text.substr(half + 1, F.length(text))))
+    edited = F.array(draft, event(1, "edit", text))
+    turns = conversations.select("conv_id", "turn", "role", "text").withColumn("nth", F.row_number().over(within))
+    return turns.select("conv_id", "turn", "nth", "role", F.explode(F.when(F.col("role") == "assistant", streamed).otherwise(edited)).alias("e")).select("conv_id", "turn", "nth", "role", "e.*")
 
 
 def format_conversations(conversations: DataFrame) -> DataFrame:
-    """Fold, render and read back all conversations of a table (conv_id, turn, role, text)."""
+    """Stream, fold, render and read back all conversations of a table (conv_id, turn, role, text)."""
     keys = ("turn", "nth")
     return parse(render(fold(events_of(conversations), keys), keys))
 
