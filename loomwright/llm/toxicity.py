@@ -25,7 +25,7 @@ empty result. Extra columns are ignored.
 
 from __future__ import annotations
 
-import zlib
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package, steps, written
+from .common import forget, release, ship_package, steps, written
 
 FRAME, WINDOW, LEVEL = bytes(range(1, 9)), 32, 19
 #: Labelled rows of each kind that are read at most, and bytes of their texts.
@@ -81,24 +81,15 @@ def lengths(content: bytes, parts: list[bytes]) -> np.ndarray:
     return np.fromiter((len(compress(FRAME + w + b"\n")) for w in parts), np.int64, len(parts))
 
 
+def _own(parts: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(len, parts), np.int64, len(parts))
+
+
 def _cell(own, ordinary, toxic):
     """A window's cell: its own length and both compressed lengths."""
     return (np.minimum(own, 63) * 64 + np.minimum(ordinary, 63)) * 64 + np.minimum(toxic, 63)
 
 
-class Vocabulary:
-    """Distinct windows of some documents, and documents' windows as places in it."""
-
-    def __init__(self, *groups: list[list[bytes]]) -> None:
-        places: dict[bytes, int] = {}
-        self.groups = [np.array([places.setdefault(w, len(places)) for d in docs for w in d], np.int64) for docs in groups]
-        self.words = list(places)
-        self.own = np.fromiter(map(len, self.words), np.int64, len(places))
-
-    def cells(self, ordinary: np.ndarray, toxic: bytes) -> np.ndarray:
-        return _cell(self.own, ordinary, lengths(toxic, self.words))
-
-
 def _ratio(toxic: np.ndarray, ordinary: np.ndarray, spread: float) -> np.ndarray:
     """How many times likelier each cell is among the first ones, less ``spread`` standard errors of their count."""
     a, b = np.bincount(toxic, minlength=_CELLS), np.bincount(ordinary, minlength=_CELLS)
@@ -180,23 +171,22 @@ def _train(parts: list[bytes], size: int) -> bytes:
         return b"".join(dict.fromkeys(framed))[-size:]
 
 
-def _flat(docs: list[list[bytes]]) -> list[bytes]:
-    return [w for d in docs for w in d]
-
-
-def _fresh(docs: list[list[bytes]]) -> list[list[bytes]]:
+def _fresh(docs: list[np.ndarray]) -> list[np.ndarray]:
     """The distinct windows of each document that are in no run of five windows of a document before."""
-    seen: set[int] = set()
-    out = []
-    for d in docs:
-        runs = [zlib.crc32(b" ".join(d[i : i + 5])) for i in range(len(d) - 4)]
-        old = np.zeros(len(d), bool)
-        for i, r in enumerate(runs):
-            if r in seen:
-                old[i : i + 5] = True
-        seen.update(runs)
-        out.append(list(dict.fromkeys(w for w, o in zip(d, old) if not o)))
-    return out
+    edge = np.cumsum([0, *map(len, docs)])
+    owner, flat = np.repeat(np.arange(len(docs)), np.diff(edge)), np.concatenate([*docs, np.zeros(4, np.int32)])
+    run = np.zeros(len(owner), np.uint64)
+    for j in range(5):
+        run = (run ^ flat[j : j + len(owner)].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        run ^= run >> np.uint64(29)
+    inside = np.arange(len(owner)) + 5 <= edge[owner + 1]
+    _, first, which = np.unique(run, return_index=True, return_inverse=True)
+    before = np.zeros(len(owner) + 1, np.int32)
+    at = np.flatnonzero(inside & (owner[first][which] < owner))
+    np.add.at(before, at, 1)
+    np.add.at(before, at + 5, -1)
+    new = np.cumsum(before[:-1]) == 0
+    return [d[np.sort(np.unique(d, return_index=True)[1])] for d in (doc[new[x:y]] for doc, x, y in zip(docs, edge, edge[1:]))]
 
 
 def _thirds(docs: list) -> tuple[list, list]:
@@ -204,17 +194,21 @@ def _thirds(docs: list) -> tuple[list, list]:
     return docs[len(docs) // 3 :], docs[: len(docs) // 3]
 
 
-def _toxic_windows(toxic: list[list[bytes]], check: list[list[bytes]], ordinary: bytes) -> list[bytes]:
+def _toxic_windows(toxic: list[np.ndarray], check: list[np.ndarray], words: list[bytes], ordinary: bytes) -> list[bytes]:
     """Windows of toxic documents for the toxic dictionary; see the head of this module."""
-    known = Vocabulary(toxic[::2], toxic[1::2], check)
-    *halves, plain = known.groups
-    words, plainly = known.words, lengths(ordinary, known.words)
+    used, place = np.unique(np.concatenate([*toxic, *check]), return_inverse=True)
+    words = [words[i] for i in used]
+    n = sum(map(len, toxic))
+    edge = np.cumsum([0, *map(len, toxic)])
+    odd = np.repeat(np.arange(len(toxic)) % 2, np.diff(edge))
+    halves, plain = [place[:n][odd == k] for k in (0, 1)], place[n:]
+    own, plainly = _own(words), lengths(ordinary, words)
     taken = [np.zeros(len(words), bool), np.zeros(len(words), bool)]
     for size in ROUNDS:
         left = [h[~t[h]] for h, t in zip(halves, taken)]
         found = left
         for least in LEVELS:
-            sides = [known.cells(plainly, _train([words[i] for i in f], size)) for f in found]
+            sides = [_cell(own, plainly, lengths(_train([words[i] for i in f], size), words)) for f in found]
             found = [x[(_ratio(c[x], c[plain], 1.5) >= least)[c[x]]] for x, c in zip(left, sides[::-1])]
             if not all(map(len, found)):
                 break
@@ -228,26 +222,35 @@ def _toxic_windows(toxic: list[list[bytes]], check: list[list[bytes]], ordinary:
     return [words[i] for i in mine[keep[mine]]]
 
 
-def fit(rows: list[tuple[str, int]], share: float | None = None) -> Model:
+def fit(rows: Iterable[tuple[str, int]], share: float | None = None) -> Model:
     """A model of labelled texts (text, 0 or 1), given in a fixed order. ``share``: label 1's part of all
     labelled rows, if ``rows`` is a sample with another part."""
-    docs = list(zip(_fresh([windows(t) for t, _ in rows]), rows))
-    toxic = [(d, t) for d, (t, y) in docs if y == 1 and d]
-    plain = [(d, t) for d, (t, y) in docs if y == 0 and d]
-    overall = Model(b"", b"", {}, [sum(y for _, y in rows) / len(rows) if rows else 0.0])
+    places: dict[bytes, int] = {}
+    whole, labels = [], []
+    for text, y in rows:  # texts become windows' numbers at once
+        whole.append(np.array([places.setdefault(w, len(places)) for w in windows(text)], np.int32))
+        labels.append(y)
+    words = list(places)
+    del places
+    overall = Model(b"", b"", {}, [sum(labels) / len(labels) if labels else 0.0])
+    toxic, plain = ([i for i, (d, y) in enumerate(zip(whole, labels)) if y == k and len(d)] for k in (1, 0))
     if len(toxic) < 8 or len(plain) < 8:
         return overall
+    fresh = _fresh(whole)
     (t_fit, t_cal), (p_fit, p_cal) = _thirds(toxic), _thirds(plain)
-    ordinary = _train(_flat([d for d, _ in p_fit[::2]]), ORDINARY)
-    parts = _toxic_windows([d for d, _ in t_fit], [d for d, _ in p_fit[1::2]], ordinary)
+    ordinary = _train([words[i] for d in p_fit[::2] for i in fresh[d]], ORDINARY)
+    parts = _toxic_windows([fresh[d] for d in t_fit], [fresh[d] for d in p_fit[1::2]], words, ordinary)
     if not parts:
         return overall
     content = _train(parts, TOXIC)
-    known = Vocabulary([d for d, _ in t_cal], [d for d, _ in p_cal])
-    cell = known.cells(lengths(ordinary, known.words), content)
-    ratio = _ratio(*(cell[g] for g in known.groups), 0.5)
-    model = Model(ordinary, content, {int(c): float(np.log(ratio[c])) for c in np.flatnonzero(ratio >= HIT)}, [])
-    x = np.array([features(*model.hits(t)) for _, t in t_cal + p_cal])
+    cell = np.full(len(words), -1, np.int64)
+    used = np.unique(np.concatenate([whole[d] for d in t_cal + p_cal]))
+    of = [words[i] for i in used]
+    cell[used] = _cell(_own(of), lengths(ordinary, of), lengths(content, of))
+    ratio = _ratio(*(np.concatenate([cell[fresh[d]] for d in ds]) for ds in (t_cal, p_cal)), 0.5)
+    weight = np.where(ratio >= HIT, np.log(np.maximum(ratio, 1)), 0.0)
+    model = Model(ordinary, content, {int(c): float(weight[c]) for c in np.flatnonzero(weight)}, [])
+    x = np.array([features([v for v in weight[cell[whole[d]]].tolist() if v], len(whole[d])) for d in t_cal + p_cal])
     y = np.array([1] * len(t_cal) + [0] * len(p_cal))
     model.weights = _logistic(x, y, max(SHARE, share or float(np.mean(y)))).tolist()
     return model
@@ -276,8 +279,11 @@ def fit_on(df: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int = S
             room[chosen[i]] -= held
             fits.append((i,))
     rows = texts.join(F.broadcast(spark.createDataFrame(fits, "doc_id long")), "doc_id").collect()
-    rows.sort(key=lambda r: hash_order(r["doc_id"]))
-    return fit([(r["text"], r["toxic"]) for r in rows], n.get(1, 0) / max(1, sum(n.values())))
+    rows.sort(key=lambda r: hash_order(r["doc_id"]), reverse=True)
+    model = fit(((r["text"], r["toxic"]) for r in iter(lambda: rows.pop() if rows else None, None)), n.get(1, 0) / max(1, sum(n.values())))
+    forget(texts)
+    release()
+    return model
 
 
 def hash_order(n: int) -> int:
