@@ -71,7 +71,8 @@ def salted_rank(df: DataFrame, keys: list[str], order: list[str], n_rows: int, n
     from pyspark.sql import functions as F
 
     n = min(1_000_000, max(32, -(-n_rows // per_group)))
-    dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(n)).cast("int"))
+    # With ``name``: else rows that an earlier rank put side by side would share a bucket again.
+    dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(*order, F.lit(name)), F.lit(n)).cast("int"))
     sizes = dealt.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     sizes = sizes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_bucket").alias("_b"), before.alias("_before"))
