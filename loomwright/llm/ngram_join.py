@@ -16,7 +16,8 @@ Steps: (1) sizes, signatures and sketches of all documents, and numbers of sets
 paired if the list has at most ``SHORT``, so that each pair can be judged: a sketch has the parity of a set's shingles in
 about as many places as it has shingles, and where two sketches differ in more places than similar sets may
 differ in shingles, the pair goes. That is exact, and leaves hardly any pair that only shares a shingle or two. Sets of
-a longer list are linked to their neighbours by size, which connects all that can be similar and needs no pairs;
+a longer list are linked to their neighbours by size, which connects all that can be similar and needs no pairs, and
+those of one size that a task of step 2 meets are so linked before they are posted;
 (4) candidate components of both kinds of links; those with links of longer lists are refined: the heads of their sets
 (prefixes for a larger k) meet, and pairs that share fewer than k shingles there, or differ too much already, part;
 (5) the sets of each component meet once and overlaps are counted exactly, unless the two are connected
@@ -50,6 +51,7 @@ CHUNK, AT_ONCE, POSTINGS, SETS_AT_ONCE = 2_000_000, 4_000_000, 1_500_000, 40_000
 COUNTED, GROUPED = 64_000_000, 8_000_000
 #: Sets of a list that are paired: ten pairs at most for a list of five.
 SHORT = 5
+HUB = np.uint32(1 << 31)
 #: A shingle of so many sets may rank as frequent; frequent shingles that are broadcast at most (16 bytes
 #: each, and a mask of 16 MB); bits of the filter of step 5 (16 MB, whatever the corpus).
 SHARED, FREQUENT, FILTER_BITS = 4, 1_000_000, 27
@@ -256,22 +258,36 @@ def choose_boundary(sizes: dict[int, int], partners: float) -> int:
 
 
 def _postings(df: DataFrame, order, boundary: int, buckets: int) -> DataFrame:
-    """Step 2: blocks of postings by bucket: keys, places in the block's table of sets, sets, sizes."""
+    """Step 2: blocks of postings by bucket: keys, places in the block's table of sets, sets, sizes.
+
+    Where more than ``SHORT`` sets of one size in a block have a key, they are linked to the first of them here (bucket
+    -1: keys and sets hold the links' ends), and only that one is posted, marked as a hub (``HUB`` in its place): a hot
+    key's list has a posting for each block and size, whatever the number of its sets."""
 
     def emit(keys, sets, sizes):
         key = np.concatenate(keys)
         who = np.repeat(np.arange(len(sets)), [len(k) for k in keys])
+        sets, sizes = np.array(sets, np.int64), np.array(sizes, np.int32)
+        by = np.lexsort((sets[who], sizes[who], key))
+        key, who = key[by], who[by]
+        start = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (sizes[who[1:]] != sizes[who[:-1]])]))
+        members = np.diff(np.concatenate([start, [len(key)]]))
+        first, hot = np.repeat(start, members), np.repeat(members > SHORT, members)
+        stars = np.unique(np.column_stack([sets[who[hot]], sets[who[first[hot]]]]), axis=0)
+        stars = stars[stars[:, 0] != stars[:, 1]]
+        hub = hot & (first == np.arange(len(key)))
+        stay = hub | ~hot
+        key, who, hub = key[stay], who[stay], hub[stay]
         bucket = (key % np.uint64(buckets)).astype(np.int64)
         by = np.argsort(bucket, kind="stable")
-        key, who, bucket = key[by], who[by], bucket[by]
-        sets, sizes = np.array(sets, np.int64), np.array(sizes, np.int32)
+        key, who, bucket, hub = key[by], who[by], bucket[by], hub[by]
         edge = np.searchsorted(bucket, np.arange(buckets + 1))
-        rows = []
+        rows = [(-1, stars[:, 0].tobytes(), b"", stars[:, 1].tobytes(), b"")] if len(stars) else []
         for b in range(buckets):
             part = slice(edge[b], edge[b + 1])
             if edge[b] < edge[b + 1]:
                 mine, at = np.unique(who[part], return_inverse=True)
-                rows.append((b, key[part].tobytes(), at.astype(np.uint32).tobytes(), sets[mine].tobytes(), sizes[mine].tobytes()))
+                rows.append((b, key[part].tobytes(), (at.astype(np.uint32) | np.where(hub[part], HUB, np.uint32(0))).tobytes(), sets[mine].tobytes(), sizes[mine].tobytes()))
         cols = list(zip(*rows))
         return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], ["bucket", "keys", "at", "sets", "sizes"])
 
@@ -308,23 +324,27 @@ def _links(blocks: DataFrame, tasks: int) -> DataFrame:
 
         key = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["keys"]])
         shift = np.cumsum([0, *(len(x) // 8 for x in pdf["sets"])])
-        who = np.concatenate([np.frombuffer(x, np.uint32).astype(np.int64) + o for x, o in zip(pdf["at"], shift)])
+        place = [np.frombuffer(x, np.uint32) for x in pdf["at"]]
+        hub = np.concatenate([x >= HUB for x in place])
+        who = np.concatenate([(x & ~HUB).astype(np.int64) + o for x, o in zip(place, shift)])
         sets = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["sets"]])
         size = np.concatenate([np.frombuffer(x, np.int32) for x in pdf["sizes"]]).astype(np.int64)
         # Only keys that occur again matter.
         by = np.argsort(key, kind="stable")
-        key, who = key[by], who[by]
+        key, who, hub = key[by], who[by], hub[by]
         again = key[1:] == key[:-1]
         keep = np.concatenate([again, [False]]) | np.concatenate([[False], again])
-        key, who = key[keep], who[keep]
+        key, who, hub = key[keep], who[keep], hub[keep]
         by = np.lexsort((sets[who], size[who], key))
-        key, node, size = key[by], sets[who[by]], size[who[by]]
+        key, node, size, hub = key[by], sets[who[by]], size[who[by]], hub[by]
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+        hubs = np.repeat(np.add.reduceat(hub, start) > 0, np.diff(np.concatenate([start, [len(key)]]))) if len(key) else hub
         # A set that several tasks met is once in a list.
         new = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])[: len(key)]
-        key, node, size = key[new], node[new], size[new]
+        key, node, size, hubs = key[new], node[new], size[new], hubs[new]
         start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
         members = np.diff(np.concatenate([start, [len(key)]]))
-        many = np.repeat(members > SHORT, members)
+        many = np.repeat(members > SHORT, members) | hubs
         pairs = []
         for d in range(1, SHORT):
             i = np.flatnonzero((key[d:] == key[:-d]) & ~many[:-d] & (NUM * size[d:] <= DEN * size[:-d]))
@@ -348,7 +368,17 @@ def _links(blocks: DataFrame, tasks: int) -> DataFrame:
         tree = pd.DataFrame({"a": nodes, "b": np.array([root(x) for x in parent], np.int64), "n": 0, "m": 0, "long": True})
         return pd.concat([pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1], "n": pairs[:, 2], "m": pairs[:, 3], "long": False}), tree])
 
-    return blocks.repartition(tasks, "bucket").groupBy("bucket").applyInPandas(run, "a long, b long, n long, m long, long boolean").distinct()
+    def stars(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            a, b = (np.concatenate([np.frombuffer(x, np.int64) for x in batch.column(i).to_pylist()]) for i in (0, 1))
+            zero = pa.array(np.zeros(len(a), np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), zero, zero, pa.array(np.ones(len(a), bool))], ["a", "b", "n", "m", "long"])
+
+    schema = "a long, b long, n long, m long, long boolean"
+    lists = blocks.where("bucket >= 0").repartition(tasks, "bucket").groupBy("bucket").applyInPandas(run, schema)
+    return lists.unionByName(blocks.where("bucket = -1").select("keys", "sets").mapInArrow(stars, schema)).distinct()
 
 
 def _judged(pairs: DataFrame, rows: DataFrame) -> DataFrame:
