@@ -16,14 +16,25 @@ def gap_sessions(df: DataFrame, time: str, gap, keys: list[str], order: list[str
     return df.withColumn("_new", new).withColumn(name, F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
-def place_in_order(df: DataFrame, order: list[str], name: str) -> DataFrame:
-    """The place of every row, from 1, in the order of all rows: rows are dealt by ranges of ``order`` and numbered
-    within each, and what the ranges before hold is added. ``order`` must tell rows apart. No task sorts all."""
-    dealt = written(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
-    sizes = dealt.groupBy("_range").agg(F.count("*").alias("_n"))  # one row for each range
-    before = sizes.select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    return dealt.withColumn(name, within).join(F.broadcast(before), "_range").withColumn(name, (F.col(name) + F.col("_before")).cast("long")).drop("_range", "_before")
+def sum_before(df: DataFrame, order: list[str], value: Column, name: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """What ``value`` adds up to over the rows before, in the order of all rows (of the same ``keys``). Rows are dealt by
+    ranges of keys and order and summed up within each, and what the ranges before hold is added, so no task sorts
+    all rows or all of a key. ``keys`` and ``order`` must tell rows apart; other columns go along, so keep them few."""
+    dealt = written(df.withColumn("_v", value).repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    held = dealt.groupBy("_range", *keys).agg(F.sum("_v").alias("_held"))  # a row for each range and for each key
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.select(F.col("_range").alias("_r"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.coalesce(F.sum("_held").over(earlier), F.lit(0)).alias("_before"))
+    on = F.col("_range") == F.col("_r")
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    within = Window.partitionBy("_range", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = dealt.withColumn("_within", F.coalesce(F.sum("_v").over(within), F.lit(0)))
+    return summed.join(held, on).withColumn(name, F.col("_within") + F.col("_before")).select(*df.columns, name)
+
+
+def place_in_order(df: DataFrame, order: list[str], name: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """The place of every row, from 1, in the order of all rows (of the same ``keys``); see ``sum_before``."""
+    return sum_before(df, order, F.lit(1).cast("long"), name, keys).withColumn(name, (F.col(name) + 1).cast("long"))
 
 
 def interval_union(df: DataFrame, start: str, end: str, keys: list[str], touching: bool = True, slack=0) -> DataFrame:

@@ -27,18 +27,37 @@ def _(t):
     return held_quotes(_normal(t.documents, "doc_id"), ["doc_id"], "x", _normal(t.benchmark, "item_id"), "x").groupBy("item_id").agg(F.count("*").alias("found_in"))
 
 
+#: What recognition heard, by what editors made of it: (edited, heard).
+HEARD = (("tion", "sion"), ("ent", "ant"))
+_EDITED = "CASE item_id % 5 WHEN 1 THEN replace(text, ' ', ' - ') WHEN 2 THEN replace(text, 'ant', 'ent') WHEN 3 THEN left(text, (0.6 * length(text))::INT) || ' and what nobody said' WHEN 4 THEN left(text, 32) || ' and what nobody said of it' ELSE text END"
+_V = "length(x) >= 12 AND contains(y, left(x, 16))"
+
+
 @query(
     "ev3_graded_trace",
-    f"""WITH g AS (SELECT item_id, doc_id, CASE WHEN contains(d.text, b.text) THEN 1 WHEN contains({NORM.format('d.text')}, {NORM.format('b.text')}) THEN 2 WHEN contains({NORM.format('d.text')}, left({NORM.format('b.text')}, 12)) THEN 3 END AS g FROM benchmark b, documents d)
-        SELECT b.item_id, CASE min(g) WHEN 1 THEN 'verbatim' WHEN 2 THEN 'normalised' WHEN 3 THEN 'paraphrase' ELSE 'missing' END AS grade FROM benchmark b LEFT JOIN g ON b.item_id = g.item_id GROUP BY b.item_id""",
+    f"""WITH b AS (SELECT item_id, text, {NORM.format('text')} AS x FROM (SELECT item_id, {_EDITED} AS text FROM benchmark)), d AS (SELECT text, {NORM.format('d.text')} AS y FROM documents d),
+        g AS (SELECT item_id, CASE WHEN contains(d.text, b.text) THEN 1 WHEN contains(y, x) THEN 2
+              WHEN contains(y, replace(x, 'tion', 'sion')) OR contains(y, replace(x, 'ent', 'ant')) OR contains(y, replace(replace(x, 'tion', 'sion'), 'ent', 'ant')) OR contains(y, left(x, greatest(12, length(x) // 2)::INT)) THEN 3
+              WHEN {_V} THEN 4 END AS g FROM b, d WHERE x <> '')
+        SELECT b.item_id, CASE min(g) WHEN 1 THEN 'verbatim' WHEN 2 THEN 'joined' WHEN 3 THEN 'normalised' WHEN 4 THEN 'paraphrase' ELSE 'missing' END AS grade FROM benchmark b LEFT JOIN g ON b.item_id = g.item_id GROUP BY b.item_id""",
 )
 def _(t):
-    """The best grade at which a quote is found anywhere."""
-    q = _normal(t.benchmark, "item_id")
-    probes = q.select("item_id", F.lit(2).alias("g"), "x").unionByName(q.select("item_id", F.lit(3).alias("g"), F.substring("x", 1, 12).alias("x")))
-    exact = held_quotes(t.documents, [], "text", t.benchmark.select("item_id", F.lit(1).alias("g"), "text"), "text")
+    """The best grade at which a quote is found anywhere: verbatim; joined, over lines and punctuation; normalised, with
+    known edits undone, or its first half; paraphrase, its first 16 characters. Four in five quotes are edited."""
+    edited = F.when(F.col("item_id") % 5 == 1, F.replace("text", F.lit(" "), F.lit(" - "))).when(F.col("item_id") % 5 == 2, F.replace("text", F.lit("ant"), F.lit("ent")))
+    edited = edited.when(F.col("item_id") % 5 == 3, F.concat(F.left("text", F.round(0.6 * F.length("text")).cast("int")), F.lit(" and what nobody said")))
+    edited = edited.when(F.col("item_id") % 5 == 4, F.concat(F.left("text", F.lit(32)), F.lit(" and what nobody said of it"))).otherwise(F.col("text"))
+    quotes = t.benchmark.select("item_id", edited.alias("text"))
+    q = _normal(quotes, "item_id").where("x <> ''")
+    undone = [F.col("x")]
+    for made, heard in HEARD:
+        undone += [F.replace(v, F.lit(made), F.lit(heard)) for v in undone]
+    half = F.left("x", F.greatest(F.lit(12), F.floor(F.length("x") / 2).cast("int")))
+    probes = q.select("item_id", F.lit(2).alias("g"), "x").unionByName(q.select("item_id", F.lit(3).alias("g"), F.explode(F.array_distinct(F.array(*undone[1:], half))).alias("x")))
+    probes = probes.unionByName(q.where(F.length("x") >= 12).select("item_id", F.lit(4).alias("g"), F.left("x", F.lit(16)).alias("x")))
+    exact = held_quotes(t.documents, [], "text", quotes.select("item_id", F.lit(1).alias("g"), "text"), "text")
     best = exact.unionByName(held_quotes(_normal(t.documents, "doc_id"), [], "x", probes, "x")).groupBy("item_id").agg(F.min("g").alias("g"))
-    name = F.when(F.col("g") == 1, "verbatim").when(F.col("g") == 2, "normalised").when(F.col("g") == 3, "paraphrase").otherwise("missing")
+    name = F.when(F.col("g") == 1, "verbatim").when(F.col("g") == 2, "joined").when(F.col("g") == 3, "normalised").when(F.col("g") == 4, "paraphrase").otherwise("missing")
     return t.benchmark.select("item_id").join(best, "item_id", "left").select("item_id", name.alias("grade"))
 
 
@@ -84,9 +103,9 @@ def _(t):
     return t.orders.where("o_orderkey % 11 <> 0").select("o_orderkey", F.when(hit & (F.col("o_orderstatus") == "O"), "F").otherwise(F.col("o_orderstatus")).alias("status"), (hit & (F.col("o_orderstatus") != "O")).alias("mismatch"))
 
 
-@query("cu2_keep_demote_reject", "SELECT d.doc_id, CASE WHEN toxic = 1 THEN 'reject' WHEN quality = 0 THEN 'demote' ELSE 'keep' END AS verdict, CASE WHEN quality = 0 AND toxic = 0 THEN '[unsure] ' || left(text, 20) ELSE left(text, 20) END AS claim FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
+@query("cu2_keep_demote_reject", "SELECT d.doc_id, CASE WHEN toxic = 1 THEN 'reject' WHEN quality = 0 THEN 'demote' ELSE 'keep' END AS verdict, CASE WHEN quality = 0 AND toxic = 0 THEN '[unsure] ' || text ELSE text END AS claim FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
 def _(t):
-    j = t.documents.select("doc_id", F.substring("text", 1, 20).alias("c")).join(t.labels, "doc_id", "left")
+    j = t.documents.select("doc_id", F.col("text").alias("c")).join(t.labels, "doc_id", "left")
     low = (F.col("quality") == 0) & (F.col("toxic") == 0)
     return j.select("doc_id", F.when(F.col("toxic") == 1, "reject").when(F.col("quality") == 0, "demote").otherwise("keep").alias("verdict"), F.when(low, F.concat(F.lit("[unsure] "), "c")).otherwise(F.col("c")).alias("claim"))
 
@@ -113,11 +132,12 @@ def _(t):
     return j.select("doc_id", T.all_reasons(("no_audit", F.col("a").isNull()), ("drift", F.length("text") != F.col("n_chars")), ("hash", F.sha2("text", 256).startswith("0"))).alias("errors"))
 
 
-@query("cu6_work_orders", "SELECT source, count(*) AS n, sha256(string_agg(doc_id::VARCHAR || ':' || sha256(text), ',' ORDER BY doc_id)) AS source_sha256 FROM documents WHERE n_chars < 5000 GROUP BY source")
+@query("cu6_work_orders", "SELECT source, count(*) AS n, min(doc_id) AS first, max(doc_id) AS last, sum(('0x' || sha256(doc_id::VARCHAR || ':' || sha256(text))[1:15])::BIGINT)::VARCHAR AS digest FROM documents WHERE n_chars < 5000 GROUP BY source")
 def _(t):
-    """Work orders: members of a group with a digest of their frozen texts."""
-    h = t.documents.where("n_chars < 5000").select("source", "doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.sha2("text", 256)).alias("h"))
-    return h.groupBy("source").agg(F.count("*").alias("n"), F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("doc_id", "h"))), lambda s: s["h"]), ","), 256).alias("source_sha256"))
+    """Work orders: a group's members, with a digest of their frozen texts that does not gather them."""
+    h = F.conv(F.left(F.sha2(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.sha2("text", 256)), 256), F.lit(15)), 16, 10).cast("decimal(38,0)")
+    g = t.documents.where("n_chars < 5000").groupBy("source")
+    return g.agg(F.count("*").alias("n"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.sum(h).cast("string").alias("digest"))
 
 
 @query("cu7_fix_plan", "SELECT d.doc_id, coalesce(CASE WHEN d.doc_id % 50 = 0 THEN 'manual' END, CASE WHEN quality = 0 THEN 'extracted' END, 'none') AS plan FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE coalesce(toxic, 0) = 0")
@@ -269,10 +289,10 @@ def _(t):
 # --- smaller variants -----------------------------------------------------------------------------------
 
 
-@query("sx2_span_fallback", "SELECT d.doc_id, coalesce(nullif(trim(left(text, 30)), ''), source) AS span, l.doc_id IS NOT NULL AS own FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
+@query("sx2_span_fallback", "SELECT d.doc_id, coalesce(nullif(trim(text), ''), source) AS span, l.doc_id IS NOT NULL AS own FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
 def _(t):
     j = t.documents.join(t.labels.select(F.col("doc_id").alias("l")), F.col("doc_id") == F.col("l"), "left")
-    return j.select("doc_id", F.coalesce(F.nullif(F.trim(F.substring("text", 1, 30)), F.lit("")), "source").alias("span"), F.col("l").isNotNull().alias("own"))
+    return j.select("doc_id", F.coalesce(F.nullif(F.trim("text"), F.lit("")), "source").alias("span"), F.col("l").isNotNull().alias("own"))
 
 
 @query("sx3_worklist", f"SELECT d.doc_id, count(*) AS context_lines FROM ({LINES}) d WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND line_no <= 4 GROUP BY d.doc_id")

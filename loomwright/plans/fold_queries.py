@@ -13,7 +13,11 @@ from .registry import query
 from .text_queries import lines
 from .window_queries import events
 
-RULES = [(r"(?<=\b)teh\b", "the"), (r"\bthe (?=the\b)", ""), (r"(\w+)ing\b", r"\1ed"), (r"[ \t]{2,}", " ")]
+#: Ordered: later rules see what earlier ones made; some look around.
+RULES = [
+    (r"(?<=\b)teh\b", "the"), (r"\bthe (?=the\b)", ""), (r"\b(\w+)(?: \1\b)+", r"\1"), (r"(?<!\w)an (?=[bcdfghjklmnpqrstvwxz])", "a "), (r"(?<!\w)a (?=[aeiou])", "an "),
+    (r"(?<=\d),(?=\d{3}\b)", ""), (r"\b(\w+)ing\b(?! of)", r"\1ed"), (r"(?<=[a-z])\.(?=[A-Z])", ". "), (r"(?i)\blicence\b", "license"), (r"(?<![\w.])i(?![\w.])", "I"), (r"[ \t]{2,}", " "), (r"(?<=\S) +(?=[,.;:])", ""),
+]
 
 
 @query("tx1_ordered_rules")
@@ -44,7 +48,7 @@ def _(t):
     return t.part.select("p_partkey", S.edits(F.lower("p_name"), F.lower("p_type")).alias("e")).select("p_partkey", "e.*")
 
 
-@query("tx20_json_strings")
+@query("tx20_json_strings", "SELECT doc_id, path, value FROM (SELECT doc_id, '$.meta.lang' AS path, lang AS value FROM documents UNION ALL SELECT doc_id, '$.meta.parts[0]', source FROM documents UNION ALL SELECT doc_id, '$.meta.parts[1]', split_part(text, chr(10), 1) FROM documents) WHERE value IS NOT NULL")
 def _(t):
     """All strings of documents as nested JSON (their first line, language and source)."""
     nested = F.to_json(F.struct("doc_id", F.struct("lang", F.array("source", F.element_at(F.split("text", "\n"), 1)).alias("parts")).alias("meta")))
@@ -74,8 +78,9 @@ def _(t):
 
 @query("set5_contained_dedupe")
 def _(t):
-    q = t.documents.select(F.concat("source", F.substring("text", 1, 1)).alias("topic"), "doc_id", F.substring("text", 1, 24).alias("quote"))
-    return folds.contained_dedupe(q, "topic", "doc_id", "quote")
+    """Whole texts as quotes, by the topic key of their first 24 characters."""
+    q = t.documents.select(F.substring("text", 1, 24).alias("topic"), "doc_id", F.col("text").alias("quote"))
+    return folds.contained_dedupe(q, "topic", "doc_id", "quote").select("doc_id", "topic")
 
 
 @query("sm6_category_cover")
@@ -110,16 +115,17 @@ def _(t):
     return best.select(F.col("id").alias("p_partkey"), "nearest", (F.col("ratio") > 0.6).alias("duplicate"))
 
 
-@query("ex3_run_variance")
+@query("ex3_run_variance", "SELECT event_type, count(*) AS runs, round(stddev_pop(m), 6) AS spread FROM (SELECT event_type, event_id % 5 AS run, avg(value) AS m FROM events GROUP BY ALL) GROUP BY event_type")
 def _(t):
     """Spread of a measure over repeated runs (here five splits of the events)."""
     g = t.events.groupBy("event_type", (F.col("event_id") % 5).alias("run")).agg(F.avg("value").alias("m"))
     return g.groupBy("event_type").agg(F.count("*").alias("runs"), F.round(F.stddev_pop("m"), 6).alias("spread"))
 
 
-@query("win5_session_window")
+@query("win5_session_window", "WITH g AS (SELECT user_id, ts, coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 8 HOUR, true)::INT AS new FROM events), r AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM g) SELECT user_id, epoch_us(min(ts)) AS start_us, count(*) AS n FROM r GROUP BY user_id, k")
 def _(t):
     """Sessions by the engine's own session window; the same function runs on a stream."""
     from loomwright.streaming.sessions import session_counts
 
-    return session_counts(t.events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "user_id", "8 hours", "1 day")
+    s = session_counts(t.events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "user_id", "8 hours", "1 day")
+    return s.select("user_id", F.unix_micros("start").alias("start_us"), "n")

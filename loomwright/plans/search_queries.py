@@ -11,6 +11,7 @@ from loomwright.operators import retrieval as R
 from loomwright.operators import windows as W
 from loomwright.operators.containment import held_quotes
 from loomwright.operators.graph import connected_components
+from loomwright.operators.nearest import nearest_cosine
 
 from .registry import query
 
@@ -147,11 +148,12 @@ def _(t):
     m = t.events.groupBy(F.col("user_id").alias("k"), F.col("event_type").alias("d")).agg(F.count("*").alias("n")).where("n >= 3")
     f = m.groupBy("d").agg((1 / F.log(1 + F.count("*"))).alias("idf"))
     tot = m.groupBy("k").agg(F.sum("n").alias("s"), F.count("*").alias("c")).where("s >= 15 and c >= 3").select("k", "s")
-    v = m.join(tot, "k").join(f, "d").select("k", "d", (F.col("n") / F.col("s") * F.col("idf")).alias("w"))
-    nm = v.groupBy("k").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("l"))
-    p = v.join(v.select(F.col("k").alias("other"), "d", F.col("w").alias("w2")), "d").where("k <> other").groupBy("k", "other").agg(F.sum(F.col("w") * F.col("w2")).alias("dot"))
-    c = p.join(nm, "k").join(nm.select(F.col("k").alias("other"), F.col("l").alias("l2")), "other").select("k", "other", F.round(F.col("dot") / (F.col("l") * F.col("l2")), 6).alias("cosine"))
-    return W.top_per_group(c, ["k"], [F.desc("cosine"), "other"], 1)
+    v = m.join(tot, "k").join(f, "d").groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("d", F.col("n") / F.col("s") * F.col("idf")))).alias("m"))
+    kinds = sorted(r["d"] for r in f.select("d").limit(1_001).collect())
+    if len(kinds) > 1_000:
+        raise ValueError("more than 1,000 kinds of events: vectors of that length are not spelled out")
+    whole = F.array(*[F.coalesce(F.element_at("m", F.lit(d)), F.lit(0.0)) for d in kinds])
+    return nearest_cosine(v.select("k", whole.alias("v")), "k", "v")
 
 
 @query("ir12_facets", "SELECT lang, source, count(*) AS n FROM documents WHERE contains(lower(text), 'license') GROUP BY ALL")

@@ -145,27 +145,42 @@ def _(t):
        SELECT doc_id, round(len(list_intersect(x, y)) / len(x), 4) AS coverage, len(list_intersect(x, y))::BIGINT AS shared FROM b""",
 )
 def _(t):
-    """Share of a text's words that the previous text of its source holds."""
-    from pyspark.sql import Window
-
-    prev = F.lag("text").over(Window.partitionBy("source").orderBy("doc_id"))
-    words = lambda c: F.array_distinct(F.split(F.lower(c), " "))
-    d = t.documents.select("doc_id", words(F.col("text")).alias("x"), words(prev).alias("y")).where("y is not null")
+    """Share of a text's words that the previous text of its source holds. Rows are numbered without their texts,
+    and each then meets the one before it."""
+    from loomwright.operators.windows import place_in_order
+
+    placed = place_in_order(t.documents.select("doc_id", "source"), ["doc_id"], "place", ("source",))
+    words = F.array_distinct(F.split(F.lower("text"), " "))
+    d = t.documents.select("doc_id", words.alias("x")).join(placed, "doc_id")
+    before = d.select(F.col("source").alias("s"), (F.col("place") + 1).alias("p"), F.col("x").alias("y")).where("y is not null")
+    d = d.join(before, F.col("source").eqNullSafe(F.col("s")) & (F.col("place") == F.col("p")))
     shared = F.size(F.array_intersect("x", "y"))
     return d.select("doc_id", F.round(shared / F.size("x"), 4).alias("coverage"), shared.cast("long").alias("shared"))
 
 
+KNOWN = ("that", "this", "with", "thesis", "andes")
+_KNOWN_SQL = ", ".join(f"('{k}')" for k in KNOWN)
+
+
 @query(
     "tx27_frequent_ngrams",
-    r"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{4,8}')) AS term FROM documents),
-        n AS (SELECT term, count(*) AS n, count(DISTINCT doc_id) AS docs, min(doc_id) AS first_doc FROM w WHERE term NOT IN ('that', 'this', 'with') GROUP BY term HAVING count(*) >= 8)
-        SELECT term, n, docs, first_doc FROM n ORDER BY n DESC, term LIMIT 500""",
+    rf"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\x{{4e00}}-\x{{9fff}}]{{2,4}}|[a-z]{{4,8}}')) AS term FROM documents),
+        n AS (SELECT term, count(*) AS n, count(DISTINCT doc_id) AS docs, min(doc_id) AS first_doc FROM w
+              WHERE NOT EXISTS (SELECT 1 FROM (VALUES {_KNOWN_SQL}) k(k) WHERE contains(k, term) OR contains(term, k)) GROUP BY term HAVING count(*) >= 8 ORDER BY n DESC, term LIMIT 500)
+        SELECT term, n, docs, first_doc, substr(text, greatest(strpos(lower(text), term) - 12, 1), strpos(lower(text), term) - greatest(strpos(lower(text), term) - 12, 1) + length(term) + 12) AS context FROM n JOIN documents ON doc_id = first_doc""",
 )
 def _(t):
-    """Frequent words of 4 to 8 letters beyond a stop list: a top-500 report."""
-    w = t.documents.select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,8}"), F.lit(0))).alias("term")).where(~F.col("term").isin("that", "this", "with"))
+    """Frequent runs of 2 to 4 ideographs or 4 to 8 letters that are not known, nor part of what is known, nor hold it:
+    a top-500 report, each with its first document and what surrounds it there."""
+    runs = F.regexp_extract_all(F.lower("text"), F.lit(r"[\x{4e00}-\x{9fff}]{2,4}|[a-z]{4,8}"), F.lit(0))
+    known = F.array(*map(F.lit, KNOWN))
+    w = t.documents.select("doc_id", F.explode(runs).alias("term"))
     n = w.groupBy("term").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("docs"), F.min("doc_id").alias("first_doc")).where("n >= 8")
-    return n.orderBy(F.desc("n"), "term").limit(500)
+    n = n.where(~F.exists(known, lambda k: F.contains(k, F.col("term")) | F.contains(F.col("term"), k))).orderBy(F.desc("n"), "term").limit(500)
+    at = F.instr(F.lower("text"), F.col("term"))
+    start = F.greatest(at - 12, F.lit(1))
+    context = F.substr("text", start, at - start + F.length("term") + 12)
+    return t.documents.select("doc_id", "text").join(F.broadcast(n), F.col("doc_id") == F.col("first_doc")).select("term", "n", "docs", "first_doc", context.alias("context"))
 
 
 # --- projections ---------------------------------------------------------------------------------

@@ -173,9 +173,11 @@ def _(t):
 
 @query("win18_quartile_bands", "SELECT doc_id, (4 * rn - 1) // n AS band FROM (SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY n_chars, doc_id) AS rn, count(*) OVER (PARTITION BY source) AS n FROM documents)")
 def _(t):
-    rn = F.row_number().over(Window.partitionBy("source").orderBy("n_chars", "doc_id"))
-    n = F.count("*").over(Window.partitionBy("source"))
-    return t.documents.select("doc_id", rn.alias("rn"), n.alias("n")).select("doc_id", F.floor((4 * F.col("rn") - 1) / F.col("n")).cast("long").alias("band"))
+    """Quarters of a source by length."""
+    placed = W.place_in_order(t.documents.select("doc_id", "source", "n_chars"), ["n_chars", "doc_id"], "rn", ("source",))
+    n = t.documents.groupBy(F.col("source").alias("s")).agg(F.count("*").alias("n"))
+    j = placed.join(n, F.col("source").eqNullSafe(F.col("s")))
+    return j.select("doc_id", F.floor((4 * F.col("rn") - 1) / F.col("n")).cast("long").alias("band"))
 
 
 @query("win19_target_rank", "SELECT user_id, event_type, n, rank() OVER (PARTITION BY user_id ORDER BY n DESC) AS r FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL)")

@@ -249,5 +249,6 @@ def test_query_equals_sql(spark, duck, name):
 
 
 @pytest.mark.parametrize("name", sorted(set(plans.QUERIES) - set(plans.SQL)))
-def test_other_queries_run(spark, name):
-    assert plans.QUERIES[name](spark, SF).count() >= 0
+def test_other_queries_have_rows(spark, name):
+    """What they return is compared in test_brute.py and above; here every one has rows."""
+    assert plans.QUERIES[name](spark, SF).count() > 0
