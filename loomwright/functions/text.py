@@ -103,3 +103,25 @@ def word_jaccard(a: Column, b: Column) -> Column:
     """Jaccard similarity of two arrays as sets; 0 if both are empty."""
     union = F.size(F.array_union(a, b))
     return F.when(union > 0, F.size(F.array_intersect(a, b)) / union).otherwise(F.lit(0.0))
+
+
+def stream_answer(c: Column) -> Column:
+    """A model service's event stream (lines of ``data:``) as a struct: the joined ``text`` of its deltas up to
+    ``[DONE]``, and the last ``usage`` as JSON. Lines that are no JSON, and those of other events, are passed over."""
+    data = F.filter(F.transform(F.split(c, "\n"), F.trim), lambda x: F.startswith(x, F.lit("data:")))
+    payload = F.transform(data, lambda x: F.trim(F.substr(x, F.lit(6))))
+    done = F.array_position(payload, "[DONE]").cast("int")
+    held = F.when(done > 0, F.slice(payload, F.lit(1), F.greatest(done - 1, F.lit(0)))).otherwise(payload)
+    piece = lambda p: F.coalesce(F.get_json_object(p, "$.choices[0].delta.content"), F.get_json_object(p, "$.choices[0].message.content"), F.lit(""))
+    usage = F.filter(F.transform(held, lambda p: F.get_json_object(p, "$.usage")), lambda u: u.isNotNull())
+    return F.struct(F.array_join(F.transform(held, piece), "").alias("text"), F.try_element_at(usage, F.lit(-1)).alias("usage"))
+
+
+def fill_marks(c: Column, values: dict[str, Column]) -> tuple[Column, Column]:
+    """A document with ``<!--v:key-->...<!--/v-->`` filled by key, and the keys in it that are not known."""
+    named = F.array_distinct(F.regexp_extract_all(c, F.lit("<!--v:([a-z_]+)-->"), F.lit(1)))
+    unknown = F.array_except(named, F.array(*map(F.lit, values)))
+    for key, value in values.items():
+        plain = F.replace(F.replace(value.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$"))
+        c = F.regexp_replace(c, F.lit(f"(?s)(?<a><!--v:{key}-->).*?(?<b><!--/v-->)"), F.concat(F.lit("${a}"), plain, F.lit("${b}")))
+    return c, unknown

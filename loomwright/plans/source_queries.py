@@ -3,9 +3,11 @@ functions over one record's text."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loomwright.functions import records as X
+from loomwright.functions import text as T
 from loomwright.operators import external
 from loomwright.session import new_folder
 from loomwright.sources import sinks
@@ -157,6 +159,39 @@ def _(t):
     return n(a, b, "first").unionByName(n(b, a, "second"))
 
 
+@query("src12_stream_deltas", "SELECT conv_id, turn, coalesce(text, '') AS text, 'u' || length(text) AS usage FROM conversations")
+def _(t):
+    """Texts put together again from a service's event stream."""
+    half = F.floor(F.length("text") / 2).cast("int")
+    event = lambda c: F.to_json(F.struct(F.array(F.struct(F.struct(c.alias("content")).alias("delta"))).alias("choices")))
+    last = F.to_json(F.struct(F.array(F.struct(F.struct(F.substr("text", half + 1).alias("content")).alias("message"))).alias("choices"), F.concat(F.lit("u"), F.length("text")).alias("usage")))
+    stream = F.concat_ws("\n", F.lit(": note"), F.concat(F.lit("data: "), event(F.left("text", half))), F.lit("data: {broken"), F.lit("event: x"), F.concat(F.lit("data:"), last), F.lit("data: [DONE]"), F.lit('data: {"usage": 1}'))
+    return t.conversations.select("conv_id", "turn", T.stream_answer(stream).alias("a")).select("conv_id", "turn", "a.*")
+
+
+@query("snk7_markdown", "WITH g AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang) SELECT 1 AS place, '| lang | n |' AS line UNION ALL SELECT 2, '| --- | --- |' UNION ALL SELECT 2 + row_number() OVER (ORDER BY lang), '| ' || lang || ' | ' || n || ' |' FROM g")
+def _(t):
+    """A report's table as lines."""
+    return sinks.markdown(t.documents.groupBy("lang").agg(F.count("*").alias("n")), ["lang"]).select(F.col("place").cast("long").alias("place"), "line")
+
+
+@query("sx41_template_fill", "SELECT n_nationkey, 'N <!--v:name-->' || n_name || '<!--/v-->: <!--v:customers-->' || count(c_custkey) || '<!--/v--> of <!--v:total-->?<!--/v-->' AS filled, ['total'] AS unknown, n_name <> 'FRANCE' OR count(c_custkey) <> 0 AS drift FROM nation LEFT JOIN customer ON n_nationkey = c_nationkey GROUP BY n_nationkey, n_name")
+def _(t):
+    """Figures in a document filled in; unknown marks stay and are told; drift from what stood there."""
+    n = t.nation.join(t.customer, F.col("n_nationkey") == F.col("c_nationkey"), "left").groupBy("n_nationkey", "n_name").agg(F.count("c_custkey").alias("n"))
+    stored = F.lit("N <!--v:name-->FRANCE<!--/v-->: <!--v:customers-->0<!--/v--> of <!--v:total-->?<!--/v-->")
+    filled, unknown = T.fill_marks(stored, {"name": F.col("n_name"), "customers": F.col("n")})
+    return n.select("n_nationkey", filled.alias("filled"), unknown.alias("unknown"), (filled != stored).alias("drift"))
+
+
+@query("sx42_retry_clips", "SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS position, CASE event_type WHEN 'view' THEN 'wav' ELSE 'm4a' END AS format, event_id % 3 + 1 AS attempt FROM events WHERE event_type <> 'purchase'")
+def _(t):
+    """Failed clips with their place in their file, the format they are tried in again, and the attempt."""
+    failed = t.events.where("event_type <> 'purchase'")
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id"))
+    return failed.select("user_id", "event_id", place.cast("long").alias("position"), F.when(F.col("event_type") == "view", "wav").otherwise("m4a").alias("format"), (F.col("event_id") % 3 + 1).alias("attempt"))
+
+
 # --- one record's text -------------------------------------------------------------------------------
 
 

@@ -30,3 +30,14 @@ def manifest(df: DataFrame, key: str, group: str) -> DataFrame:
     """Rows and an order-free digest of each group: the sum of row hashes, so nothing is gathered."""
     h = F.xxhash64(*[F.col(c).cast("string") for c in sorted(df.columns)]).cast("decimal(38,0)")
     return df.groupBy(group).agg(F.count("*").alias("rows"), F.countDistinct(key).alias("ids"), F.sum(h).alias("digest"))
+
+
+def markdown(df: DataFrame, order: list[str]) -> DataFrame:
+    """A small table as lines of a Markdown report: (place, line), with the head first."""
+    from pyspark.sql import Window
+
+    cells = lambda xs: F.concat(F.lit("| "), F.concat_ws(" | ", *xs), F.lit(" |"))
+    shown = [F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("|"), F.lit("\\|")) for c in df.columns]
+    body = df.select((F.row_number().over(Window.orderBy(*order)) + 2).alias("place"), cells(shown).alias("line"))
+    head = [(1, "| " + " | ".join(df.columns) + " |"), (2, "|" + " --- |" * len(df.columns))]
+    return df.sparkSession.createDataFrame(head, "place int, line string").unionByName(body)
