@@ -47,7 +47,7 @@ LEVELS, HIT = (1.5, 2.5, 5.0), 3.0
 SHARE = 0.3
 _CELLS = 64 * 64 * 64
 #: Distinct windows whose weights a worker remembers, twice.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def windows(text: str | None) -> list[bytes]:
