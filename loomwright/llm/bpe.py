@@ -149,6 +149,11 @@ class RankMerger:
         right = np.array([v[b] for _, b in vocabulary.merges], np.uint64)
         self.result = np.array([v[a + b] for a, b in vocabulary.merges], np.int64)
         self.none = len(self.result)
+        # Where no merge joins two bytes, a pre-token falls into segments that merge by themselves: however long a text
+        # without blanks is, it takes as many rounds as its longest segment.
+        of = {c: b for b, c in vocabulary.alphabet.items()}
+        self.joins = np.zeros(1 << 16, bool)
+        self.joins[[of[a[-1]] << 8 | of[b[0]] for a, b in vocabulary.merges]] = True
         keys = (left << np.uint64(32)) | right
         # Open addressing with linear probing, filled in rounds: of those that want a free slot, one gets it.
         n = 1 << self.BITS
@@ -181,8 +186,13 @@ class RankMerger:
         """Surviving symbols of all words in order, and how many each word has."""
         raw = [w.encode("utf-8", "replace") for w in words]
         size = np.fromiter(map(len, raw), np.int64, len(raw))
-        sym = self.byte_id[np.frombuffer(b"".join(raw), np.uint8)]
-        owner = np.repeat(np.arange(len(raw)), size)
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        sym = self.byte_id[data]
+        word = np.repeat(np.arange(len(raw)), size)
+        apart = (word[1:] != word[:-1]) | ~self.joins[data[:-1].astype(np.int64) << 8 | data[1:]]
+        begins = np.flatnonzero(np.concatenate([[True], apart]))[: len(data)]
+        owner = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(data))))
+        word = word[begins]
         done: list[tuple[np.ndarray, np.ndarray]] = []
         same = np.zeros(len(sym), bool)
         np.equal(owner[1:], owner[:-1], out=same[:-1])
@@ -218,7 +228,7 @@ class RankMerger:
             return np.zeros(0, np.int64), size
         owner, sym = (np.concatenate(x) for x in zip(*done))
         order = np.argsort(owner, kind="stable")
-        return sym[order], np.bincount(owner, minlength=len(raw))
+        return sym[order], np.bincount(word[owner], minlength=len(raw))
 
 
 def chunks(texts: list[str | None]):

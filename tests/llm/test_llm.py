@@ -50,6 +50,13 @@ def test_long_texts_are_cut_without_effect(monkeypatch, tokenizer):
     assert bpe.BatchTokenizer(common.tokenizer_path()).counts([LONG[:20000], "a"]).tolist() == [len(ids_of(tokenizer, LONG[:20000])), 1]
 
 
+def test_long_texts_without_blanks(tokenizer):
+    rng = random.Random(8)
+    letters, han = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(60_000)), "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(60_000))
+    texts = [letters, han, "a" * 100_000, "=" * 30_000 + letters[:100]]
+    assert bpe.BatchTokenizer(common.tokenizer_path(), "merge").counts(texts).tolist() == [len(ids_of(tokenizer, t)) for t in texts]
+
+
 def test_token_counts(docs, tokenizer):
     from loomwright.llm.token_count import count_tokens
 
