@@ -5,6 +5,7 @@ from __future__ import annotations
 import difflib
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
@@ -104,10 +105,13 @@ def ratio_over(least: float):
 def edit_breakdown(truth: str, heard: str) -> tuple[int, int, int]:
     """Substitutions, deletions, insertions; of equal paths match or substitution, then deletion, then insertion."""
     n, m = len(truth), len(heard)
-    d = [list(range(m + 1))] + [[i, *[0] * m] for i in range(1, n + 1)]
-    for i in range(1, n + 1):
-        for j in range(1, m + 1):
-            d[i][j] = min(d[i - 1][j - 1] + (truth[i - 1] != heard[j - 1]), d[i - 1][j] + 1, d[i][j - 1] + 1)
+    a, b = (np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32) for x in (truth, heard))
+    steps = np.arange(m + 1)
+    rows = [steps]
+    for i in range(n):  # a row at a time: insertions are a running minimum
+        best = np.minimum(rows[i][:-1] + (a[i] != b), rows[i][1:] + 1)
+        rows.append(np.minimum.accumulate(np.concatenate([[i + 1], best]) - steps) + steps)
+    d = [r.tolist() for r in rows]
     s = x = y = 0
     i, j = n, m
     while i or j:

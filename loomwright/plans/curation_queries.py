@@ -371,10 +371,10 @@ def _(t):
 
 @query("sx23_next_ids", "SELECT p_name, (SELECT max(p_partkey) FROM part) + row_number() OVER (ORDER BY p_name) AS new_id FROM (SELECT DISTINCT upper(p_name) AS p_name FROM part WHERE p_size = 1)")
 def _(t):
-    """New entries continue the sequence after the largest id (a small set of new names)."""
-    top = t.part.agg(F.max("p_partkey").alias("m"))
-    n = t.part.where("p_size = 1").select(F.upper("p_name").alias("p_name")).distinct()
-    return n.crossJoin(F.broadcast(top)).select("p_name", (F.col("m") + F.row_number().over(Window.orderBy("p_name"))).alias("new_id"))
+    """New entries continue the sequence after the largest id."""
+    top = t.part.agg(F.max("p_partkey").alias("m"))  # one row
+    n = W.place_in_order(t.part.where("p_size = 1").select(F.upper("p_name").alias("p_name")).distinct(), ["p_name"], "place")
+    return n.crossJoin(F.broadcast(top)).select("p_name", (F.col("m") + F.col("place")).alias("new_id"))
 
 
 @query("sx25_label_coverage", "SELECT 'missing' AS kind, count(*) AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT 'extra', count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents) UNION ALL SELECT 'bad', count(*) FROM labels WHERE toxic NOT IN (0, 1)")
