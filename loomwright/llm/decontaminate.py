@@ -144,8 +144,13 @@ def _one_block(df: DataFrame, known, key: tuple, first: bool, last: bool) -> Dat
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """The result of ``find_items`` with the items as a count and a hash."""
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+    """The result of ``find_items`` with the items as a count and a hash, and of the hit spans (offsets in the original
+    text) the number, the first start and the last end."""
+    first, last = (F.try_element_at("spans", F.lit(k)) for k in (1, -1))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("spans").cast("long").alias("n_spans"), first["start"].cast("long").alias("first_start"), last["end"].cast("long").alias("last_end"),
+    )
 
 
 def _pieces(benchmark: DataFrame, item_column: str, item_text: str) -> DataFrame:
