@@ -1,7 +1,10 @@
 """Bigram BM25 over a table of documents, with boosts, filters and quotas.
 
-The corpus becomes one stored posting table (term, doc, tf) of the queries' terms, with each document's length. A set of
-queries is answered at once: their terms meet the postings in an equi-join, and scores are sums by (query, document).
+A set of queries is answered at once. For a few queries, the corpus becomes one stored posting table (term, doc, tf) of
+their terms in one pass over the texts, which meets the queries in an equi-join. Of more queries such a table would
+outgrow the texts: up to ``DENSE_QUERIES`` of ``DENSE_TERMS`` distinct terms are broadcast; one pass over the texts counts
+documents by term, a second one scores batches of documents against all queries as a matrix product, and only
+scores leave it. Beyond that it is the posting table again.
 """
 
 from __future__ import annotations
@@ -10,14 +13,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from loomwright.session import ship_package, written
 
 K1, B = 1.5, 0.75
 #: Distinct terms of the queries that are broadcast at most, 8 bytes each; beyond that all postings are made.
 MAX_TERMS = 1_000_000
-_BARRIER, _SINGLE = 0x1FFFFF, 1 << 42
+#: Queries and their distinct terms that are scored as a matrix; cells of a batch's matrix.
+FEW_QUERIES, DENSE_QUERIES, DENSE_TERMS, CELLS = 8, 2_000, 50_000, 2_000_000
+_SINGLE = 1 << 42
 
 
 def term_codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -54,15 +60,13 @@ def postings(docs: DataFrame, doc_id: str, doc_text: str, wanted=None) -> DataFr
 
     def run(batches):
         terms = None if wanted is None else wanted.value
-        if terms is not None:  # most tokens are told apart by a mask of some bits of their codes
-            maybe = np.zeros(1 << 20, bool)
-            maybe[terms * 0x9E3779B1 >> 7 & 0xFFFFF] = True
+        maybe = None if terms is None else _mask(terms)
         for big in batches:
             for at in range(0, big.num_rows, 256):
                 batch = big.slice(at, 256)
                 codes, who, dl = term_codes(batch.column(1).to_pylist())
                 if terms is not None:
-                    keep = maybe[codes * 0x9E3779B1 >> 7 & 0xFFFFF]
+                    keep = maybe[_bits(codes)]
                     codes, who = codes[keep], who[keep]
                     keep = np.isin(codes, terms)
                     codes, who = codes[keep], who[keep]
@@ -78,16 +82,87 @@ def postings(docs: DataFrame, doc_id: str, doc_text: str, wanted=None) -> DataFr
     return rows.mapInArrow(run, StructType([rows.schema["doc"], *fields]))
 
 
+def _counted(texts: list[str | None], terms: np.ndarray, maybe: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How often each text has each of the sorted ``terms``, and the texts' numbers of tokens."""
+    codes, who, dl = term_codes(texts)
+    keep = maybe[_bits(codes)]
+    codes, who = codes[keep], who[keep]
+    at = np.minimum(np.searchsorted(terms, codes), len(terms) - 1)
+    hit = terms[at] == codes
+    return np.bincount(who[hit] * len(terms) + at[hit], minlength=len(texts) * len(terms)).reshape(len(texts), len(terms)), dl
+
+
+def _bits(codes: np.ndarray) -> np.ndarray:
+    return codes * 0x9E3779B1 >> 7 & 0xFFFFF
+
+
+def _mask(terms: np.ndarray) -> np.ndarray:
+    """Most tokens are told apart from ``terms`` by some bits of their codes."""
+    maybe = np.zeros(1 << 20, bool)
+    maybe[_bits(terms)] = True
+    return maybe
+
+
+def _scored_dense(docs: DataFrame, doc_id: str, doc_text: str, query: StructField, pairs: list) -> DataFrame:
+    """(query, doc, score) for queries given as (query, term) rows, which are few; ``query``: their ids' type."""
+    spark = docs.sparkSession
+    rows = docs.select(F.col(doc_id).alias("doc"), F.col(doc_text).alias("text"))
+    names = sorted({r["query"] for r in pairs}, key=lambda q: (q is None, q))
+    terms = np.unique(np.array([r["term"] for r in pairs], np.int64))
+    place = {q: i for i, q in enumerate(names)}
+    asked = np.zeros((len(terms), len(names)))
+    asked[np.searchsorted(terms, [r["term"] for r in pairs]), [place[r["query"]] for r in pairs]] = 1.0
+    step = max(1, min(256, CELLS // max(1, len(terms))))
+    shared = spark.sparkContext.broadcast(terms)
+
+    def count(batches):
+        terms = shared.value
+        maybe, df, n, total = _mask(terms), np.zeros(len(terms), np.int64), 0, 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                tf, dl = _counted(batch.column(0).slice(at, step).to_pylist(), terms, maybe)
+                df += (tf > 0).sum(axis=0)
+                n, total = n + len(dl), total + int(dl.sum())
+        # Places -2 and -1: documents and their tokens.
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-2, len(terms))), pa.array(np.concatenate([[n, total], df]))], ["place", "n"])
+
+    held = rows.select("text").mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
+    found = np.zeros(len(terms) + 2, np.int64)
+    for r in held:
+        found[r["place"] + 2] = r["n"]
+    n, total, df = int(found[0]), int(found[1]), found[2:]
+    idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+    known = spark.sparkContext.broadcast((terms, idf, total / max(1, n), asked, pa.array(names, to_arrow_type(query.dataType))))
+    schema = StructType([query, rows.schema["doc"], StructField("score", DoubleType())])
+
+    def score(batches):
+        terms, idf, avgdl, asked, labels = known.value
+        maybe = _mask(terms)
+        for big in batches:
+            for at in range(0, big.num_rows, step):
+                batch = big.slice(at, step)
+                tf, dl = _counted(batch.column(1).to_pylist(), terms, maybe)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    w = np.where(tf > 0, idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl[:, None] / avgdl)), 0.0)
+                s = w @ asked
+                d, q = np.nonzero(s)
+                yield pa.RecordBatch.from_arrays([labels.take(pa.array(q)), batch.column(0).take(pa.array(d)), pa.array(s[d, q])], ["query", "doc", "score"])
+
+    return rows.mapInArrow(score, schema)
+
+
 def bm25(docs: DataFrame, queries: DataFrame, doc_id: str, doc_text: str, query_id: str, query_text: str) -> DataFrame:
     """(query, doc, score) of all pairs that share a term. A term counts once in a query. Document
     frequencies and the mean length are those of all of ``docs``; null texts count as empty."""
     spark = docs.sparkSession
     ship_package(spark)
     terms = written(_query_terms(queries, query_id, query_text), "terms")
-    distinct = terms.select("term").distinct()
+    size = terms.agg(F.countDistinct("query").alias("q"), F.countDistinct("term").alias("t")).first()
+    if 0 < size["t"] <= DENSE_TERMS and FEW_QUERIES < size["q"] <= DENSE_QUERIES:
+        return _scored_dense(docs, doc_id, doc_text, terms.schema["query"], terms.collect())
     wanted = None
-    if distinct.count() <= MAX_TERMS:
-        wanted = spark.sparkContext.broadcast(np.sort(np.array([r["term"] for r in distinct.collect()], np.int64)))
+    if size["t"] <= MAX_TERMS:
+        wanted = spark.sparkContext.broadcast(np.sort(np.array([r["term"] for r in terms.select("term").distinct().collect()], np.int64)))
     held = written(postings(docs, doc_id, doc_text, wanted), "postings")
     size = held.where("term = -1").agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
     tf = held.where("term <> -1")

@@ -154,9 +154,15 @@ def test_held_quotes(spark, monkeypatch, block):
 def test_bm25_beyond_the_broadcast(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "ab ab 日本"), (2, "abc"), (3, None), (4, "")], "id long, body string")
     q = spark.createDataFrame([(7, "abab"), (8, "日"), (9, None)], "q long, words string")
+    monkeypatch.setattr(R, "FEW_QUERIES", 0)
     few = sorted(map(tuple, R.bm25(docs, q, "id", "body", "q", "words").collect()))
-    monkeypatch.setattr(R, "MAX_TERMS", 0)
-    assert sorted(map(tuple, R.bm25(docs, q, "id", "body", "q", "words").collect())) == few and len(few) == 3
+    assert len(few) == 3 and R.bm25(docs.limit(0), q, "id", "body", "q", "words").count() == 0
+    for most in (1_000_000, 0):
+        monkeypatch.setattr(R, "DENSE_TERMS", 0)
+        monkeypatch.setattr(R, "MAX_TERMS", most)
+        many = sorted(map(tuple, R.bm25(docs, q, "id", "body", "q", "words").collect()))
+        assert [x[:2] for x in many] == [x[:2] for x in few] and all(abs(x[2] - y[2]) < 1e-12 for x, y in zip(many, few))
+    assert R.bm25(docs, q.limit(0), "id", "body", "q", "words").count() == 0
 
 
 def test_places_by_key_and_range(spark):
