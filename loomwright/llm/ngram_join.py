@@ -41,14 +41,14 @@ from pyspark.sql import functions as F
 from loomwright.operators.graph import connected_components
 
 from .bpe import mix
-from .common import forget, ship_package, steps, written
+from .common import forget, release, ship_package, steps, written
 
 WORDS = 5
 NUM, DEN = 80, 100
 #: Shingles in a chunk of step 1, in one task of step 5, and in a bucket's postings; sets in one task of step 5.
-CHUNK, AT_ONCE, POSTINGS, SETS_AT_ONCE = 2_000_000, 4_000_000, 1_500_000, 40_000
+CHUNK, AT_ONCE, POSTINGS, SETS_AT_ONCE = 1_000_000, 2_000_000, 750_000, 20_000
 #: Bytes of text whose shingles one task counts, and one group of them.
-COUNTED, GROUPED = 64_000_000, 8_000_000
+COUNTED, GROUPED = 64_000_000, 4_000_000
 #: Sets of a list that are paired: ten pairs at most for a list of five.
 SHORT = 5
 HUB = np.uint32(1 << 31)
@@ -187,6 +187,7 @@ def _counts(seen: DataFrame, tasks: int) -> DataFrame:
     def run(pdf):
         import pandas as pd
 
+        release()  # what the group before has freed
         t = np.sort(np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["tokens"]]))
         edge = np.concatenate([[0], np.flatnonzero(t[1:] != t[:-1]) + 1, [len(t)]])
         n = np.diff(edge)
@@ -322,6 +323,7 @@ def _links(blocks: DataFrame, tasks: int) -> DataFrame:
     def run(pdf):
         import pandas as pd
 
+        release()  # what the group before has freed
         key = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["keys"]])
         shift = np.cumsum([0, *(len(x) // 8 for x in pdf["sets"])])
         place = [np.frombuffer(x, np.uint32) for x in pdf["at"]]
@@ -485,6 +487,7 @@ def _verified(rows: DataFrame, keys: list[str], bins: int, heads: bool = False)
     def run(pdf):
         import pandas as pd
 
+        release()  # what the group before has freed
         links = []
         for _, group in pdf.groupby(keys, sort=False):
             if len(group) > 1:
