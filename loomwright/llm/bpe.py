@@ -29,7 +29,7 @@ _CODES = 0x110000 + 64
 _WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 _ODD = 0x9E3779B97F4A7C15
 #: Code points in one array, and distinct pre-tokens that a worker remembers.
-CHUNK, REMEMBERED = 1_000_000, 600_000
+CHUNK, REMEMBERED = 1_000_000, 300_000
 
 
 @lru_cache(1)
