@@ -6,7 +6,9 @@ import contextlib
 import ctypes
 import itertools
 from collections.abc import Iterator
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
@@ -38,6 +40,64 @@ def steps(batches: Iterator[pa.RecordBatch], column: str = "text", rows: int = S
         release()
 
 
+class Words(NamedTuple):
+    """Words of some texts in one array of bytes, each with a blank before it."""
+
+    data: np.ndarray
+    offsets: np.ndarray
+    #: For each word the row of its text, and its place in the text.
+    row: np.ndarray
+    place: np.ndarray
+    #: Whether the text (a long one, on its own) goes on; its last words then come again.
+    more: bool
+
+    def array(self) -> pa.Array:
+        return pa.Array.from_buffers(pa.binary(), len(self.row), [None, pa.py_buffer(self.offsets), pa.py_buffer(self.data)])
+
+
+def word_arrays(texts: list[bytes | str | None], table: bytes, again: int, portion: int) -> Iterator[Words]:
+    """The words of texts as arrays, some ``portion`` bytes at a time; ``table`` maps each byte that is in no word to a blank.
+    Portions of one text overlap by ``again`` words. Texts without words are passed over."""
+    raw: list[bytes] = []
+    rows: list[int] = []
+    held = 0
+    for k, text in enumerate([*texts, None]):
+        flush = k == len(texts)
+        normal = b"" if not text else (text if isinstance(text, bytes) else text.encode("utf-8", "replace")).translate(table) + b" "
+        if len(normal) > portion:
+            yield from _split(normal, np.zeros(1, np.int64), np.array([k]), again, portion)
+            continue
+        if normal:
+            raw.append(normal)
+            rows.append(k)
+            held += len(normal)
+        if raw and (flush or held > portion):
+            yield from _split(b"".join(raw), np.cumsum([0, *map(len, raw[:-1])]), np.array(rows), again, 0)
+            raw, rows, held = [], [], 0
+
+
+def _split(normal: bytes, starts: np.ndarray, rows: np.ndarray, again: int, portion: int) -> Iterator[Words]:
+    at, before, size = 0, 0, 2 * portion or len(normal)
+    while at < len(normal):
+        end = normal.rfind(b" ", at, at + size) + 1 if at + size < len(normal) else len(normal)
+        last = end == len(normal)
+        b = np.frombuffer(b" " + normal[at:end], np.uint8)
+        held = b != 32
+        begins = np.flatnonzero(held[1:] & ~held[:-1])  # each word's blank
+        if not last and len(begins) <= again:
+            size *= 2  # words of megabytes
+            continue
+        if len(begins):
+            held[begins] = True
+            offsets = np.append(np.cumsum(held)[begins] - 1, held.sum()).astype(np.int32)
+            text = np.searchsorted(starts, begins + at, "right") - 1
+            place = np.arange(len(begins)) - np.searchsorted(text, text) + before
+            yield Words(b[held], offsets, rows[text], place, not last)
+        if last:
+            return
+        at, before, size = at + int(begins[-again]), before + len(begins) - again, 2 * portion
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """A file system that executors reach, and the path in it."""
     if "://" not in uri and not uri.startswith("file:"):

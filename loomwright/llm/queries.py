@@ -83,6 +83,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(documents, fit_on(documents, table(spark, sf_dir, "labels")))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damage all conversations and repair them at least cost."""
+    from .repair import report
+
+    return report(table(spark, sf_dir, "conversations"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Draw documents whose word runs are distributed like those of the benchmark's items."""
+    from .importance import resample
+
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=5, seed=42)
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove word runs of 50 or more that an earlier document holds."""
+    from .substrings import keep_first
+
+    return keep_first(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)}
 
