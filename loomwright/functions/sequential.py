@@ -62,24 +62,6 @@ def numeral_rewriter(protected: tuple[str, ...]):
     return run
 
 
-def rule_rewriter(rules: list[tuple[str, str]]):
-    """Ordered regex rewrites (Python syntax): each rule sees what the rules before have made."""
-
-    @F.pandas_udf(StringType())
-    def run(s: pd.Series) -> pd.Series:
-        compiled = [(re.compile(p), r) for p, r in rules]
-
-        def one(x: str | None) -> str | None:
-            if x is not None:
-                for p, r in compiled:
-                    x = p.sub(r, x)
-            return x
-
-        return s.map(one)
-
-    return run
-
-
 @F.pandas_udf(DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity as Python's difflib has it: not symmetric; 0 for null."""

@@ -21,8 +21,8 @@ BLOCK_BYTES = 4_000_000
 _BUILT: dict[int, object] = {}
 
 
-def _automaton(shared):
-    """The automaton of a broadcast block, built once in a worker."""
+def automaton_of(shared):
+    """The automaton of a broadcast block, built once in a worker: a match gives (length, hash) of a quote."""
     import ahocorasick
 
     if shared.id not in _BUILT:
@@ -30,7 +30,7 @@ def _automaton(shared):
         found = ahocorasick.Automaton()
         for quote, h in shared.value:
             if quote:
-                found.add_word(quote, h)
+                found.add_word(quote, (len(quote), h))
         if len(found):
             found.make_automaton()
         _BUILT[shared.id] = found
@@ -51,6 +51,14 @@ class _Block:
         return self.broadcast.value
 
 
+def quote_blocks(distinct: DataFrame) -> list[_Block]:
+    """Stored rows (_q, _quote) as broadcast blocks of ``BLOCK_BYTES`` or so (one at least)."""
+    size = distinct.agg(F.sum(F.octet_length("_quote") + 16)).first()[0] or 0
+    blocks = -(-size // BLOCK_BYTES) or 1
+    parts = [distinct if blocks == 1 else distinct.where(F.pmod("_q", F.lit(blocks)) == b) for b in range(blocks)]
+    return [_Block(distinct.sparkSession.sparkContext.broadcast([(r["_quote"], r["_q"]) for r in rows.collect()])) for rows in parts]
+
+
 def held_quotes(texts: DataFrame, keys: list[str], text: str, quotes: DataFrame, quote: str) -> DataFrame:
     """Rows (``keys``, the columns of ``quotes`` but the quote) for each text and each quote that occurs in it.
 
@@ -61,20 +69,18 @@ def held_quotes(texts: DataFrame, keys: list[str], text: str, quotes: DataFrame,
     others = [c for c in quotes.columns if c != quote]
     hashed = quotes.where(F.col(quote).isNotNull()).select(*others, F.xxhash64(quote).alias("_q"), F.col(quote).alias("_quote"))
     distinct = written(hashed.select("_q", "_quote").distinct(), "quotes")
-    size = distinct.agg(F.sum(F.octet_length("_quote") + 16)).first()[0] or 0
-    blocks = -(-size // BLOCK_BYTES) or 1
     source = texts.select(*keys, F.col(text).alias("_text")).where("_text is not null")
     schema = StructType([*(source.schema[k] for k in keys), StructField("_q", LongType())])
     n = len(keys)
 
     def scan(block):
         def run(batches):
-            found = _automaton(block)
+            found = automaton_of(block)
             always = [h for q, h in block.value if not q]
             for batch in batches:
                 at, hits = [], []
                 for i, s in enumerate(batch.column(n).to_pylist()):
-                    got = [*always, *({h for _, h in found.iter(s)} if len(found) else ())]
+                    got = [*always, *({h for _, (_, h) in found.iter(s)} if len(found) else ())]
                     at += [i] * len(got)
                     hits += got
                 places = pa.array(at, pa.int64())
@@ -82,9 +88,5 @@ def held_quotes(texts: DataFrame, keys: list[str], text: str, quotes: DataFrame,
 
         return run
 
-    parts = []
-    for b in range(blocks):
-        rows = distinct if blocks == 1 else distinct.where(F.pmod("_q", F.lit(blocks)) == b)
-        block = _Block(spark.sparkContext.broadcast([(r["_quote"], r["_q"]) for r in rows.collect()]))
-        parts.append(source.mapInArrow(scan(block), schema))
+    parts = [source.mapInArrow(scan(block), schema) for block in quote_blocks(distinct)]
     return reduce(DataFrame.unionByName, parts).join(hashed.drop("_quote"), "_q").drop("_q")

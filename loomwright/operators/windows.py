@@ -16,20 +16,39 @@ def gap_sessions(df: DataFrame, time: str, gap, keys: list[str], order: list[str
     return df.withColumn("_new", new).withColumn(name, F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
-def sum_before(df: DataFrame, order: list[str], value: Column, name: str, keys: tuple[str, ...] = ()) -> DataFrame:
-    """What ``value`` adds up to over the rows before, in the order of all rows (of the same ``keys``). Rows are dealt by
-    ranges of keys and order and summed up within each, and what the ranges before hold is added, so no task sorts
-    all rows or all of a key. ``keys`` and ``order`` must tell rows apart; other columns go along, so keep them few."""
+def _before(df: DataFrame, order: list[str], value: Column, name: str, keys: tuple[str, ...], fold, joined) -> DataFrame:
+    """``fold`` of ``value`` over the rows before, in the order of all rows (of the same ``keys``). Rows are dealt by ranges of keys
+    and order and folded within each, and ``joined`` adds what the ranges before hold, so no task sorts all rows or all of a
+    key. ``keys`` and ``order`` must tell rows apart; other columns go along, so keep them few."""
     dealt = written(df.withColumn("_v", value).repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()), "ranges")
-    held = dealt.groupBy("_range", *keys).agg(F.sum("_v").alias("_held"))  # a row for each range and for each key
+    held = dealt.groupBy("_range", *keys).agg(fold("_v").alias("_held"))  # a row for each range and for each key
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    held = held.select(F.col("_range").alias("_r"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.coalesce(F.sum("_held").over(earlier), F.lit(0)).alias("_before"))
+    held = held.select(F.col("_range").alias("_r"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], fold("_held").over(earlier).alias("_before"))
     on = F.col("_range") == F.col("_r")
     for i, k in enumerate(keys):
         on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     within = Window.partitionBy("_range", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    summed = dealt.withColumn("_within", F.coalesce(F.sum("_v").over(within), F.lit(0)))
-    return summed.join(held, on).withColumn(name, F.col("_within") + F.col("_before")).select(*df.columns, name)
+    folded = dealt.withColumn("_within", fold("_v").over(within))
+    return folded.join(held, on).withColumn(name, joined(F.col("_within"), F.col("_before"))).select(*df.columns, name)
+
+
+def sum_before(df: DataFrame, order: list[str], value: Column, name: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """What ``value`` adds up to over the rows before; see ``_before``."""
+    return _before(df, order, value, name, keys, F.sum, lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
+
+
+def max_before(df: DataFrame, order: list[str], value: Column, name: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """The largest ``value`` (a struct, say) of the rows before, null where there is none; see ``_before``."""
+    return _before(df, order, value, name, keys, F.max, lambda a, b: F.when(a.isNull() | (b > a), b).otherwise(a))
+
+
+def segments(df: DataFrame, keys: tuple[str, ...], order: list[str], value: Column, opens, name: str = "_segment") -> DataFrame:
+    """Rows with a ``_row`` that tells them apart and the number of their segment, from 1, within ``keys``. A segment begins where
+    ``opens``, a function of the largest ``value`` of the rows before, is true (or null). A key's rows are handled in many tasks."""
+    rows = written(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    seen = max_before(rows, [*order, "_row"], value, "_seen", keys)
+    marked = seen.withColumn("_new", F.coalesce(opens(F.col("_seen")), F.lit(True)).cast("long")).drop("_seen")
+    return sum_before(marked, [*order, "_row"], F.col("_new"), name, keys).withColumn(name, F.col(name) + F.col("_new")).drop("_new")
 
 
 def place_in_order(df: DataFrame, order: list[str], name: str, keys: tuple[str, ...] = ()) -> DataFrame:

@@ -13,19 +13,6 @@ from .registry import query
 from .text_queries import lines
 from .window_queries import events
 
-#: Ordered: later rules see what earlier ones made; some look around.
-RULES = [
-    (r"(?<=\b)teh\b", "the"), (r"\bthe (?=the\b)", ""), (r"\b(\w+)(?: \1\b)+", r"\1"), (r"(?<!\w)an (?=[bcdfghjklmnpqrstvwxz])", "a "), (r"(?<!\w)a (?=[aeiou])", "an "),
-    (r"(?<=\d),(?=\d{3}\b)", ""), (r"\b(\w+)ing\b(?! of)", r"\1ed"), (r"(?<=[a-z])\.(?=[A-Z])", ". "), (r"(?i)\blicence\b", "license"), (r"(?<![\w.])i(?![\w.])", "I"), (r"[ \t]{2,}", " "), (r"(?<=\S) +(?=[,.;:])", ""),
-]
-
-
-@query("tx1_ordered_rules")
-def _(t):
-    """Ordered rewrite rules with lookaround; later rules see earlier output."""
-    return t.documents.select("doc_id", S.rule_rewriter(RULES)("text").alias("rewritten"))
-
-
 @query("tx4_numeral_values")
 def _(t):
     words = F.element_at(F.array(*[F.lit(x) for x in ("十", "二十五", "三百", "一千零五", "两万三千", "abc", "42")]), (F.col("p_partkey") % 7 + 1).cast("int"))

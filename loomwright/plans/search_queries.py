@@ -112,14 +112,6 @@ def _(t):
     return s.select("item_id", "doc_id", raw.alias("raw")).where("raw >= 1.0").select("item_id", "doc_id", F.round("raw", 3).alias("score"))
 
 
-@query("ir8_glossary_documents", "SELECT term, doc_id FROM (SELECT term, doc_id, row_number() OVER (PARTITION BY term ORDER BY n_chars DESC, doc_id) AS k FROM (VALUES ('license'), ('password'), ('worthless'), ('theory')) g(term) JOIN documents ON contains(text, term)) WHERE k <= 30")
-def _(t):
-    """Documents that hold a glossary term, 30 of each: one pass over the texts for all terms."""
-    terms = F.filter(F.array(*[F.lit(x) for x in ("license", "password", "worthless", "theory")]), lambda x: F.contains(F.col("text"), x))
-    d = t.documents.select("doc_id", "n_chars", F.explode(terms).alias("term"))
-    return W.top_per_group(d, ["term"], [F.desc("n_chars"), "doc_id"], 30).select("term", "doc_id")
-
-
 @query("ir9_boost_rules", "SELECT doc_id, round(CASE source WHEN 'src0' THEN 1.2 WHEN 'src1' THEN 1.1 ELSE 1.0 END + CASE WHEN regexp_matches(text, '[0-9]') THEN 0.1 ELSE 0 END, 2)::DOUBLE AS boost FROM documents")
 def _(t):
     base = F.when(F.col("source") == "src0", 1.2).when(F.col("source") == "src1", 1.1).otherwise(1.0)
@@ -213,43 +205,6 @@ def _(t):
     return t.part.groupBy(F.col("p_name").alias("mention")).agg(F.min("p_partkey").alias("chosen"), many.alias("ambiguous"), F.when(many, F.sort_array(F.collect_set("p_brand"))).alias("senses"))
 
 
-@query("en3_back_scan", "SELECT term, doc_id FROM (SELECT term, doc_id, row_number() OVER (PARTITION BY term ORDER BY doc_id) AS k FROM (VALUES ('licen'), ('theor'), ('sion'), ('mente')) g(term) JOIN documents ON contains(lower(text), term) WHERE lang <> 'en') WHERE k <= 15")
-def _(t):
-    """Documents of other languages that hold a mention, the first 15 of each."""
-    hits = F.filter(F.array(*[F.lit(x) for x in ("licen", "theor", "sion", "mente")]), lambda x: F.contains(F.lower("text"), x))
-    d = t.documents.where("lang <> 'en'").select("doc_id", F.explode(hits).alias("term"))
-    return W.top_per_group(d, ["term"], ["doc_id"], 15).select("term", "doc_id")
-
-
-_DICT = [("the", "THE", 1), ("ther", "THE", 2), ("der", "DER", 3), ("under", "DER", 4), ("que", "QUE", 5)]
-_DICT_SQL = "(VALUES " + ", ".join(f"('{a}', '{b}', {c})" for a, b, c in _DICT) + ") g(term, canonical, ord)"
-
-
-@query("en4_dictionary_link", f"SELECT doc_id, canonical, arg_min(term, length(term) * 1000 - ord) AS mention FROM documents JOIN {_DICT_SQL} ON contains(lower(text), term) GROUP BY ALL")
-def _(t):
-    """Every term that a text holds; of a canonical's terms the shortest, of equal ones the later."""
-    terms = F.array(*[F.struct(F.lit(a).alias("term"), F.lit(b).alias("canonical"), F.lit(c).alias("ord")) for a, b, c in _DICT])
-    d = t.documents.select("doc_id", F.explode(F.filter(terms, lambda x: F.contains(F.lower("text"), x["term"]))).alias("x")).select("doc_id", "x.*")
-    return d.groupBy("doc_id", "canonical").agg(F.min_by("term", F.length("term") * 1000 - F.col("ord")).alias("mention"))
-
-
-@query("en5_typed_terms", f"WITH h AS (SELECT doc_id, canonical, length(term) AS pr FROM documents JOIN {_DICT_SQL} ON contains(lower(text), term)), n AS (SELECT canonical, count(*) AS g FROM h GROUP BY 1), d AS (SELECT doc_id, canonical, min(pr) AS pr FROM h GROUP BY ALL) SELECT doc_id, list(canonical ORDER BY pr, g DESC, canonical) AS terms FROM (SELECT d.*, g, row_number() OVER (PARTITION BY doc_id ORDER BY pr, g DESC, canonical) AS k FROM d JOIN n USING (canonical)) WHERE k <= 8 GROUP BY doc_id")
-def _(t):
-    """Terms of a text by type priority, then by how frequent they are everywhere, eight at most."""
-    terms = F.array(*[F.struct(F.lit(a).alias("term"), F.lit(b).alias("canonical")) for a, b, _ in _DICT])
-    h = t.documents.select("doc_id", F.explode(F.filter(terms, lambda x: F.contains(F.lower("text"), x["term"]))).alias("x")).select("doc_id", "x.canonical", F.length("x.term").alias("pr"))
-    n = h.groupBy("canonical").agg(F.count("*").alias("g"))
-    d = h.groupBy("doc_id", "canonical").agg(F.min("pr").alias("pr")).join(F.broadcast(n), "canonical")
-    top = W.top_per_group(d, ["doc_id"], ["pr", F.desc("g"), "canonical"], 8)
-    return top.groupBy("doc_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("pr", (-F.col("g")).alias("g"), "canonical"))), lambda s: s["canonical"]).alias("terms"))
-
-
-@query("en6_alternation", "SELECT doc_id, x AS mention, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), 'theory|other|there|under|ther|the')) AS x FROM documents) GROUP BY ALL")
-def _(t):
-    """Longest-first alternation; matches don't overlap."""
-    return t.documents.select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("theory|other|there|under|ther|the"), F.lit(0))).alias("mention")).groupBy("doc_id", "mention").agg(F.count("*").alias("n"))
-
-
 @query("en7_glossary_merge", "SELECT term, type, list_sort(list(DISTINCT v)) AS variants FROM (SELECT upper(left(p_name, 3)) AS term, 'part' AS type, p_name AS v FROM part UNION ALL SELECT upper(left(n_name, 3)), 'nation', n_name FROM nation UNION ALL SELECT upper(left(c_mktsegment, 3)), 'segment', c_mktsegment FROM customer UNION ALL SELECT upper(left(r_name, 3)), 'region', r_name FROM region) GROUP BY ALL")
 def _(t):
     g = lambda df, c, ty: df.select(F.upper(F.substring(c, 1, 3)).alias("term"), F.lit(ty).alias("type"), F.col(c).alias("v"))

@@ -57,16 +57,6 @@ def _(t):
     return t.events.select("event_id", F.when(c.startswith("p"), "prefix").when(F.contains(c, F.lit("i")), "inside").alias("phrase"))
 
 
-VOCAB = ["license", "password", "email", "that", "the", "der", "que", "eth", "ing"]
-
-
-@query("tx11_vocabulary_hits", "SELECT doc_id, list_filter(['password', 'license', 'email', 'that', 'the', 'der', 'que', 'eth', 'ing'], lambda v: contains(lower(text), v)) AS hits FROM documents")
-def _(t):
-    terms = sorted(VOCAB, key=lambda v: -len(v))  # longest first, else as given
-    low = F.lower("text")
-    return t.documents.select("doc_id", F.filter(F.array(*map(F.lit, terms)), lambda v: F.contains(low, v)).alias("hits"))
-
-
 @query("tx12_name_split", r"SELECT c_custkey, regexp_extract(c_name, '^([A-Za-z]+)', 1) AS kind, regexp_extract(c_name, '([0-9]+)$', 1) AS number FROM customer")
 def _(t):
     return t.customer.select("c_custkey", F.regexp_extract("c_name", "^([A-Za-z]+)", 1).alias("kind"), F.regexp_extract("c_name", "([0-9]+)$", 1).alias("number"))

@@ -150,15 +150,6 @@ def _(t):
     return l.select("doc_id", F.array_join(F.transform("a", lambda s: s["line"]), "\n").alias("rebuilt"))
 
 
-@query("ev7_rewritten_evidence")
-def _(t):
-    """Ordered rewrite rules on every element of a document's evidence."""
-    from .fold_queries import RULES
-
-    clips = lines(t).select("doc_id", "line_no", S.rule_rewriter(RULES)("line").alias("clip"))
-    return clips.groupBy("doc_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "clip"))), lambda s: s["clip"]).alias("clips"))
-
-
 @query("sx1_pack_rows", "SELECT c.conv_id, c.turn, CASE role WHEN 'user' THEN 'question' WHEN 'assistant' THEN 'answer' ELSE role END AS doc_type, coalesce(l.quality, -1) AS novelty, CASE WHEN toxic = 1 THEN 'open' ELSE 'none' END AS conflict FROM conversations c LEFT JOIN labels l ON c.conv_id = l.doc_id")
 def _(t):
     role = F.when(F.col("role") == "user", "question").when(F.col("role") == "assistant", "answer").otherwise(F.col("role"))

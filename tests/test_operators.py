@@ -169,18 +169,6 @@ def test_card_queries_see_all_parts(spark):
     assert plans.QUERIES["sx28_mark_near_duplicates"](spark, SF).count() == len({b for _, b, *_ in card_pairs(cards, lambda n, r: n >= 2 and r > 0)})
 
 
-def test_rewritten_evidence_has_every_line(spark):
-    from loomwright.plans.fold_queries import RULES
-
-    def rewritten(line):
-        for pattern, to in RULES:
-            line = re.sub(pattern, to, line)
-        return line
-
-    docs = spark.read.parquet(f"{SF}/documents.parquet").where("text is not null").collect()
-    got = {r["doc_id"]: list(r["clips"]) for r in plans.QUERIES["ev7_rewritten_evidence"](spark, SF).collect()}
-    assert got == {r["doc_id"]: [rewritten(x) for x in r["text"].split("\n")] for r in docs}
-
 
 def test_sources(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"id": 1}\n\n{"id": 2}\n')
