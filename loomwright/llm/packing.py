@@ -7,10 +7,10 @@ pattern with the least content so far that still has room (the shortest pack), a
 split as lengths run out. Lengths that fit nowhere open new patterns.
 
 The patterns become ranges of ranks: the r-th piece of a length belongs to a known sequence and offset.
-Pieces are ranked within their length by hash buckets, so that a hot length is never ranked by one task,
-and find their range by binary search in a table of bounded size.
+Pieces are stored with a number each and ranked within their length in buckets by a hash of it, so that neither a hot length nor
+any number of equal rows is ranked by one task; they find their range by binary search in a table of bounded size.
 
-A null or empty text is the end id alone. Repeated rows are packed each. Null ids stay null. An empty table
+A null or empty text is the end id alone; a very long one is cut into as many pieces as it takes. Repeated rows are packed each. Null ids stay null. An empty table
 gives an empty result. Extra columns are ignored.
 """
 
@@ -93,7 +93,7 @@ def pieces(df: DataFrame, path: str, end_id: int = 1, length: int = LENGTH, id_c
 
 
 def place(cut: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Give every piece (a table that can be read again) its ``sequence_id`` and ``offset``."""
+    """Give every piece (a stored table with a number for each ``row``) its ``sequence_id`` and ``offset``."""
     spark = cut.sparkSession
     ship_package(spark)
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
@@ -126,10 +126,10 @@ def place(cut: DataFrame, length: int = LENGTH) -> DataFrame:
                 seq[at], off[at] = first[k] + ranks[at] - begin[k], offset[k]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], batch.column(2).cast(pa.int64()), *batch.columns[3:5], pa.array(seq), pa.array(off)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
-    ranked = salted_rank(cut, ["length"], ["doc_id", "start", "ids_crc32"], total)
+    ranked = salted_rank(cut, ["length"], ["row"], total)  # equal rows too are dealt to many buckets
     return ranked.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "rank").mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 def pack(df: DataFrame, path: str, end_id: int = 1, length: int = LENGTH) -> DataFrame:
     """Cut and place all documents; one row for each piece."""
-    return place(written(pieces(df, path, end_id, length), "pieces"), length)
+    return place(written(pieces(df, path, end_id, length).withColumn("row", F.monotonically_increasing_id()), "pieces"), length)
