@@ -36,11 +36,6 @@ def numeral(s: str | None) -> int | None:
     return total + part + digit
 
 
-@F.pandas_udf(IntegerType())
-def numeral_value(s: pd.Series) -> pd.Series:
-    return s.map(numeral).astype("Int32")
-
-
 def rewrite_numerals(text: str | None, protected: tuple[str, ...] = ()) -> str | None:
     """Numerals in running text become digits; protected words are masked meanwhile."""
     if text is None:

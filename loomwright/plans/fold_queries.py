@@ -13,18 +13,6 @@ from .registry import query
 from .text_queries import lines
 from .window_queries import events
 
-@query("tx4_numeral_values")
-def _(t):
-    words = F.element_at(F.array(*[F.lit(x) for x in ("十", "二十五", "三百", "一千零五", "两万三千", "abc", "42")]), (F.col("p_partkey") % 7 + 1).cast("int"))
-    return t.part.select("p_partkey", words.alias("numeral"), S.numeral_value(words).alias("value"))
-
-
-@query("tx5_numeral_rewrite")
-def _(t):
-    text = F.concat(F.lit("第"), F.element_at(F.array(F.lit("十二"), F.lit("一百"), F.lit("三")), (F.col("p_partkey") % 3 + 1).cast("int")), F.lit("章，一起看"), "p_name")
-    return t.part.select("p_partkey", S.numeral_rewriter(("一起",))(text).alias("rewritten"))
-
-
 @query("tx13_ratio")
 def _(t):
     return t.part.select("p_partkey", F.round(S.ratio(F.lower("p_name"), F.lower("p_type")), 6).alias("ratio"))

@@ -6,10 +6,12 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from loomwright.functions import answers as A
 from loomwright.functions import records as X
 from loomwright.functions import text as T
+from loomwright.functions.sequential import numeral_rewriter
 from loomwright.operators import external
-from loomwright.session import new_folder
+from loomwright.session import new_folder, written
 from loomwright.sources import sinks
 from loomwright.sources import transcripts as S
 
@@ -150,12 +152,13 @@ def _(t):
     return found.groupBy(F.col("stem").cast("long").alias("batch")).agg(F.count("*").alias("n"))
 
 
-@query("ex5_build_twice", "SELECT side, 0::BIGINT AS n FROM (VALUES ('first'), ('second')) s(side)")
+@query("ex5_build_twice", "WITH b AS (SELECT l_partkey, l_returnflag, sum(l_quantity) AS q, count(*) AS n FROM lineitem GROUP BY ALL) SELECT side, 0::BIGINT AS n, (SELECT count(*) FROM b) AS built FROM (VALUES ('first'), ('second')) s(side)")
 def _(t):
-    """Two builds of a table: rows that only one of them has."""
-    build = lambda: t.lineitem.groupBy("l_partkey", "l_returnflag").agg(F.sum("l_quantity").alias("q"), F.count("*").alias("n"))
-    a, b = build(), build()
-    n = lambda x, y, side: x.exceptAll(y).agg(F.count("*").alias("n")).select(F.lit(side).alias("side"), "n")
+    """Two builds of a table, the second from other partitions in another order, each stored: rows that only one of them has, of how
+    many."""
+    build = lambda df, what: written(df.groupBy("l_partkey", "l_returnflag").agg(F.sum("l_quantity").alias("q"), F.count("*").alias("n")), what)
+    a, b = build(t.lineitem, "first"), build(t.lineitem.repartition(13, "l_suppkey").sortWithinPartitions(F.desc("l_extendedprice")), "second")
+    n = lambda x, y, side: x.exceptAll(y).agg(F.count("*").alias("n")).select(F.lit(side).alias("side"), "n", F.lit(x.count()).alias("built"))
     return n(a, b, "first").unionByName(n(b, a, "second"))
 
 
@@ -203,16 +206,27 @@ def _(t):
     return t.part.select("p_partkey", X.variants(pattern).alias("variants"))
 
 
-#: Numerals with their values in the plain and in the spoken grammar.
-NUMERALS = [("十", "10", "10"), ("二十五", "25", "25"), ("三百", "300", "300"), ("百", None, "100"), ("两百五十", None, "250"), ("三百二十一", "321", "321"), ("二点五", None, "2.5"), ("十五点零二", None, "15.02"), ("三十五点一", None, None), ("42", "42", None), ("2.50", "2.50", None), ("二百零五", None, None), ("一千", None, None), ("零", "0", "0"), ("两十", None, "20")]
-_VALUES = ", ".join("(" + ", ".join("NULL" if x is None else f"'{x}'" for x in row) + f", {i})" for i, row in enumerate(NUMERALS))
+@query("tx4_numeral_values", "SELECT o_orderkey, floor(o_totalprice)::BIGINT * 97 % 100000000 AS value FROM orders")
+def _(t):
+    """Numbers of up to eight places written as numerals, and read again."""
+    n = F.floor("o_totalprice") * 97 % 100_000_000
+    return t.orders.select("o_orderkey", A.written_numeral(n).alias("numeral")).select("o_orderkey", A.numeral_value(F.col("numeral")).alias("value"))
+
+
+@query("tx4_two_grammars", "SELECT o_orderkey, CASE WHEN n < 100 OR n % 100 = 0 OR n % 100 >= 10 THEN n::VARCHAR END AS plain, CASE WHEN n = 0 OR n >= 100 OR (n > 30 AND n % 10 > 0) THEN NULL ELSE n::VARCHAR || '.' || right(n::VARCHAR, 1) END AS spoken FROM (SELECT o_orderkey, floor(o_totalprice)::BIGINT % 1000 AS n FROM orders)")
+def _(t):
+    """Numerals of up to three places in the plain grammar, and with a decimal in the spoken one."""
+    n = F.floor("o_totalprice") % 1000
+    x = t.orders.select("o_orderkey", "o_totalprice", A.written_numeral(n).alias("numeral"), A.written_numeral(n % 10).alias("last"))
+    spoken = A.spoken_numeral(F.concat("numeral", F.lit("点"), "last"))
+    return x.select("o_orderkey", A.plain_numeral(F.col("numeral")).alias("plain"), F.when(n > 0, spoken).alias("spoken"))
 
 
-@query("tx4_two_grammars", f"SELECT p_partkey, s AS numeral, a::VARCHAR AS plain, b::VARCHAR AS spoken FROM part JOIN (VALUES {_VALUES}) v(s, a, b, i) ON p_partkey % {len(NUMERALS)} = i")
+@query("tx5_numeral_rewrite", "SELECT o_orderkey, '第' || floor(o_totalprice)::BIGINT || '章，一起看' || o_orderpriority || '、' || o_orderkey % 900 || '次，千万别忘' AS rewritten FROM orders")
 def _(t):
-    """Numerals in both grammars."""
-    s = F.element_at(F.array(*[F.lit(x) for x, _, _ in NUMERALS]), (F.col("p_partkey") % len(NUMERALS) + 1).cast("int"))
-    return t.part.select("p_partkey", s.alias("numeral")).select("p_partkey", "numeral", X.plain_numerals("numeral").alias("plain"), X.spoken_numerals("numeral").alias("spoken"))
+    """Numerals in running text as digits; words that hold a numeral's characters are protected."""
+    text = F.concat(F.lit("第"), A.written_numeral(F.floor("o_totalprice")), F.lit("章，一起看"), "o_orderpriority", F.lit("、"), A.written_numeral(F.col("o_orderkey") % 900), F.lit("次，千万别忘"))
+    return t.orders.select("o_orderkey", numeral_rewriter(("一起", "千万"))(text).alias("rewritten"))
 
 
 @query("pr7_report_names", "SELECT c_custkey, '参与者: @sp' || n_nationkey || '、某人' || chr(10) || '🏆 群友称号' || chr(10) || '• @sp' || n_nationkey || ' - ' || c_mktsegment || chr(10) || '💬 群圣经' || chr(10) || '1. \"' || n_name || '\" —— 某人' || chr(10) || n_name || ' —— ' || c_name || chr(10) || '📊 ' || n_name || chr(10) || '• ' || n_name || ' - x' AS redacted FROM customer JOIN nation ON c_nationkey = n_nationkey")
@@ -224,35 +238,54 @@ def _(t):
     return t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", X.report_redactor(speakers)(report).alias("redacted"))
 
 
-_ANSWERS = ['{"title": "T", "rules": ["a"], "scope": "instance"}', '{"title": "", "rules": []}', '{"title": "T", "rules": [{"text": " x ", "scope": "example"}, {"text": ""}], "confidence": "high"}', '{"title": "T"}', '{"title": "T", "rules": "x"}', '{"title": "T", "rules": [" y "], "kind": "pending", "context_incomplete": 1, "scope": "universal"}', "[1]", "no"]
+#: Answers of several shapes, made of a part's columns: what stands for the title, the rules and the other fields.
+_ANSWER = """CASE WHEN p_partkey % 11 = 0 THEN '[' || p_size || ']' WHEN p_partkey % 13 = 0 THEN '{"title": ' || p_name ELSE
+    '{"title": "' || CASE WHEN p_size % 9 = 0 THEN '' ELSE p_name END || '", "rules": ' ||
+    CASE p_size % 5 WHEN 0 THEN '[]' WHEN 1 THEN '"' || p_type || '"' WHEN 2 THEN '["' || p_type || '", " ", "' || p_brand || ' "]'
+        WHEN 3 THEN '[{"text": " ' || p_type || '", "scope": "' || CASE WHEN p_partkey % 2 = 0 THEN 'example' ELSE 'instance' END || '"}, {"text": ""}, 7, "' || p_brand || '"]' ELSE 'null' END ||
+    CASE WHEN p_partkey % 3 = 0 THEN ', "scope": "' || CASE WHEN p_size % 2 = 0 THEN 'instance' ELSE 'other' END || '"' ELSE '' END ||
+    CASE WHEN p_partkey % 7 = 0 THEN ', "kind": "' || CASE WHEN p_size % 2 = 0 THEN 'pending' ELSE 'x' END || '"' ELSE '' END ||
+    CASE WHEN p_partkey % 4 = 0 THEN ', "confidence": "high"' WHEN p_partkey % 4 = 1 THEN ', "confidence": 3' ELSE '' END || '}' END"""
 
 
 @query(
     "sx35_normal_answers",
-    """SELECT p_partkey, title, kind, confidence, scope, context_incomplete, rules, error FROM part JOIN (VALUES
-       (0, 'T', 'experiment', 'low', 'instance', false, ['a'], NULL), (1, NULL, NULL, NULL, NULL, NULL, NULL, 'no title'), (2, 'T', 'mechanism', 'high', 'example', false, ['x'], NULL),
-       (3, 'T', 'reject', 'low', 'universal', false, []::VARCHAR[], NULL), (4, NULL, NULL, NULL, NULL, NULL, NULL, 'rules are no list'), (5, 'T', 'pending', 'low', 'universal', true, ['y'], NULL),
-       (6, NULL, NULL, NULL, NULL, NULL, NULL, 'not an object'), (7, NULL, NULL, NULL, NULL, NULL, NULL, 'not json')) v(k, title, kind, confidence, scope, context_incomplete, rules, error) ON p_partkey % 8 = k""",
+    f"""WITH a AS (SELECT p_partkey, {_ANSWER} AS s FROM part), j AS (SELECT p_partkey, s, CASE WHEN json_valid(s) THEN s::JSON END AS j FROM a),
+        r AS (SELECT p_partkey, i, json_type(x) AS ty, trim(CASE json_type(x) WHEN 'VARCHAR' THEN x->>'$' WHEN 'OBJECT' THEN x->>'$.text' END) AS tx, CASE WHEN json_type(x) = 'OBJECT' THEN x->>'$.scope' END AS sc
+              FROM (SELECT p_partkey, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM (SELECT p_partkey, json_extract(j, '$.rules[*]') AS x FROM j WHERE json_type(j, '$.rules') = 'ARRAY'))),
+        g AS (SELECT p_partkey, list(tx ORDER BY i) AS rules, list(sc) AS scs FROM r WHERE tx <> '' GROUP BY p_partkey),
+        f AS (SELECT j.p_partkey, j->>'$.title' AS title, CASE WHEN json_type(j, '$.scope') = 'VARCHAR' THEN j->>'$.scope' END AS st, j->>'$.kind' AS kd, CASE WHEN json_type(j, '$.confidence') = 'VARCHAR' THEN j->>'$.confidence' END AS cf, coalesce(rules, []) AS rules, coalesce(scs, []) AS scs,
+              CASE WHEN j IS NULL THEN 'not json' WHEN json_type(j) <> 'OBJECT' THEN 'not an object' WHEN coalesce(j->>'$.title', '') = '' THEN 'no title' WHEN json_type(j, '$.rules') NOT IN ('ARRAY', 'NULL') THEN 'rules are no list' END AS error FROM j LEFT JOIN g USING (p_partkey))
+        SELECT p_partkey, CASE WHEN error IS NULL THEN title END AS title, CASE WHEN error IS NULL THEN CASE WHEN kd IN ('mechanism', 'experiment', 'reject', 'pending') THEN kd WHEN len(rules) = 0 THEN 'reject' WHEN st = 'instance' THEN 'experiment' ELSE 'mechanism' END END AS kind,
+               CASE WHEN error IS NULL THEN CASE WHEN cf IN ('high', 'mid', 'low') THEN cf ELSE 'low' END END AS confidence,
+               CASE WHEN error IS NULL THEN CASE WHEN st = 'instance' THEN st WHEN list_contains(scs, 'example') THEN 'example' WHEN list_contains(scs, 'instance') THEN 'instance' ELSE 'universal' END END AS scope,
+               CASE WHEN error IS NULL THEN rules END AS rules, error FROM f""",
 )
 def _(t):
     """Model answers in one shape."""
-    answer = F.element_at(F.array(*map(F.lit, _ANSWERS)), (F.col("p_partkey") % len(_ANSWERS) + 1).cast("int"))
-    return t.part.select("p_partkey", X.normal_answers(answer).alias("a")).select("p_partkey", "a.*")
+    return t.part.select("p_partkey", A.answer(F.expr(_ANSWER)).alias("a")).select("p_partkey", "a.*")
 
 
-_FIXES = ["claim 改为「新「甲」句」", "subject 写作「乙」", "claim 末尾补「丙 77777777」", "无需改", "整条建议换成这一句新的话", "末句改为「丁」", "condition 改成「未完"]
+#: Suggestions of one and more clauses, made of a part's columns.
+_SUGGESTION = """CASE p_size % 8 WHEN 0 THEN 'claim 改为「' || p_name || '「' || p_type || '」' || p_partkey || '」' WHEN 1 THEN 'subject 写作「' || p_name || '」，condition 改成「' || p_type || ' ' || p_size || '」' WHEN 2 THEN 'claim 末尾补「' || p_type || ' ' || p_partkey || '.5」'
+    WHEN 3 THEN '无需改，' || p_name || p_name WHEN 4 THEN p_name || ' ' || p_type || ' ' || p_partkey WHEN 5 THEN '末句改为「' || p_type || '」' WHEN 6 THEN 'condition 改成「' || p_name ELSE 'claim 改为「' || p_name || '」；claim 改为「' || p_type || p_size || '。」。scope 写作「' || p_brand || '」' END"""
+_CLAUSE = A.CLAUSE.replace("'", "''")
 
 
 @query(
     "sx37_fix_plans",
-    """SELECT p_partkey, CASE k WHEN 0 THEN '新「甲」句' WHEN 2 THEN p_name || '丙 77777777' WHEN 4 THEN '整条建议换成这一句新的话' WHEN 5 THEN p_name || '。丁。' WHEN 6 THEN 'condition 改成「未完' END AS claim,
-              CASE k WHEN 1 THEN '乙' END AS subject, CASE k WHEN 0 THEN 'claim' WHEN 1 THEN 'subject' WHEN 2 THEN 'claim-append' WHEN 3 THEN 'noop' WHEN 5 THEN 'claim-last' ELSE 'bare' END AS mode,
-              CASE k WHEN 2 THEN ['77777777'] ELSE []::VARCHAR[] END AS new_numbers FROM (SELECT *, p_partkey % 7 AS k FROM part)""",
+    f"""WITH s AS (SELECT *, {_SUGGESTION} AS s, p_name || '；' || p_size AS old FROM part), c AS (SELECT p_partkey, unnest(regexp_extract_all(s, '{_CLAUSE}', 1)) AS about, unnest(regexp_extract_all(s, '{_CLAUSE}', 2)) AS wording, unnest(regexp_extract_all(s, '{_CLAUSE}', 3)) AS value, unnest(range(1, 9)) AS pos FROM s),
+        d AS (SELECT p_partkey, pos, value, CASE WHEN contains(about, '末句') OR contains(about, 'claim') THEN 'claim' WHEN contains(about, 'subject') THEN 'subject' WHEN contains(about, 'condition') THEN 'condition' WHEN contains(about, 'scope') THEN 'scope' END AS field, CASE WHEN contains(about, '末句') THEN 'last' WHEN wording = '补' THEN 'append' ELSE 'replace' END AS action FROM c WHERE value <> ''),
+        e AS (SELECT p_partkey, {", ".join(f"arg_max(value, pos) FILTER (field = '{f}') AS {f}_" for f in A.FIELDS)}, arg_max(action, pos) FILTER (field = 'claim') AS action FROM d GROUP BY p_partkey),
+        w AS (SELECT s.*, e.*, e.p_partkey IS NULL AND length(trim(s)) >= 10 AND NOT contains(s, '无需改') AS whole FROM s LEFT JOIN e USING (p_partkey)),
+        n AS (SELECT *, CASE action WHEN 'append' THEN old || claim_ WHEN 'last' THEN regexp_extract(old, '^[^。？！；]*') || '。' || claim_ || '。' WHEN 'replace' THEN claim_ ELSE CASE WHEN whole THEN trim(s) END END AS claim FROM w)
+        SELECT p_partkey, claim, subject_ AS subject, condition_ AS condition, scope_ AS scope, CASE WHEN action IS NOT NULL THEN action WHEN whole THEN 'whole' WHEN coalesce(subject_, condition_, scope_) IS NOT NULL THEN 'fields' ELSE 'none' END AS mode,
+               list_filter(list_sort(list_distinct(regexp_extract_all(concat_ws(' ', claim, subject_, condition_, scope_), '{A.NUMBER}'))), lambda x: NOT contains(concat_ws(' ', old, p_brand, p_type), x)) AS new_numbers FROM n""",
 )
 def _(t):
-    """Suggested fixes as new values by field."""
-    s = F.element_at(F.array(*map(F.lit, _FIXES)), (F.col("p_partkey") % len(_FIXES) + 1).cast("int"))
-    return t.part.select("p_partkey", X.fix_plans(s, "p_name", "p_brand", "p_type").alias("f")).select("p_partkey", "f.claim", "f.subject", "f.mode", "f.new_numbers")
+    """Suggested changes as new values by field."""
+    old = {"claim": F.concat("p_name", F.lit("；"), "p_size"), "subject": F.col("p_brand"), "condition": F.col("p_type")}
+    return t.part.select("p_partkey", A.suggested(F.expr(_SUGGESTION), old).alias("f")).select("p_partkey", "f.*")
 
 
 @query("lm1_external_calls", "SELECT p_partkey, CASE p_partkey % 4 WHEN 3 THEN NULL ELSE CASE p_partkey % 4 WHEN 2 THEN 'second' ELSE 'first' END || ':' || p_name END AS answer, CASE WHEN p_partkey % 4 >= 2 THEN 'second' ELSE 'first' END AS model, CASE p_partkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 ELSE 2 END AS tries, CASE p_partkey % 4 WHEN 3 THEN 400 ELSE 200 END AS status FROM part")
