@@ -1,15 +1,18 @@
 """Toxicity by compression distance: zstandard dictionaries of toxic and of ordinary text.
 
-A text is lower-cased and cut at blanks into windows: words, and overlapping pieces of longer runs. A window is
+A text is lower-cased and cut at blanks into windows: words without the marks around them, and overlapping pieces of longer runs. A
+window is
 set in a frame of fixed bytes (zstandard stores inputs under some 7 bytes as they are, whatever the dictionary) and
 compressed twice: with a dictionary trained on ordinary text, and with one trained on toxic text. The two lengths
 and the window's own make a cell; a table, calibrated on labelled documents that no dictionary was trained on,
 holds how many times more often windows of toxic documents fall into a cell than others. Windows of ``HIT`` or
-more are hits; a document's score is a logistic function, calibrated on the same documents, of its hits.
+more are hits; a longer word that is none is tried once more without its last byte, for its inflections,
+and then needs ``SURE``. A document's score is a logistic function, calibrated on the same documents, of its hits.
 
 Fitting runs on the driver over a bounded sample of labelled rows: ``SAMPLE`` of each label at most, taken by a hash
-of doc_id, and of these as many whole texts of each label as ``SAMPLE_BYTES`` hold (a text that does not fit is passed
-over). Each distinct window of a document counts once, and passages seen before in the sample not at all.
+of doc_id, and of these as many whole texts of each label as ``SAMPLE_BYTES`` hold. A text that does not fit any more is passed
+over, so that long labelled texts are seen less than short ones once the bound is near (none is below it; on ``check_l``, with 3.4 KB a
+text, the bound holds some 2,400 of each label). Each distinct window of a document counts once, and passages seen before in the sample not at all.
 
 Labels mark documents, not windows, so what the toxic dictionary is trained on is found in rounds. The toxic sample is
 dealt into halves. With a dictionary of one half, the other half's windows fall into cells; those of cells that are
@@ -17,7 +20,8 @@ rarer in ordinary documents make up the next dictionary, and the cells must get
 the last is taken. A round leaves out what was taken before, so that content which few documents hold (of a rarer
 language, for example) has its turn; thresholds are of cells, so common content cannot raise them.
 
-Null text counts as empty; an empty text has no windows and gets the score of no hits. Repeated rows are scored
+Null text counts as empty; an empty text, or one of marks only, has no windows and gets the score of no hits. Very long texts are
+scored whole. Repeated rows are scored
 each; the sample has one text of an id (the smallest). Without labelled rows of both kinds the score is the toxic share
 of the labels (0 without any). Labels that contradict each other for one id count as toxic. An empty table gives an
 empty result. Extra columns are ignored.
@@ -45,17 +49,24 @@ SEGMENT, DMER = 30, 6  # of the trainer: a segment holds a framed word
 LEVELS, HIT = (1.5, 2.5, 5.0), 3.0
 #: Calibration lets toxic rows weigh as if they were this share, at least: misses count then as false alarms do.
 SHARE = 0.3
+#: Weight (log of a cell's ratio) that a word without its last byte must have to be a hit.
+SURE = 2.5
+#: Marks that are no part of a word at its edges, and bytes of a word that may be inflected.
+EDGES, LONGER = "".join(chr(b) for b in range(128) if not chr(b).isalnum()) + "¡¿«»„“”‚‘’…–—·", 6
 _CELLS = 64 * 64 * 64
 #: Distinct windows whose weights a worker remembers, twice.
 REMEMBERED = 200_000
 
 
 def windows(text: str | None) -> list[bytes]:
-    """Words, and pieces of ``WINDOW`` bytes that overlap by half of longer ones; unframed."""
+    """Words without marks at their edges, and pieces of ``WINDOW`` bytes that overlap by half of longer ones; unframed."""
     if not text:
         return []
     out = []
-    for word in text.lower().encode("utf-8", "replace").split():
+    for word in text.lower().split():
+        word = word.strip(EDGES).encode("utf-8", "replace")
+        if not word:
+            continue
         if len(word) <= WINDOW:
             out.append(word)
         else:
@@ -63,6 +74,11 @@ def windows(text: str | None) -> list[bytes]:
     return out
 
 
+def stems(w: bytes) -> tuple[tuple[bytes, float], ...]:
+    """What of a window may be a hit, with the least weight: all of it, or, if it is longer, what stands before its last byte."""
+    return ((w, 0.0), (w[:-1], SURE)) if len(w) >= LONGER else ((w, 0.0),)
+
+
 def compressor(content: bytes):
     """A compressor whose frames hold nothing but the content, with ``content`` as digested dictionary."""
     import zstandard
@@ -91,9 +107,10 @@ def _cell(own, ordinary, toxic):
 
 
 def _ratio(toxic: np.ndarray, ordinary: np.ndarray, spread: float) -> np.ndarray:
-    """How many times likelier each cell is among the first ones, less ``spread`` standard errors of their count."""
+    """How many times likelier each cell is among the first ones, less ``spread`` standard errors of their count; half a window more
+    stands for what ordinary text has not shown yet."""
     a, b = np.bincount(toxic, minlength=_CELLS), np.bincount(ordinary, minlength=_CELLS)
-    return np.maximum(a - spread * np.sqrt(a), 0) / (b + 1) * (len(ordinary) + 1) / (len(toxic) + 1)
+    return np.maximum(a - spread * np.sqrt(a), 0) / (b + 0.5) * (len(ordinary) + 1) / (len(toxic) + 1)
 
 
 @dataclass
@@ -122,8 +139,12 @@ class Model:
             if x is None:
                 x = older.get(w)
                 if x is None:
-                    framed = FRAME + w + b"\n"
-                    x = table.get((len(w) * 64 + min(len(plainly(framed)), 63)) * 64 + min(len(side(framed)), 63), 0.0)
+                    for part, least in stems(w):
+                        framed = FRAME + part + b"\n"
+                        x = table.get((len(part) * 64 + min(len(plainly(framed)), 63)) * 64 + min(len(side(framed)), 63), 0.0)
+                        if x > least:
+                            break
+                        x = 0.0
                 known[w] = x
             if x:
                 out.append(x)
@@ -249,8 +270,15 @@ def fit(rows: Iterable[tuple[str, int]], share: float | None = None) -> Model:
     cell[used] = _cell(_own(of), lengths(ordinary, of), lengths(content, of))
     ratio = _ratio(*(np.concatenate([cell[fresh[d]] for d in ds]) for ds in (t_cal, p_cal)), 0.5)
     weight = np.where(ratio >= HIT, np.log(np.maximum(ratio, 1)), 0.0)
+    weight_of = np.zeros(len(words))
+    weight_of[used] = weight[cell[used]]
+    short = [i for i in used if not weight_of[i] and len(words[i]) >= LONGER]
+    cut = [words[i][:-1] for i in short]
+    if cut:
+        again = weight[_cell(_own(cut), lengths(ordinary, cut), lengths(content, cut))]
+        weight_of[short] = np.where(again > SURE, again, 0.0)
     model = Model(ordinary, content, {int(c): float(weight[c]) for c in np.flatnonzero(weight)}, [])
-    x = np.array([features([v for v in weight[cell[whole[d]]].tolist() if v], len(whole[d])) for d in t_cal + p_cal])
+    x = np.array([features([v for v in weight_of[whole[d]].tolist() if v], len(whole[d])) for d in t_cal + p_cal])
     y = np.array([1] * len(t_cal) + [0] * len(p_cal))
     model.weights = _logistic(x, y, max(SHARE, share or float(np.mean(y)))).tolist()
     return model

@@ -190,6 +190,40 @@ def test_toxicity_holds_in_every_language(spark):
         assert (score[toxic & (lang == x)] >= 0.5).mean() >= 0.6
 
 
+def test_toxicity_knows_words_in_any_dress(spark):
+    """Marks, case and inflections change a word's score by a tenth at most, and so does a second insult beside it."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{x}.parquet") for x in ("documents", "labels"))
+    model = toxicity.fit_on(docs, labels)
+    for word in ("moron", "idiot", "worthless", "trash", "clown"):
+        bare = model.score(word)
+        assert bare >= 0.9
+        for dressed in (word.upper(), f"{word.title()}!", f"({word})", f'"{word}",', f"{word}###", f"«{word}»", f"¿{word}?", f"{word} moron", f"{word}, {word}."):
+            assert abs(model.score(dressed) - bare) <= 0.1
+        assert len(word) < 5 or abs(model.score(f"{word}s") - bare) <= 0.1
+    assert model.score("!!! ... ###") == model.score("") == model.score(None) < 0.5
+
+
+def test_toxicity_score_is_that_of_plain_code(spark):
+    """The fast scorer against one that remembers nothing and compresses each window anew."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{x}.parquet") for x in ("documents", "labels"))
+    model = toxicity.fit_on(docs, labels)
+
+    def weight(w):
+        for part, least in ((w, 0), (w[:-1], toxicity.SURE)) if len(w) >= toxicity.LONGER else ((w, 0),):
+            a, b = (int(toxicity.lengths(d, [part])[0]) for d in (model.ordinary, model.toxic))
+            x = model.table.get((min(len(part), 63) * 64 + min(a, 63)) * 64 + min(b, 63), 0.0)
+            if x > least:
+                return x
+        return 0.0
+
+    for r in docs.where("doc_id % 997 = 0").collect():
+        parts = toxicity.windows(r["text"][:3000])
+        found = [x for w in parts if (x := weight(w))]
+        top = [1.0, sum(sorted(found)[-3:]), np.log1p(len(found)), len(found) / (len(parts) + 20) * 20]
+        assert abs(model.score(r["text"][:3000]) - 1 / (1 + np.exp(-np.clip(np.dot(model.weights, top), -30, 30)))) < 1e-9
+
+
 def test_toxicity_fits_on_odd_tables(spark):
     d = spark.createDataFrame([(1, "a b"), (1, "c"), (None, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
@@ -242,3 +276,36 @@ def test_chains_and_hot_keys_lose_no_link(spark, monkeypatch):
         monkeypatch.setattr(ngram_join, "SETS_AT_ONCE", sets)
         monkeypatch.setattr(ngram_join, "SHORT", short)
         assert sorted(map(tuple, ngram_join.components(df).collect())) == want
+
+
+def test_full_shards_swap(spark):
+    """Where linked documents fill every quota, groups are whole all the same."""
+    from loomwright.llm import sharding
+
+    df = spark.createDataFrame([(3 * g + k, f"text {g}") for g in range(1000) for k in range(3)], "doc_id long, text string")
+    rows = sharding.shard_documents(df, shards=16).collect()
+    counts, shards = Counter(r["shard"] for r in rows), defaultdict(set)
+    for r in rows:
+        shards[r["doc_id"] // 3].add(r["shard"])
+    assert max(counts.values()) - min(counts.values()) <= 1 and len(rows) == 3000
+    assert sum(len(s) == 1 for s in shards.values()) >= 950
+
+
+def test_moves_between_full_shards_are_cycles():
+    from loomwright.llm.sharding import flows
+
+    assert flows({(0, 1): 5, (1, 0): 3, (1, 2): 4, (2, 0): 9}, [0, 0, 0]) == {(0, 1): 5, (1, 0): 3, (1, 2): 2, (2, 0): 2}
+    assert flows({(0, 1): 5}, [0, 2, 0]) == {(0, 1): 2} and flows({(0, 1): 5}, [0, 0, 0]) == {} and flows({}, [1, 1]) == {}
+    # Room at the end of a chain lets all of it move.
+    assert flows({(0, 1): 2, (1, 2): 2, (2, 3): 2}, [0, 0, 0, 2]) == {(0, 1): 2, (1, 2): 2, (2, 3): 2}
+
+
+def test_equal_rows_are_ranked_in_many_buckets(spark):
+    """A third of the rows is one row: no bucket of the ranking holds them."""
+    from loomwright.llm import packing
+
+    df = spark.createDataFrame([(None, "")] * 30_000 + [(i, "a b") for i in range(60_000)], "doc_id long, text string").repartition(4)
+    got = packing.pack(df, common.tokenizer_path(), end_id=1)
+    per = got.groupBy("sequence_id").agg({"length": "sum", "offset": "max"}).collect()
+    assert got.count() == 90_000 and max(r["sum(length)"] for r in per) <= 2048
+    assert len(got.select("sequence_id", "offset").distinct().collect()) == 90_000
