@@ -104,27 +104,3 @@ def edit_breakdown(truth: str, heard: str) -> tuple[int, int, int]:
 @F.pandas_udf(StructType([StructField(c, IntegerType()) for c in ("substituted", "deleted", "inserted")]))
 def edits(truth: pd.Series, heard: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([edit_breakdown(a or "", b or "") for a, b in zip(truth, heard)], columns=["substituted", "deleted", "inserted"])
-
-
-def strings_of(value, path: str = "$") -> list[dict[str, str]]:
-    """All strings in a JSON value, with their paths."""
-    if isinstance(value, str):
-        return [{"path": path, "value": value}]
-    if isinstance(value, dict):
-        return [x for k, v in value.items() for x in strings_of(v, f"{path}.{k}")]
-    if isinstance(value, list):
-        return [x for i, v in enumerate(value) for x in strings_of(v, f"{path}[{i}]")]
-    return []
-
-
-@F.pandas_udf(ArrayType(StructType([StructField("path", StringType()), StructField("value", StringType())])))
-def json_strings(s: pd.Series) -> pd.Series:
-    import json
-
-    def one(x: str | None) -> list[dict[str, str]]:
-        try:
-            return strings_of(json.loads(x)) if x else []
-        except ValueError:
-            return []
-
-    return s.map(one)

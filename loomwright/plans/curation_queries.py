@@ -132,11 +132,11 @@ def _(t):
     return j.select("doc_id", T.all_reasons(("no_audit", F.col("a").isNull()), ("drift", F.length("text") != F.col("n_chars")), ("hash", F.sha2("text", 256).startswith("0"))).alias("errors"))
 
 
-@query("cu6_work_orders", "SELECT source, count(*) AS n, min(doc_id) AS first, max(doc_id) AS last, sum(('0x' || sha256(doc_id::VARCHAR || ':' || sha256(text))[1:15])::BIGINT)::VARCHAR AS digest FROM documents WHERE n_chars < 5000 GROUP BY source")
+@query("cu6_work_orders", "SELECT source, count(*) AS n, min(doc_id) AS first, max(doc_id) AS last, sum(('0x' || sha256(doc_id::VARCHAR || ':' || sha256(text))[1:15])::BIGINT)::VARCHAR AS digest FROM documents GROUP BY source")
 def _(t):
     """Work orders: a group's members, with a digest of their frozen texts that does not gather them."""
     h = F.conv(F.left(F.sha2(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.sha2("text", 256)), 256), F.lit(15)), 16, 10).cast("decimal(38,0)")
-    g = t.documents.where("n_chars < 5000").groupBy("source")
+    g = t.documents.groupBy("source")
     return g.agg(F.count("*").alias("n"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.sum(h).cast("string").alias("digest"))
 
 
@@ -321,11 +321,12 @@ def _(t):
     return t.documents.groupBy("source").agg(F.count("*").alias("n"), (F.countDistinct("doc_id") == F.count("*")).alias("unique_ids"), (F.max("n_chars") <= 50000).alias("capped"))
 
 
-@query("sx8_render_diff", "WITH a AS (SELECT conv_id, turn, text AS x FROM conversations WHERE turn < 3), b AS (SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN text || '!' ELSE text END AS y FROM conversations WHERE turn > 0) SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, coalesce(a.turn, b.turn) AS turn, CASE WHEN y IS NULL THEN 'removed' WHEN x IS NULL THEN 'added' WHEN x = y THEN 'same' ELSE 'changed' END AS change FROM a FULL JOIN b ON a.conv_id = b.conv_id AND a.turn = b.turn")
+@query("sx8_render_diff", "WITH a AS (SELECT conv_id, turn, text AS x FROM conversations), b AS (SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN text || '!' ELSE text END AS y FROM conversations WHERE role <> 'system' UNION ALL SELECT conv_id, max(turn) + 1, 'end' FROM conversations GROUP BY conv_id) SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, coalesce(a.turn, b.turn) AS turn, CASE WHEN y IS NULL THEN 'removed' WHEN x IS NULL THEN 'added' WHEN x = y THEN 'same' ELSE 'changed' END AS change FROM a FULL JOIN b ON a.conv_id = b.conv_id AND a.turn = b.turn")
 def _(t):
-    """An old rendering (turns 0 to 2) and a new one (from turn 1 on, even turns edited), whole texts compared."""
-    a = t.conversations.where("turn < 3").select("conv_id", "turn", F.col("text").alias("x"))
-    b = t.conversations.where("turn > 0").select("conv_id", "turn", F.when(F.col("turn") % 2 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")).alias("y"))
+    """An old rendering and a new one (without system turns, even turns edited, an end added), whole texts compared."""
+    a = t.conversations.select("conv_id", "turn", F.col("text").alias("x"))
+    b = t.conversations.where("role <> 'system'").select("conv_id", "turn", F.when(F.col("turn") % 2 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")).alias("y"))
+    b = b.unionByName(t.conversations.groupBy("conv_id").agg((F.max("turn") + 1).alias("turn")).withColumn("y", F.lit("end")))
     return a.join(b, ["conv_id", "turn"], "full").select("conv_id", "turn", F.when(F.col("y").isNull(), "removed").when(F.col("x").isNull(), "added").when(F.col("x") == F.col("y"), "same").otherwise("changed").alias("change"))
 
 
@@ -369,11 +370,11 @@ def _(t):
     return kept.join(t.labels, "doc_id", "left").select("doc_id", F.when(F.col("quality") == 0, 0.5).otherwise(1.0).alias("weight"))
 
 
-@query("sx23_next_ids", "SELECT p_name, (SELECT max(p_partkey) FROM part) + row_number() OVER (ORDER BY p_name) AS new_id FROM (SELECT DISTINCT upper(p_name) AS p_name FROM part WHERE p_size = 1)")
+@query("sx23_next_ids", "SELECT p_name, (SELECT max(p_partkey) FROM part) + row_number() OVER (ORDER BY p_name) AS new_id FROM (SELECT DISTINCT upper(p_name) AS p_name FROM part)")
 def _(t):
     """New entries continue the sequence after the largest id."""
     top = t.part.agg(F.max("p_partkey").alias("m"))  # one row
-    n = W.place_in_order(t.part.where("p_size = 1").select(F.upper("p_name").alias("p_name")).distinct(), ["p_name"], "place")
+    n = W.place_in_order(t.part.select(F.upper("p_name").alias("p_name")).distinct(), ["p_name"], "place")
     return n.crossJoin(F.broadcast(top)).select("p_name", (F.col("m") + F.col("place")).alias("new_id"))
 
 

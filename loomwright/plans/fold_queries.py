@@ -8,6 +8,7 @@ from loomwright.functions import sequential as S
 from loomwright.operators import folds
 from loomwright.operators.graph import connected_components
 from loomwright.operators.joins import first_of
+from loomwright.operators.nested import json_strings
 
 from .registry import query
 from .text_queries import lines
@@ -23,11 +24,13 @@ def _(t):
     return t.part.select("p_partkey", S.edits(F.lower("p_name"), F.lower("p_type")).alias("e")).select("p_partkey", "e.*")
 
 
-@query("tx20_json_strings", "SELECT doc_id, path, value FROM (SELECT doc_id, '$.meta.lang' AS path, lang AS value FROM documents UNION ALL SELECT doc_id, '$.meta.parts[0]', source FROM documents UNION ALL SELECT doc_id, '$.meta.parts[1]', split_part(text, chr(10), 1) FROM documents) WHERE value IS NOT NULL")
+@query("tx20_json_strings", "SELECT doc_id, path, value FROM (SELECT doc_id, '$.meta.lang' AS path, lang AS value FROM documents UNION ALL SELECT doc_id, '$.meta.parts[0]', source FROM documents UNION ALL SELECT doc_id, '$.meta.parts[1].lines[' || i || ']', x FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, unnest(range(length(text) + 1)) AS i FROM documents)) WHERE value IS NOT NULL")
 def _(t):
-    """All strings of documents as nested JSON (their first line, language and source)."""
-    nested = F.to_json(F.struct("doc_id", F.struct("lang", F.array("source", F.element_at(F.split("text", "\n"), 1)).alias("parts")).alias("meta")))
-    return t.documents.select("doc_id", F.explode(S.json_strings(nested)).alias("s")).select("doc_id", "s.path", "s.value")
+    """All strings of documents as nested JSON (language, source, and an object with all lines)."""
+    lines_ = F.to_json(F.struct(F.split("text", "\n").alias("lines")))
+    pair = F.concat(F.rtrim(F.to_json(F.array("source")), F.lit("]")), F.lit(","), lines_, F.lit("]"))
+    nested = F.concat(F.lit('{"doc_id":'), F.col("doc_id").cast("string"), F.lit(',"meta":{"parts":'), pair, F.lit(","), F.substring(F.to_json(F.struct("lang")), 2, 1 << 30), F.lit("}"))
+    return json_strings(t.documents.select("doc_id", nested.alias("j")), ["doc_id"], "j")
 
 
 @query("win11_line_merge")

@@ -170,13 +170,13 @@ def _gold(t):
 @query("agg16_hit_rate", f"WITH {_TOP5}, h AS (SELECT g.query, min(k) AS best FROM gold g LEFT JOIN top USING (query, doc) GROUP BY g.query) SELECT count(*) AS queries, count(*) FILTER (best <= 1) AS at_1, count(*) FILTER (best <= 5) AS at_5, round(count(*) FILTER (best <= 5) / count(*), 4) AS recall_5 FROM h")
 def _(t):
     """Recall of the documents that hold an item."""
-    h = _gold(t).join(_top(t).select("query", "doc", "k"), ["query", "doc"], "left").groupBy("query").agg(F.min("k").alias("best"))
+    h = _gold(t).join(_top(t).where("k <= 5").select("query", "doc", "k"), ["query", "doc"], "left").groupBy("query").agg(F.min("k").alias("best"))
     return h.agg(F.count("*").alias("queries"), F.count_if(F.col("best") <= 1).alias("at_1"), F.count_if(F.col("best") <= 5).alias("at_5"), F.round(F.count_if(F.col("best") <= 5) / F.count("*"), 4).alias("recall_5"))
 
 
 @query("ev1_recall_rows", f"WITH {_TOP5} SELECT g.query, coalesce(bool_or(k <= 5), false) AS hit FROM gold g LEFT JOIN top USING (query, doc) GROUP BY g.query")
 def _(t):
-    return _gold(t).join(_top(t).select("query", "doc", "k"), ["query", "doc"], "left").groupBy("query").agg(F.coalesce(F.bool_or(F.col("k") <= 5), F.lit(False)).alias("hit"))
+    return _gold(t).join(_top(t).where("k <= 5").select("query", "doc", "k"), ["query", "doc"], "left").groupBy("query").agg(F.coalesce(F.bool_or(F.col("k") <= 5), F.lit(False)).alias("hit"))
 
 
 @query("ex2_family_hit", f"WITH {_TOP5}, fam AS (SELECT g.query, d.source FROM gold g JOIN documents d ON g.doc = d.doc_id), res AS (SELECT t.query, d.source FROM top t JOIN documents d ON t.doc = d.doc_id WHERE k <= 6) SELECT DISTINCT f.query, EXISTS (SELECT 1 FROM res r WHERE r.query = f.query AND r.source = f.source) AS family_hit FROM fam f WHERE true QUALIFY row_number() OVER (PARTITION BY f.query ORDER BY f.source) = 1")

@@ -188,10 +188,10 @@ def _(t):
     return t.part.select("p_partkey", F.concat_ws("\n", "p_name", F.when(F.col("p_size") > 10, F.concat(F.lit("size "), F.col("p_size").cast("string"))), F.when(F.endswith(ty, F.lit("TIN")), ty).otherwise(F.concat(ty, F.lit(" TIN")))).alias("search_text"))
 
 
-@query("prj3_labelled_text", "SELECT doc_id, concat_ws(chr(10), 'lang: ' || nullif(lang, 'en'), 'source: ' || nullif(source, 'src0'), 'text: ' || left(text, 50)) AS labelled FROM documents")
+@query("prj3_labelled_text", "SELECT doc_id, concat_ws(chr(10), 'lang: ' || nullif(lang, 'en'), 'source: ' || nullif(source, 'src0'), 'text: ' || text) AS labelled FROM documents")
 def _(t):
     part = lambda name, c: F.concat(F.lit(f"{name}: "), c)
-    return t.documents.select("doc_id", F.concat_ws("\n", part("lang", F.nullif("lang", F.lit("en"))), part("source", F.nullif("source", F.lit("src0"))), part("text", F.substring("text", 1, 50))).alias("labelled"))
+    return t.documents.select("doc_id", F.concat_ws("\n", part("lang", F.nullif("lang", F.lit("en"))), part("source", F.nullif("source", F.lit("src0"))), part("text", F.col("text"))).alias("labelled"))
 
 
 @query(

@@ -65,12 +65,11 @@ def _(t):
     return l.where("lang <> 'en'").join(packet, ["source", "line"], "left_anti").select("doc_id", (F.col("p") + 1).cast("long").alias("line_no"))
 
 
-@query("sx21_cache_seed", "SELECT a.doc_id, b.doc_id AS seeded_from FROM documents a JOIN documents b ON a.source = b.source AND a.n_chars = b.n_chars AND a.doc_id > b.doc_id")
+@query("sx21_cache_seed", "SELECT doc_id, lag(doc_id) OVER (PARTITION BY source, n_chars ORDER BY doc_id) AS seeded_from FROM documents QUALIFY seeded_from IS NOT NULL")
 def _(t):
-    """A cached answer may be used where the context and its length agree."""
+    """A cached answer may be used where the context and its length agree: that of the nearest row before."""
     a = t.documents.select("doc_id", "source", "n_chars")
-    b = a.withColumnRenamed("doc_id", "seeded_from")
-    return a.join(b, ["source", "n_chars"]).where("doc_id > seeded_from").select("doc_id", "seeded_from")
+    return W.max_before(a, ["doc_id"], F.col("doc_id"), "seeded_from", ("source", "n_chars")).where("seeded_from is not null").select("doc_id", "seeded_from")
 
 
 @query("sx22_feedback", "SELECT d.doc_id, CASE WHEN toxic = 1 THEN 'archived' ELSE coalesce('q' || quality, 'same') END AS state, sha256(text) AS digest FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")

@@ -131,7 +131,11 @@ def _(t):
     segments go."""
     c = t.conversations.select("conv_id", "turn", (F.col("turn") * 10 + F.col("turn") % 3).alias("b"))
     g = t.conversations.select("conv_id", (F.col("turn") * 11).alias("t")).distinct()
-    n = c.join(g, "conv_id").groupBy("conv_id", "turn").agg(F.min_by("t", F.struct(F.abs(F.col("t") - F.col("b")), "t")).alias("e"))
+    # The last grid time up to an end, and the first from it on.
+    n = W.as_of(c, g, ["conv_id"], "b", "t", []).withColumn("_b", -F.col("b"))
+    n = W.as_of(n, g.select("conv_id", (-F.col("t")).alias("_t_after")), ["conv_id"], "_b", "_t_after", []).withColumn("after", -F.col("_t_after"))
+    near = F.when(F.col("t").isNull() | (F.col("after") - F.col("b") < F.col("b") - F.col("t")), F.col("after")).otherwise(F.col("t"))
+    n = n.select("conv_id", "turn", near.alias("e"))
     w = Window.partitionBy("conv_id").orderBy("turn")
     s = n.select("conv_id", "turn", F.coalesce(F.lag("e").over(w), F.lit(0).cast("long")).alias("seg_start"), F.col("e").alias("seg_end"))
     return s.where("seg_end > seg_start")

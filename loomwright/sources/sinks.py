@@ -33,11 +33,11 @@ def manifest(df: DataFrame, key: str, group: str) -> DataFrame:
 
 
 def markdown(df: DataFrame, order: list[str]) -> DataFrame:
-    """A small table as lines of a Markdown report: (place, line), with the head first."""
-    from pyspark.sql import Window
+    """A table (of rows that differ) as lines of a Markdown report: (place, line), with the head first."""
+    from loomwright.operators.windows import place_in_order
 
     cells = lambda xs: F.concat(F.lit("| "), F.concat_ws(" | ", *xs), F.lit(" |"))
     shown = [F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("|"), F.lit("\\|")) for c in df.columns]
-    body = df.select((F.row_number().over(Window.orderBy(*order)) + 2).alias("place"), cells(shown).alias("line"))
+    body = place_in_order(df, [*order, *(c for c in df.columns if c not in order)], "_place").select((F.col("_place") + 2).alias("place"), cells(shown).alias("line"))
     head = [(1, "| " + " | ".join(df.columns) + " |"), (2, "|" + " --- |" * len(df.columns))]
-    return df.sparkSession.createDataFrame(head, "place int, line string").unionByName(body)
+    return df.sparkSession.createDataFrame(head, "place long, line string").unionByName(body)
