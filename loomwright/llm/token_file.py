@@ -3,16 +3,16 @@
 A file holds the ids of a run of documents, each id in the fewest bits that hold every id of the
 vocabulary. Layout, all integers little-endian:
 
-    magic ``LWTOK1\\n\\0`` | blocks | document ids (int64 each) | document ends, in ids (int64 each) |
-    footer: bits, ids in a block, documents, ids (uint64 each), magic
+    magic ``LWTOK2\\n\\0`` | blocks | document ids (int64 each) | document ends, in ids (int64 each) |
+    which documents have an id (a bit each, whole bytes) | footer: bits, ids in a block, documents, ids (uint64 each), magic
 
 Every block holds ``BLOCK`` ids (the last one fewer) and ``BLOCK`` is a multiple of 8, so block k begins
 at byte ``8 + k * BLOCK * bits / 8``: any range of ids is read by seeking and unpacked by numpy.
 
 Documents are dealt to files by ranges of their id and sorted, so the files in order are the corpus in
-order. A file is first written under a name of its task attempt and then moved, so a lost executor or a
-repeated task leaves one whole file. Null text counts as empty; a null id sorts first and stays null;
-repeated ids are kept, ordered by text. An empty table gives no files and an empty result.
+order; there are as many files as the session has shuffle partitions, and more where one would hold over ``FILE_BYTES`` of text. A file is first written under a name of its task attempt and then moved, so a lost executor or a
+repeated task leaves one whole file. Null text counts as empty; a very long one is encoded by itself and read in portions; a null id sorts first and stays null, whatever ids there are;
+repeated ids are kept, ordered by a hash of the text; equal rows may lie in several files. Other columns are ignored. An empty table gives no files and an empty result.
 """
 
 from __future__ import annotations
@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 from . import bpe
 from .common import filesystem, new_folder, ship_package, steps
 
-MAGIC = b"LWTOK1\n\0"
+MAGIC = b"LWTOK2\n\0"
 BLOCK = 4096
-_NULL = -(2**63)
+#: Bytes of text that one file holds, or so: its writer holds an id and an end for each document.
+FILE_BYTES = 64_000_000
 
 
 def bits_for(vocabulary: int) -> int:
@@ -75,10 +76,12 @@ class Writer:
         self.target, self.temp, self.bits = f"{self.folder}/{name}", f"{self.folder}/_{name}.{attempt}", bits
         self.out = self.fs.open_output_stream(self.temp)
         self.out.write(MAGIC)
-        self.rest, self.docs, self.ends, self.n = np.zeros(0, np.int64), [], [], 0
+        self.rest, self.docs, self.known, self.ends, self.n = np.zeros(0, np.int64), [], [], [], 0
 
-    def add(self, docs: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+    def add(self, docs: np.ndarray, known: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """``known``: which documents have an id."""
         self.docs.append(docs.astype("<i8"))
+        self.known.append(known)
         self.ends.append((self.n + np.cumsum(sizes)).astype("<i8"))
         self.n += len(ids)
         self.rest = np.concatenate([self.rest, ids])
@@ -90,7 +93,7 @@ class Writer:
     def close(self) -> None:
         self.out.write(pack(self.rest, self.bits))
         n = sum(map(len, self.docs))
-        for x in (*self.docs, *self.ends):
+        for x in (*self.docs, *self.ends, np.packbits(np.concatenate([np.zeros(0, bool), *self.known]))):
             self.out.write(x.tobytes())
         self.out.write(np.array([self.bits, BLOCK, n, self.n], "<u8").tobytes() + MAGIC)
         self.out.close()
@@ -108,9 +111,10 @@ class Reader:
         if foot[32:] != MAGIC or self.f.read_at(8, 0) != MAGIC:
             raise ValueError(f"{uri}: not a token file")
         self.bits, self.block, n, self.n = map(int, np.frombuffer(foot[:32], "<u8"))
-        at = size - 40 - 16 * n
+        at = size - 40 - 16 * n - (n + 7) // 8
         self.docs = np.frombuffer(self.f.read_at(8 * n, at), "<i8")
         self.ends = np.frombuffer(self.f.read_at(8 * n, at + 8 * n), "<i8")
+        self.known = np.unpackbits(np.frombuffer(self.f.read_at((n + 7) // 8, at + 16 * n), np.uint8), count=n).astype(bool)
         self.starts = np.concatenate([[0], self.ends[:-1]]).astype(np.int64) if n else self.ends
 
     def ids(self, start: int, stop: int) -> np.ndarray:
@@ -143,15 +147,17 @@ def write_tokens(df: DataFrame, path: str, folder: str | None = None, end_id: in
             ids, n = tokenizer.ids(batch.column(1).to_pylist())
             at = np.cumsum(n)
             ids = np.insert(ids.astype(np.int64), at, end_id)
-            docs = batch.column(0).cast(pa.int64()).fill_null(_NULL).to_numpy(zero_copy_only=False)
-            writer.add(docs, ids, n + 1)
+            docs = batch.column(0).cast(pa.int64())
+            writer.add(docs.fill_null(0).to_numpy(zero_copy_only=False), docs.is_valid().to_numpy(zero_copy_only=False), ids, n + 1)
         if writer:
             writer.close()
             yield pa.RecordBatch.from_pydict({"part": pa.array([task.partitionId()], pa.int32()), "uri": [f"{folder}/{name}"], "documents": pa.array([sum(map(len, writer.docs))], pa.int64()), "tokens": pa.array([writer.n], pa.int64())})
 
-    # Ranges of (id, hash of the text): rows of one id, or without any, are dealt to several files too.
-    dealt = df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), F.xxhash64(text_column).alias("_h"))
-    dealt = dealt.repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h").select("doc_id", "text")
+    # Ranges of (id, hash of the text, row): rows of one id, or without any, and equal rows are dealt to several files too.
+    size = df.agg(F.sum(F.octet_length(text_column) + 16)).first()[0] or 0
+    files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // FILE_BYTES))
+    dealt = df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), F.xxhash64(text_column).alias("_h"), F.monotonically_increasing_id().alias("_row"))
+    dealt = dealt.repartitionByRange(files, "doc_id", "_h", "_row").sortWithinPartitions("doc_id", "_h", "_row").select("doc_id", "text")
     manifest = dealt.mapInArrow(run, "part int, uri string, documents long, tokens long")
     where = new_folder(spark, "manifest")
     manifest.write.parquet(where)
@@ -180,7 +186,7 @@ def read_tokens(manifest: DataFrame, at_once: int = 1 << 20) -> DataFrame:
                             crc = zlib.crc32(r.ids(s, min(s + at_once, int(r.ends[k]))).astype("<u4").tobytes(), crc)
                         crcs = [crc]
                     docs = r.docs[k:stop]
-                    yield pa.RecordBatch.from_arrays([pa.array(docs, mask=docs == _NULL), pa.array(base + r.starts[k:stop]), pa.array(r.ends[k:stop] - r.starts[k:stop]), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                    yield pa.RecordBatch.from_arrays([pa.array(docs, mask=~r.known[k:stop]), pa.array(base + r.starts[k:stop]), pa.array(r.ends[k:stop] - r.starts[k:stop]), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
                     k = stop
 
     n = manifest.count()

@@ -516,3 +516,14 @@ def test_pipeline_stages_take_odd_rows(spark):
         docs = common.written(stage(spark, docs, sf), "stage")
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "label"]
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()) == [(False, 1), (False, 3), (False, 4), (True, 0)]
+
+
+def test_token_files_tell_null_ids_from_all_others(spark, tokenizer):
+    from loomwright.llm.token_file import read_tokens, write_tokens
+
+    rows = [(None, "a"), (-(2**63), "b c"), (2**63 - 1, None), (0, ""), (None, None), *[(5, "same row")] * 40]
+    df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, part int")
+    got = read_tokens(write_tokens(df, common.tokenizer_path(), end_id=2)).orderBy("start").collect()
+    assert sorted(((r["doc_id"], r["n_tokens"]) for r in got), key=str) == sorted(((i, len(ids_of(tokenizer, t)) + 1) for i, t in rows), key=str)
+    known = [r["doc_id"] for r in got]
+    assert known == sorted(known, key=lambda i: (i is not None, i or 0))
