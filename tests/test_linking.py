@@ -235,6 +235,26 @@ def test_one_key_has_fragments_in_many_tasks(spark, many_ranges):
     assert rows(got) == sorted(want, key=str) and len({n for *_, n in want}) > 100
 
 
+@pytest.mark.parametrize(("patterns", "scanned"), [(2_000_000, 8_000_000), (60, 150)])
+def test_contained_texts_are_decided_in_rounds(spark, monkeypatch, patterns, scanned):
+    """Keys with chains of texts that wait for one another, in one piece and in many."""
+    monkeypatch.setattr(folds, "PATTERNS", patterns)
+    monkeypatch.setattr(folds, "SCANNED", scanned)
+    rng = random.Random(9)
+    data = [(rng.choice(["x", "y", None]), rng.randint(0, 60), "".join(rng.choice("ab") for _ in range(rng.randint(1, 9)))) for _ in range(250)]
+    data += [("n", 20 - k, "p" * (k + 1)) for k in range(20)] + [("e", 5, ""), ("e", 7, "q"), ("f", 1, "q"), ("f", 2, None), ("f", 3, "qq"), ("f", 4, "r"), ("one", 1, "z"), ("one", 0, "z"), ("two", 1, None)]
+    want = []
+    for key in {k for k, _, _ in data}:
+        kept = []
+        for o, t in sorted((o, t or "") for k, o, t in data if k == key):
+            if not any(t in x or x in t for _, x in kept):
+                kept.append((o, t))
+        want += [(key, o, t) for o, t in kept]
+    df = spark.createDataFrame(data, "k string, o int, t string")
+    assert rows(folds.contained_dedupe(df, "k", "o", "t")) == sorted(want, key=str)
+    assert folds.contained_dedupe(df.limit(0), "k", "o", "t").count() == 0
+
+
 def test_dictionary_queries_have_many_terms(spark):
     t = Tables(spark, "/root/testdata/sf0.01")
     assert Q.terms_of(t).count() > 10_000
