@@ -30,3 +30,14 @@ def in_range(points: DataFrame, ranges: DataFrame, keys: list[str], at: str, low
     return p.join(r, [*keys, "_bin"]).where(F.col(at).between(F.col(low), F.col(high))).drop("_bin")
 
 
+
+
+def overlap_near(quotes: DataFrame, lines: DataFrame, quote_id: str, source: str, at: str, units: str, within: int) -> DataFrame:
+    """(``quote_id``, overlap): the largest share of a quote's distinct units (an array) that one line of its source holds, of the lines at most
+    ``within`` from its time. Both tables have ``source``, ``at`` and ``units``. Quotes without units, source, time or such a line are left
+    out; repeated rows change nothing. Lines meet the quotes of their time bins only."""
+    own = F.array_distinct(F.array_compact(F.col(units)))
+    asked = quotes.where(F.col(at).isNotNull()).select(quote_id, F.col(source).alias("_s"), (F.col(at) - within).alias("_low"), (F.col(at) + within).alias("_high"), own.alias("_units")).where(F.size("_units") > 0)
+    points = lines.select(F.col(source).alias("_s"), F.col(at).alias("_at"), F.col(units).alias("_held"))
+    met = in_range(points, asked, ["_s"], "_at", "_low", "_high", 2 * within + 1)
+    return met.groupBy(quote_id).agg(F.max(F.size(F.array_intersect("_units", "_held")) / F.size("_units")).alias("overlap")).where("overlap is not null")

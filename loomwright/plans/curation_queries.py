@@ -61,6 +61,41 @@ def _(t):
     return t.benchmark.select("item_id").join(best, "item_id", "left").select("item_id", name.alias("grade"))
 
 
+#: A quote of each document: its middle line, edited in one of seven ways, with the time that it claims (5 seconds a line).
+_SECOND = "line_no * 5 + CASE doc_id % 7 WHEN 6 THEN 1000 ELSE doc_id % 40 END"
+_QUOTE = """CASE doc_id % 7 WHEN 1 THEN replace(line, ' ', ' - ') WHEN 2 THEN replace(line, 'ant', 'ent') WHEN 3 THEN left(line, CAST(floor(0.6 * length(line)) AS INT)) || ' and what nobody said'
+    WHEN 4 THEN left(line, 32) || ' and what nobody said of it' WHEN 0 THEN line ELSE reversed END"""
+_UNITS = "[a-zà-ÿ]{3,}"
+
+
+@query(
+    "ev3_claimed_trace",
+    f"""WITH l AS ({LINES}), lines_of AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n_lines, array_to_string(list_reverse(string_split(line, ' ')), ' ') AS reversed FROM l), q AS (SELECT *, {NORM.format('quote')} AS x FROM (SELECT doc_id, {_SECOND} AS second, {_QUOTE} AS quote FROM lines_of WHERE line_no = (n_lines + 1) // 2)),
+        o AS (SELECT q.doc_id, max(len(list_intersect(u, list_distinct(regexp_extract_all(lower(l.line), '{_UNITS}')))) / len(u)) AS overlap FROM (SELECT doc_id, second, list_distinct(regexp_extract_all(lower(quote), '{_UNITS}')) AS u FROM q) q JOIN l ON q.doc_id = l.doc_id AND abs(l.line_no * 5 - second) <= 120 WHERE len(u) > 0 GROUP BY q.doc_id),
+        d AS (SELECT doc_id, text, {NORM.format('text')} AS y FROM documents)
+        SELECT doc_id, CASE WHEN contains(text, quote) THEN 'verbatim' WHEN x = '' THEN 'missing' WHEN contains(y, x) THEN 'joined' WHEN contains(y, replace(x, 'tion', 'sion')) OR contains(y, replace(x, 'ent', 'ant')) OR contains(y, replace(replace(x, 'tion', 'sion'), 'ent', 'ant')) OR contains(y, left(x, greatest(12, length(x) // 2)::INT)) THEN 'normalised'
+               WHEN (length(x) >= 12 AND contains(y, left(x, 16))) OR coalesce(overlap, 0) >= 0.9 THEN 'paraphrase' ELSE 'missing' END AS grade, round(coalesce(overlap, 0), 4) AS overlap FROM q JOIN d USING (doc_id) LEFT JOIN o USING (doc_id)""",
+)
+def _(t):
+    """The grade of a quote in the source that it claims: verbatim; joined; normalised; paraphrase, by its first characters or by nine in
+    ten of its words in one line within two minutes of its time; missing."""
+    every = lines(t).select("doc_id", "line_no", "line", (F.col("line_no") * 5).alias("second"), F.regexp_extract_all(F.lower("line"), F.lit(_UNITS), F.lit(0)).alias("units"))
+    n = every.groupBy("doc_id").agg(F.count("*").alias("n_lines"))
+    middle = every.drop("second", "units").join(n, "doc_id").where(F.col("line_no") == F.floor((F.col("n_lines") + 1) / 2)).withColumn("reversed", F.array_join(F.reverse(F.split("line", " ")), " "))
+    q = middle.select("doc_id", F.expr(_SECOND).alias("second"), F.expr(_QUOTE).alias("quote")).withColumn("x", T.normal(F.col("quote"))).withColumn("units", F.regexp_extract_all(F.lower("quote"), F.lit(_UNITS), F.lit(0)))
+    near = J.overlap_near(q, every, "doc_id", "doc_id", "second", "units", 120)
+    s = q.join(t.documents.select("doc_id", "text", T.normal(F.col("text")).alias("y")), "doc_id").join(near, "doc_id", "left")
+    undone = [F.col("x")]
+    for made, heard in HEARD:
+        undone += [F.replace(v, F.lit(made), F.lit(heard)) for v in undone]
+    held = lambda v: F.contains("y", v)
+    half = F.left("x", F.greatest(F.lit(12), F.floor(F.length("x") / 2).cast("int")))
+    heard_so = F.exists(F.array(*undone[1:], half), held)
+    like = ((F.length("x") >= 12) & held(F.left("x", F.lit(16)))) | (F.coalesce("overlap", F.lit(0.0)) >= 0.9)
+    grade = F.when(F.contains("text", F.col("quote")), "verbatim").when(F.col("x") == "", "missing").when(held(F.col("x")), "joined").when(heard_so, "normalised").when(like, "paraphrase").otherwise("missing")
+    return s.select("doc_id", grade.alias("grade"), F.round(F.coalesce("overlap", F.lit(0.0)), 4).alias("overlap"))
+
+
 @query("ev4_ellipsis_parts", "SELECT item_id, doc_id FROM benchmark b JOIN documents d ON contains(d.text, left(b.text, (length(b.text) // 2)::INT - 5)) AND contains(d.text, substr(b.text, (length(b.text) // 2)::INT + 6))")
 def _(t):
     """Quotes whose middle an ellipsis stands for: every part must occur."""

@@ -235,6 +235,20 @@ def test_one_key_has_fragments_in_many_tasks(spark, many_ranges):
     assert rows(got) == sorted(want, key=str) and len({n for *_, n in want}) > 100
 
 
+def test_claimed_quotes_have_all_grades(spark):
+    grades = Counter(r["grade"] for r in plans.QUERIES["ev3_claimed_trace"](spark, "/root/testdata/sf0.01").collect())
+    assert set(grades) == {"verbatim", "joined", "normalised", "paraphrase", "missing"} and min(grades.values()) > 5
+
+
+def test_overlap_near_a_time(spark):
+    from loomwright.operators.joins import overlap_near
+
+    lines = [("a", 10, ["x", "y"]), ("a", 11, ["z"]), ("a", 130, ["x", "y", "z"]), ("b", 10, ["x"]), ("a", None, ["x", "y", "z"]), ("a", 9, None), (None, 10, ["x"])]
+    quotes = [(1, "a", 10, ["x", "y", "z", "x"]), (2, "a", 251, ["x"]), (3, "b", 130, ["x", None]), (4, "a", 10, []), (5, "a", 10, None), (6, "a", None, ["x"]), (7, None, 10, ["x"]), (8, "a", -110, ["x", "q"])]
+    got = overlap_near(spark.createDataFrame(quotes, "i int, s string, t long, u array<string>"), spark.createDataFrame(lines, "s string, t long, u array<string>"), "i", "s", "t", "u", 120)
+    assert rows(got) == [(1, 1.0), (3, 1.0), (8, 0.5)]
+
+
 @pytest.mark.parametrize(("patterns", "scanned"), [(2_000_000, 8_000_000), (60, 150)])
 def test_contained_texts_are_decided_in_rounds(spark, monkeypatch, patterns, scanned):
     """Keys with chains of texts that wait for one another, in one piece and in many."""
