@@ -11,6 +11,7 @@ from loomwright.operators import retrieval as R
 from loomwright.operators import windows as W
 from loomwright.operators.containment import held_quotes
 from loomwright.operators.graph import connected_components
+from loomwright.operators.index import Index
 from loomwright.operators.nearest import nearest_cosine
 
 from .registry import query
@@ -66,6 +67,16 @@ def _(t):
     return W.top_per_group(s, ["query"], [F.desc("score"), "doc"], 5)
 
 
+_KEPT = "WHERE source <> 'src1'"
+
+
+@query("ir2_stored_index", f"WITH {_bm25_sql(_KEPT, 'SELECT item_id AS query, text AS q FROM benchmark')} SELECT query, doc, round(score, 4) AS score, k::INT AS place FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY round(score, 4) DESC, doc) AS k FROM scored) WHERE k <= 5")
+def _(t):
+    """The five best documents for every item, from a stored index: built of English texts, the others appended, one source deleted."""
+    built = Index.build(t.documents.where("lang = 'en'"), "doc_id", "text").append(t.documents.where("lang <> 'en'"), "doc_id", "text")
+    return built.delete(t.documents.where("source = 'src1'"), "doc_id").search(t.benchmark, "item_id", "text", 5)
+
+
 @query("ir3_boost_falsy", f"WITH {_bm25_sql()} SELECT doc, round(score * coalesce(nullif(boost, 0), 1), 4) AS score FROM scored JOIN (SELECT doc_id, (doc_id % 3) / 2 AS boost FROM documents) ON doc = doc_id WHERE score > 0")
 def _(t):
     """A boost of 0 or null means 1."""

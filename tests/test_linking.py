@@ -281,3 +281,30 @@ def test_dictionary_queries_have_many_terms(spark):
         low = text.lower()
         want = Counter(long.findall(low)) + (Counter(short.findall(low)) if "license" in low or "password" in low else Counter())
         assert by[i] == want
+
+
+def test_stored_index_equals_scoring_all(spark, monkeypatch):
+    """Small blocks, appended and deleted documents, one query and many; the floor leaves blocks unread."""
+    from loomwright.operators import index
+    from loomwright.operators import retrieval as R
+    from loomwright.operators.windows import top_per_group
+
+    monkeypatch.setattr(index, "BLOCK", 20)
+    monkeypatch.setattr(index, "FIRST", 2)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    odd = spark.createDataFrame([(9000, None), (9001, ""), (9002, "the"), (9003, "帧率 the"), (None, "the theory of the thing")], "doc_id long, text string")
+    made = index.Index.build(docs, "doc_id", "text").append(odd, "doc_id", "text")
+    queries = spark.read.parquet(f"{SF}/benchmark.parquet").select(F.col("item_id").alias("q"), "text").limit(12).unionByName(spark.createDataFrame([(-1, ""), (-2, None), (-3, "帧率")], "q long, text string"))
+
+    def want(table, k):
+        s = R.bm25(table, queries, "doc_id", "text", "q", "text").withColumn("score", F.round("score", 4))
+        return rows(top_per_group(s, ["query"], [F.desc("score"), "doc"], k).select("query", "doc", "score"))
+
+    found = lambda x, k: rows(x.search(queries, "q", "text", k).select("query", "doc", "score"))
+    assert found(made, 3) == want(docs.unionByName(odd), 3)
+    made = made.delete(docs.where("doc_id % 3 = 0"), "doc_id").delete(odd.where("doc_id = 9002"), "doc_id")
+    left = docs.where("doc_id % 3 <> 0").unionByName(odd.where("doc_id is null or doc_id <> 9002"))
+    assert found(index.Index(spark, made.folder), 5) == want(left, 5)
+    assert found(made.append(docs.where("doc_id = 3"), "doc_id", "text"), 1) == want(left.unionByName(docs.where("doc_id = 3")), 1)
+    assert index.Index.build(docs.limit(0), "doc_id", "text").search(queries, "q", "text", 3).count() == 0
+    assert index.Index.build(odd.where("doc_id < 9002"), "doc_id", "text").search(queries, "q", "text", 3).count() == 0
