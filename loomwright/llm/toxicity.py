@@ -125,6 +125,10 @@ class Model:
     def __post_init__(self) -> None:
         self.sides = None
 
+    def fresh(self) -> Model:
+        """This model without memory of windows: a task's memory of them ends with the task, and not with its worker."""
+        return Model(self.ordinary, self.toxic, self.table, self.weights)
+
     def hits(self, text: str | None) -> tuple[list[float], int]:
         """Weights of a text's hits, and its number of windows."""
         parts = windows(text)
@@ -326,7 +330,7 @@ def score(df: DataFrame, model: Model, id_column: str = "doc_id", text_column: s
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
-        model = shared.value
+        model = shared.value.fresh()
         for batch in steps(batches):
             got = [model.score(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(got, pa.float64()), pa.array([int(s >= 0.5) for s in got], pa.int32())], ["doc_id", "held_out", "score", "predicted"])
@@ -342,7 +346,7 @@ def keep_ordinary(df: DataFrame, model: Model, text_column: str = "text") -> Dat
     place = df.columns.index(text_column)
 
     def run(batches):
-        model = shared.value
+        model = shared.value.fresh()
         for batch in steps(batches):
             yield batch.filter(pa.array([model.score(t) < 0.5 for t in batch.column(place).to_pylist()], pa.bool_()))
 
