@@ -237,7 +237,7 @@ def test_empty_tables(spark, folder, tmp_path):
     """Each query returns its columns and no row (op2: only the added conversation)."""
     for name in ("documents", "labels", "conversations", "pages", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len(run(spark, str(tmp_path), n)) == (n == 2)
     import corpus_pipeline
 
