@@ -340,7 +340,8 @@ def score(df: DataFrame, model: Model, id_column: str = "doc_id", text_column: s
 
 
 def keep_ordinary(df: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
-    """The documents (all their columns) that are not predicted to be toxic; no shuffle."""
+    """The documents (all their columns) that are not predicted to be toxic; no shuffle. Null and empty texts have the score of no hits
+    (and stay, unless most labels are toxic); repeated rows are judged each, an empty table stays empty."""
     ship_package(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
     place = df.columns.index(text_column)

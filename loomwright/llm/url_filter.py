@@ -8,7 +8,7 @@ A host is what lies between the first ``://`` and the next ``/``, ``?``, ``#`` o
 the path goes on up to ``?``, ``#`` or the end. Null, and URLs without ``://``, have empty hosts and paths.
 Ports and user names count as part of the host, so a rule fits only a host that ends with its labels.
 The trie is broadcast; its number of rules is checked against ``MAX_RULES``. Repeated rows are judged
-each. An empty table gives an empty result; no rules give the default for all.
+each, very long URLs as a whole. Columns beside id and URL are ignored. An empty table gives an empty result; no rules give the default for all.
 """
 
 from __future__ import annotations
