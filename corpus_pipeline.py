@@ -3,6 +3,10 @@ that hold benchmark passages, pack the rest into training sequences.
 
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and is written as Parquet
 and read again before the next one. All but the last return the columns of ``documents``.
+
+Null and empty texts pass all filters; as documents without shingles they are near copies of nothing, and each is packed as its end
+id. Null ids stay. Repeated rows are near copies of one another, so one of them stays. Very long texts are handled whole by each stage.
+Other columns of ``documents``, whatever their names, go along up to the last stage. Empty tables give an empty result.
 """
 
 from __future__ import annotations
