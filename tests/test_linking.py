@@ -308,3 +308,26 @@ def test_stored_index_equals_scoring_all(spark, monkeypatch):
     assert found(made.append(docs.where("doc_id = 3"), "doc_id", "text"), 1) == want(left.unionByName(docs.where("doc_id = 3")), 1)
     assert index.Index.build(docs.limit(0), "doc_id", "text").search(queries, "q", "text", 3).count() == 0
     assert index.Index.build(odd.where("doc_id < 9002"), "doc_id", "text").search(queries, "q", "text", 3).count() == 0
+
+
+def test_only_what_a_rule_has_changed_is_read_again(monkeypatch):
+    """Rules that all change a long text; and the result is that of one ``re.sub`` after the other."""
+    import random
+    import re
+
+    from loomwright.operators.rewriting import Rules
+
+    read = []
+    able = Rules._able
+    monkeypatch.setattr(Rules, "_able", lambda self, text, after: read.append(len(text)) or able(self, text, after))
+    rules = [(rf"\bword{i:02}\b", f"other{i:02}") for i in range(50)]
+    text = "filler " * 1000 + " ".join(f"word{i:02}" for i in range(50))
+    assert Rules(rules).apply(text)[0] == text.replace("word", "other") and sum(read) < 2 * len(text)
+    rng = random.Random(1)
+    patterns = ["a", "(?<=b)a", "^ab", "b$", "(?=ab)a", "a*b", "(a|b)c", "(?i)ab", r"\bab", "x*", "", "(?m)^a", "b(?!a)", "(?<!a)b+", "(a)?b"]
+    for _ in range(2000):
+        some = [(rng.choice(patterns), rng.choice(["", "b", "ab", "c", r"\g<0>a"])) for _ in range(rng.randint(1, 6))]
+        text = want = "".join(rng.choice("abcAB \n") for _ in range(rng.randint(0, 14)))
+        for p, r in some:
+            want = re.sub(p, r, want)
+        assert Rules(some).apply(text)[0] == want
