@@ -11,6 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _PACKAGE = Path(__file__).resolve().parent
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,11 +48,17 @@ def new_folder(spark: SparkSession, what: str) -> str:
 
 def written(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back: lineage ends here,
-    and no executor has to be alive for a later read."""
+    and no executor has to be alive for a later read. Spark deletes the shuffle files of the write when it is done, else they
+    would stay until the driver collects garbage."""
     spark = df.sparkSession
     path = new_folder(spark, what)
     schema = df.schema
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(schema).parquet(path)
     out._stored_at = path
     return out

@@ -240,3 +240,13 @@ def test_query_equals_sql(spark, duck, name):
 def test_other_queries_have_rows(spark, name):
     """What they return is compared in test_brute.py and above; here every one has rows."""
     assert plans.QUERIES[name](spark, SF).count() > 0
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    from loomwright.session import forget, written
+
+    held = lambda: {str(f) for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if "shuffle_" in str(f)}
+    before = held()
+    stored = written(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count(), "counts")
+    assert not held() - before and stored.count() == 7
+    forget(stored)
