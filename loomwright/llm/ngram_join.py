@@ -13,7 +13,7 @@ of lists. A set of under 4 shingles equals only equal sets.
 
 Steps: (1) sizes, signatures and sketches of all documents, and numbers of sets that hold a shingle;
 (2) postings, packed by bucket of their key; (3) in each bucket, the sets of a list that sizes allow to be similar are
-paired if the list has at most ``SHORT``, so that each pair can be judged: a sketch has the parity of a set's shingles in
+paired if the list has at most ``PAIRED``, so that each pair can be judged: a sketch has the parity of a set's shingles in
 about as many places as it has shingles, and where two sketches differ in more places than similar sets may
 differ in shingles, the pair goes. That is exact, and leaves hardly any pair that only shares a shingle or two. Sets of
 a longer list are linked to their neighbours by size, which connects all that can be similar and needs no pairs, and
@@ -49,8 +49,10 @@ NUM, DEN = 80, 100
 CHUNK, AT_ONCE, POSTINGS, SETS_AT_ONCE = 1_000_000, 2_000_000, 750_000, 20_000
 #: Bytes of text whose shingles one task counts, and one group of them.
 COUNTED, GROUPED = 64_000_000, 4_000_000
-#: Sets of a list that are paired: ten pairs at most for a list of five.
-SHORT = 5
+#: Sets of one size that a task leaves unlinked under a key; sets of a list that are paired, and pairs of a bucket: beyond either, lists
+#: are linked by neighbours. Shingles of up to some dozen sets stay unranked where more than ``FREQUENT`` are more frequent, and links of
+#: neighbours over such lists would connect most of the corpus.
+SHORT, PAIRED, PAIRS = 5, 32, 1_000_000
 HUB = np.uint32(1 << 31)
 #: A shingle of so many sets may rank as frequent; frequent shingles that are broadcast at most (16 bytes
 #: each, and a mask of 16 MB); bits of the filter of step 5 (16 MB, whatever the corpus).
@@ -261,8 +263,8 @@ def choose_boundary(sizes: dict[int, int], partners: float) -> int:
 def _postings(df: DataFrame, order, boundary: int, buckets: int) -> DataFrame:
     """Step 2: blocks of postings by bucket: keys, places in the block's table of sets, sets, sizes.
 
-    Where more than ``SHORT`` sets of one size in a block have a key, they are linked to the first of them here (bucket
-    -1: keys and sets hold the links' ends), and only that one is posted, marked as a hub (``HUB`` in its place): a hot
+    Where more than ``SHORT`` sets of one size in a block have a key, they are linked to the first of them here (a bucket
+    below 0: keys and sets hold the links' ends), and only that one is posted, marked as a hub (``HUB`` in its place): a hot
     key's list has a posting for each block and size, whatever the number of its sets."""
 
     def emit(keys, sets, sizes):
@@ -283,7 +285,7 @@ def _postings(df: DataFrame, order, boundary: int, buckets: int) -> DataFrame:
         by = np.argsort(bucket, kind="stable")
         key, who, bucket, hub = key[by], who[by], bucket[by], hub[by]
         edge = np.searchsorted(bucket, np.arange(buckets + 1))
-        rows = [(-1, stars[:, 0].tobytes(), b"", stars[:, 1].tobytes(), b"")] if len(stars) else []
+        rows = [(-1 - int(stars[0, 0]) % buckets, stars[:, 0].tobytes(), b"", stars[:, 1].tobytes(), b"")] if len(stars) else []
         for b in range(buckets):
             part = slice(edge[b], edge[b + 1])
             if edge[b] < edge[b + 1]:
@@ -324,6 +326,9 @@ def _links(blocks: DataFrame, tasks: int) -> DataFrame:
         import pandas as pd
 
         release()  # what the group before has freed
+        if pdf["bucket"].iloc[0] < 0:
+            a, b = (np.concatenate([np.frombuffer(x, np.int64) for x in pdf[c]]) for c in ("keys", "sets"))
+            return pd.DataFrame({"a": a, "b": b, "n": 0, "m": 0, "long": True})
         key = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["keys"]])
         shift = np.cumsum([0, *(len(x) // 8 for x in pdf["sets"])])
         place = [np.frombuffer(x, np.uint32) for x in pdf["at"]]
@@ -346,10 +351,15 @@ def _links(blocks: DataFrame, tasks: int) -> DataFrame:
         key, node, size, hubs = key[new], node[new], size[new], hubs[new]
         start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
         members = np.diff(np.concatenate([start, [len(key)]]))
-        many = np.repeat(members > SHORT, members) | hubs
-        pairs = []
-        for d in range(1, SHORT):
-            i = np.flatnonzero((key[d:] == key[:-d]) & ~many[:-d] & (NUM * size[d:] <= DEN * size[:-d]))
+        # Lists are paired from the shortest on, as long as the bucket's pairs are not too many.
+        by_length = np.bincount(members, minlength=PAIRED + 1)[: PAIRED + 1] * np.arange(PAIRED + 1) * np.arange(-1, PAIRED) // 2
+        paired = int(np.flatnonzero(np.cumsum(by_length) <= PAIRS)[-1])
+        many = np.repeat(members > paired, members) | hubs
+        after = np.repeat(start + members, members) - np.arange(len(key)) - 1
+        pairs, i = [np.zeros((0, 4), np.int64)], np.flatnonzero(~many)
+        for d in range(1, PAIRED):
+            i = i[after[i] >= d]
+            i = i[NUM * size[i + d] <= DEN * size[i]]  # sizes ascend: what is too large now stays so
             pairs.append(np.column_stack([node[i], node[i + d], size[i], size[i + d]]))
         pairs = np.unique(np.concatenate(pairs), axis=0)
         i = np.flatnonzero((key[1:] == key[:-1]) & many[:-1] & (NUM * size[1:] <= DEN * size[:-1]))
@@ -370,17 +380,8 @@ def _links(blocks: DataFrame, tasks: int) -> DataFrame:
         tree = pd.DataFrame({"a": nodes, "b": np.array([root(x) for x in parent], np.int64), "n": 0, "m": 0, "long": True})
         return pd.concat([pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1], "n": pairs[:, 2], "m": pairs[:, 3], "long": False}), tree])
 
-    def stars(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (np.concatenate([np.frombuffer(x, np.int64) for x in batch.column(i).to_pylist()]) for i in (0, 1))
-            zero = pa.array(np.zeros(len(a), np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), zero, zero, pa.array(np.ones(len(a), bool))], ["a", "b", "n", "m", "long"])
-
     schema = "a long, b long, n long, m long, long boolean"
-    lists = blocks.where("bucket >= 0").repartition(tasks, "bucket").groupBy("bucket").applyInPandas(run, schema)
-    return lists.unionByName(blocks.where("bucket = -1").select("keys", "sets").mapInArrow(stars, schema)).distinct()
+    return blocks.repartition(tasks, "bucket").groupBy("bucket").applyInPandas(run, schema).distinct()
 
 
 def _judged(pairs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -549,9 +550,9 @@ def _classes(df: DataFrame) -> DataFrame:
     boundary = choose_boundary(sizes, partners)
     buckets = max(12, -(-total * 22 // 100 // POSTINGS))
 
-    blocks = written(_postings(docs, order, boundary, buckets), "postings")
-    links = written(_links(blocks, max(least, buckets // 2)), "links")
-    forget(blocks, counts)
+    # Postings are read once, so they lie on disk once: as the shuffle's files.
+    links = written(_links(_postings(docs, order, boundary, buckets), max(least, buckets // 2)), "links")
+    forget(counts)
     judged = _judged(links.where("not long").select("a", "b", "n", "m"), rows)
     found = connected_components(judged.unionByName(links.where("long").select("a", "b")))
     sizes_of = rows.where("tokens is not null").select("node", "n").distinct()

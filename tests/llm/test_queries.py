@@ -309,3 +309,14 @@ def test_equal_rows_are_ranked_in_many_buckets(spark):
     per = got.groupBy("sequence_id").agg({"length": "sum", "offset": "max"}).collect()
     assert got.count() == 90_000 and max(r["sum(length)"] for r in per) <= 2048
     assert len(got.select("sequence_id", "offset").distinct().collect()) == 90_000
+
+
+def test_lists_of_a_dozen_sets_are_paired(spark):
+    """Their sets are judged by pairs, not linked to their neighbours."""
+    import numpy as np
+
+    row = (0, np.full(8, 77, np.uint64).tobytes(), np.arange(8, dtype=np.uint32).tobytes(), np.arange(1, 9).tobytes(), np.full(8, 20, np.int32).tobytes())
+    stars = (-3, np.array([5], np.int64).tobytes(), b"", np.array([4], np.int64).tobytes(), b"")
+    blocks = spark.createDataFrame([row, stars], "bucket int, keys binary, at binary, sets binary, sizes binary")
+    got = sorted(map(tuple, ngram_join._links(blocks, 2).collect()))
+    assert got == sorted([(a, b, 20, 20, False) for a in range(1, 9) for b in range(a + 1, 9)] + [(5, 4, 0, 0, True)])
