@@ -11,6 +11,7 @@ of any length are read as they are. Without terms or texts the result is empty.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from loomwright.session import ship_package, written
+from loomwright.session import forget, ship_package, written
 
 from .containment import automaton_of, held_quotes, quote_blocks
 
@@ -86,10 +87,64 @@ def _without_overlap(best: dict[int, tuple[int, int]]) -> Iterator[tuple[int, in
             yield start, best[start][1]
 
 
+#: What ends a run of a text's characters: ASCII without digits and letters. A text with a run of so many characters is read by blocks.
+SEPARATORS, LONG_RUN = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F", 10_000
+
+
 def longest_occurrences(texts: DataFrame, keys: list[str], text: str, terms: DataFrame, term: str) -> DataFrame:
     """(``keys``, start, ``term``) of the occurrences that an alternation of all terms, longest first, finds from left to right:
-    at each place the longest term, then on behind it. Where terms fill several blocks, a text's longest match at each place goes along from
-    block to block. No shuffle but for the terms' own names."""
+    at each place the longest term, then on behind it. Terms without separators lie within runs, so each distinct run is decided once
+    (``_by_runs``); where some term has a separator, and in texts with very long runs, texts are read by blocks of terms (``_by_blocks``)."""
+    terms = written(terms.where(F.length(term) > 0).select(term).distinct(), "terms")
+    if not terms.where(F.col(term).rlike(f"[{SEPARATORS}]")).isEmpty():
+        return _by_blocks(texts, keys, text, terms, term)
+    long = F.col(text).rlike(f"[^{SEPARATORS}]{{{LONG_RUN}}}")
+    by_runs = _by_runs(texts.where(~long), keys, text, terms, term)
+    few = texts.where(long)
+    return by_runs if few.isEmpty() else by_runs.unionByName(_by_blocks(few, keys, text, terms, term))
+
+
+def _runs(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """(``keys``, _at, _run): runs of each text with their places, repeated ones each."""
+    source = texts.select(*keys, F.col(text).alias("_text")).where("_text is not null")
+    n = len(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = re.compile(f"[^{SEPARATORS}]+")
+        for big in batches:
+            for k in range(0, big.num_rows, 500):
+                batch = big.slice(k, 500)
+                held = [(i, m.start(), m.group()) for i, s in enumerate(batch.column(n).to_pylist()) for m in found.finditer(s)]
+                at, starts, runs = zip(*held) if held else ((), (), ())
+                places = pa.array(at, pa.int64())
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(places) for c in range(n)), pa.array(starts, pa.int64()), pa.array(runs, pa.string())], [*keys, "_at", "_run"])
+
+    return source.mapInArrow(run, StructType([*(source.schema[k] for k in keys), StructField("_at", LongType()), StructField("_run", StringType())]))
+
+
+def _by_runs(texts: DataFrame, keys: list[str], text: str, terms: DataFrame, term: str) -> DataFrame:
+    """No automaton and nothing broadcast: distinct runs' parts meet the terms in an equi-join, the choice is made in each run, and runs of
+    texts meet their run's choice by a hash."""
+    ship_package(texts.sparkSession)
+    known = terms.select(F.col(term).alias("t"))
+    sizes = sorted(r["n"] for r in known.select(F.length("t").alias("n")).distinct().collect())
+    rows = _runs(texts, keys, text).where(F.length("_run") >= (sizes[0] if sizes else 1))
+    kinds = rows.select("_run").distinct().select("_run", F.xxhash64("_run").alias("_r"))
+    starts = kinds.select("_run", "_r", F.explode(F.sequence(F.lit(1), F.length("_run") - F.lit(sizes[0] if sizes else 1) + 1)).alias("_i"))
+    fitting = F.filter(F.array(*map(F.lit, sizes)).cast("array<int>"), lambda n: n <= F.length("_run") - F.col("_i") + 1)
+    parts = starts.select("_run", "_r", "_i", F.explode(fitting).alias("_n"))
+    met = parts.select("_r", "_i", "_n", F.expr("substring(_run, _i, _n)").alias("t")).join(known, "t")
+    # At a start the longest comes first; what begins before the end of the last one taken is passed over.
+    held = met.groupBy("_r").agg(F.array_sort(F.collect_list(F.struct("_i", (-F.col("_n")).alias("m"), "t"))).alias("h"))
+    taken = "aggregate(h, struct(0 AS upto, cast(array() AS array<struct<_i: int, t: string>>) AS kept), (s, x) -> if(x._i >= s.upto, struct(x._i - x.m AS upto, concat(s.kept, array(struct(x._i AS _i, x.t AS t))) AS kept), s)).kept"
+    chosen = written(held.select("_r", F.expr(taken).alias("kept")), "chosen")
+    found = rows.select(*keys, "_at", F.xxhash64("_run").alias("_r")).join(chosen, "_r").select(*keys, "_at", F.explode("kept").alias("x"))
+    return found.select(*keys, (F.col("_at") + F.col("x._i") - 1).alias("start"), F.col("x.t").alias(term))
+
+
+def _by_blocks(texts: DataFrame, keys: list[str], text: str, terms: DataFrame, term: str) -> DataFrame:
+    """One pass over the texts for each block of terms. A text's longest match at each place goes along from
+    block to block, by a stored table, so that a worker holds one block's automaton at a time. No shuffle but for the terms' own names."""
     spark = texts.sparkSession
     ship_package(spark)
     distinct = written(terms.where(F.length(term) > 0).select(F.xxhash64(term).alias("_q"), F.col(term).alias("_quote")).distinct(), "terms")
@@ -125,7 +180,10 @@ def longest_occurrences(texts: DataFrame, keys: list[str], text: str, terms: Dat
     for k, block in enumerate(blocks):
         last = k == len(blocks) - 1
         schema = StructType([*fields, *(RESULT if last else CARRIED)])
-        out = out.mapInArrow(scan(block, k == 0, last), schema)
+        before, out = out, out.mapInArrow(scan(block, k == 0, last), schema)
+        if not last:
+            out = written(out, "carried")
+            forget(before)
     return out.join(distinct, "_q").select(*keys, "start", F.col("_quote").alias(term))
 
 

@@ -331,3 +331,24 @@ def test_only_what_a_rule_has_changed_is_read_again(monkeypatch):
         for p, r in some:
             want = re.sub(p, r, want)
         assert Rules(some).apply(text)[0] == want
+
+
+def test_many_terms_fill_no_worker(spark, monkeypatch):
+    """Terms without separators are found by runs, whatever the blocks, as an alternation finds them; others, and long runs, by blocks."""
+    import re
+
+    monkeypatch.setattr(containment, "BLOCK_BYTES", 40)
+    blocks = []
+    monkeypatch.setattr(dictionary, "quote_blocks", lambda d: blocks.append(1) or containment.quote_blocks(d))
+    texts = [(1, "abcabcab, xabc-äbc"), (2, None), (3, ""), (4, "bcabc abca"), (4, "bcabc abca"), (5, "ab\U0001f600bc c.a")]
+    t = spark.createDataFrame(texts, "id long, body string")
+    for terms, by_blocks in ((["ab", "abc", "bca", "ca", "äb", "c", "abcabc"], 0), (["ab", "c.a", "abc", "c a", "bc"], 1)):
+        found = re.compile("|".join(map(re.escape, sorted(terms, key=len, reverse=True))))
+        want = sorted((i, m.start(), m.group()) for i, s in texts for m in found.finditer(s or ""))
+        g = spark.createDataFrame([(x,) for x in terms], "term string")
+        assert sorted(map(tuple, dictionary.longest_occurrences(t, ["id"], "body", g, "term").collect())) == want
+        assert len(blocks) == by_blocks
+    monkeypatch.setattr(dictionary, "LONG_RUN", 5)
+    g = spark.createDataFrame([("ab",), ("abc",), ("bca",)], "term string")
+    want = sorted((i, m.start(), m.group()) for i, s in texts for m in re.finditer("abc|bca|ab", s or ""))
+    assert sorted(map(tuple, dictionary.longest_occurrences(t, ["id"], "body", g, "term").collect())) == want and len(blocks) == 2
