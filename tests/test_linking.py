@@ -352,3 +352,28 @@ def test_many_terms_fill_no_worker(spark, monkeypatch):
     g = spark.createDataFrame([("ab",), ("abc",), ("bca",)], "term string")
     want = sorted((i, m.start(), m.group()) for i, s in texts for m in re.finditer("abc|bca|ab", s or ""))
     assert sorted(map(tuple, dictionary.longest_occurrences(t, ["id"], "body", g, "term").collect())) == want and len(blocks) == 2
+
+
+def test_stored_index_search_ships_only_the_best_of_each_block(spark, monkeypatch):
+    """Many queries don't multiply postings: what leaves the blocks is bounded by blocks, queries and ``k``. A few queries have a floor.
+    Queries without room in one portion are searched in several."""
+    from loomwright.operators import index
+    from loomwright.operators import retrieval as R
+    from loomwright.operators.windows import top_per_group
+
+    monkeypatch.setattr(index, "BLOCK", 50)
+    monkeypatch.setattr(index, "FIRST", 1)
+    seen = []
+    monkeypatch.setattr(index, "top_per_group", lambda df, *a: seen.append(df.count()) or top_per_group(df, *a))
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    queries = spark.read.parquet(f"{SF}/benchmark.parquet").select(F.col("item_id").alias("q"), "text").limit(12)
+    made = index.Index.build(docs, "doc_id", "text").delete(docs.where("doc_id % 4 = 1"), "doc_id")
+    left = docs.where("doc_id % 4 <> 1")
+    for asked, cells in ((queries, 4_000_000), (queries, 2_000), (queries.limit(2).unionByName(spark.createDataFrame([(None, "the text")], queries.schema)), 4_000_000)):
+        monkeypatch.setattr(index, "ASKED", cells)
+        seen.clear()
+        s = R.bm25(left, asked, "doc_id", "text", "q", "text").withColumn("score", F.round("score", 4))
+        want = rows(top_per_group(s, ["query"], [F.desc("score"), "doc"], 3).select("query", "doc", "score"))
+        assert rows(made.search(asked, "q", "text", 3).select("query", "doc", "score")) == want
+        blocks = made._documents().count()
+        assert max(seen) <= blocks * asked.count() * (3 + 1)
