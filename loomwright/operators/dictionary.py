@@ -1,8 +1,9 @@
-"""Linking texts with a table of terms: one automaton over the terms, one pass over the texts.
+"""Linking texts with a table of terms, which may be as many as the texts' own words.
 
-Terms may be many: they are dealt into blocks of a bounded size (see ``containment``), each of which is one automaton and one more
-pass. Which terms a text holds comes from ``held_quotes``; here are the choices among them: leftmost-longest occurrences that
-don't overlap, one mention for each canonical name, and so many of a text by a count over all texts.
+Terms without separators lie within runs of a text's letters and digits, so each distinct run is decided once, in joins. Where some term
+has a separator, and in texts with very long runs, terms are dealt into blocks of a bounded size (see ``containment``), each of which is
+one automaton and one more pass. Here are also the choices among terms: leftmost-longest occurrences that don't overlap, one
+mention for each canonical name, and so many of a text by a count over all texts.
 
 Null texts hold nothing; null or empty terms are left out. Case is the caller's. Rows of equal terms are linked each, except where
 an operator says which of them counts. Repeated rows of texts are linked each (their keys tell them apart, or not). Texts
@@ -32,10 +33,54 @@ def index_terms(terms: DataFrame, term: str, order: list) -> DataFrame:
     return known.withColumn("_k", F.row_number().over(w)).withColumn("_n", F.count("*").over(Window.partitionBy(term))).where("_k = _n").drop("_k", "_n")
 
 
-def held_terms(texts: DataFrame, keys: list[str], text: str, terms: DataFrame, term: str) -> DataFrame:
-    """(``keys``, all columns of ``terms``) for each text and each term that it holds."""
-    known = terms.where(F.length(term) > 0)
-    return held_quotes(texts, keys, text, known.withColumn("_term", F.col(term)), "_term")
+def held_terms(texts: DataFrame, keys: list[str], text: str, terms: DataFrame, term: str, repeated: bool = False) -> DataFrame:
+    """(``keys``, all columns of ``terms``) for each text and each term that it holds. ``repeated``: a term may come again for a text, once for
+    each distinct run that holds it, which saves a shuffle where the next step makes them one anyway."""
+    known = written(terms.where(F.length(term) > 0), "terms")
+    by_blocks = lambda few: held_quotes(few, keys, text, known.withColumn("_term", F.col(term)), "_term")
+    if not known.where(F.col(term).rlike(f"[{SEPARATORS}]")).isEmpty():
+        return by_blocks(texts)
+    by_runs = _held_by_runs(texts, keys, text, known, term, repeated)
+    few = _with_long_runs(texts, keys, text)
+    return by_runs if few.isEmpty() else by_runs.unionByName(by_blocks(few))
+
+
+def _held_by_runs(texts: DataFrame, keys: list[str], text: str, terms: DataFrame, term: str, repeated: bool) -> DataFrame:
+    """Distinct runs' parts meet the terms in an equi-join, and each text's distinct runs their run's terms by a hash."""
+    sizes = _sizes(terms, term)
+    ship_package(texts.sparkSession)
+    own = [*keys, "_row"]
+    rows = _runs(texts.withColumn("_row", F.monotonically_increasing_id()), own, text, sizes[0] if sizes else 1, True).select(*own, "_run")
+    kinds = rows.select("_run").distinct().select("_run", F.xxhash64("_run").alias("_r"))
+    # Rows of equal terms stay apart by a number, and a term that is twice in a run is one.
+    each = terms.select(F.col(term).alias("_t"), F.struct(F.monotonically_increasing_id().alias("_n"), *terms.columns).alias("_x"))
+    held = _parts(kinds, sizes).select("_r", F.col("t").alias("_t")).join(each, "_t").groupBy("_r").agg(F.collect_set("_x").alias("_x"))
+    found = rows.select(*keys, "_row", F.xxhash64("_run").alias("_r")).join(written(held, "held"), "_r").select(*keys, "_row", F.explode("_x").alias("_x")).select(*keys, "_row", "_x.*")
+    return (found if repeated else found.distinct()).select(*keys, *terms.columns)
+
+
+def _with_long_runs(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """(``keys``, ``text``) of the texts that ``_runs`` passes over. A run is read from its start only."""
+    source = texts.select(*keys, text).where(F.length(text) >= LONG_RUN)
+    least, n = LONG_RUN, len(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = re.compile(f"(?:^|[{SEPARATORS}])[^{SEPARATORS}]{{{least}}}")
+        for batch in batches:
+            yield batch.filter(pa.array([bool(found.search(s)) for s in batch.column(n).to_pylist()], pa.bool_()))
+
+    return source.mapInArrow(run, source.schema)
+
+
+def _sizes(terms: DataFrame, term: str) -> list[int]:
+    return sorted(r["n"] for r in terms.select(F.length(term).alias("n")).distinct().collect())
+
+
+def _parts(kinds: DataFrame, sizes: list[int]) -> DataFrame:
+    """(_r, _i, _n, t): the parts of runs (_run, _r) that are as long as some term, from place ``_i`` on."""
+    starts = kinds.select("_run", "_r", F.explode(F.sequence(F.lit(1), F.length("_run") - F.lit(sizes[0] if sizes else 1) + 1)).alias("_i"))
+    fitting = F.filter(F.array(*map(F.lit, sizes)).cast("array<int>"), lambda n: n <= F.length("_run") - F.col("_i") + 1)
+    return starts.select("_run", "_r", "_i", F.explode(fitting).alias("_n")).select("_r", "_i", "_n", F.expr("substring(_run, _i, _n)").alias("t"))
 
 
 def one_mention(held: DataFrame, keys: list[str], term: str, canonical: str, order: str) -> DataFrame:
@@ -47,6 +92,7 @@ def one_mention(held: DataFrame, keys: list[str], term: str, canonical: str, ord
 def typed(terms: DataFrame, term: str, canonical: str, priority: str) -> DataFrame:
     """One row (term, canonical, priority) for each term: a canonical name has its best priority (the least), and a term
     belongs to the canonical name of best priority (of equal ones the first by name)."""
+    terms = written(terms, "terms")
     best = terms.groupBy(canonical).agg(F.min(priority).alias("_p"))
     every = terms.select(term, canonical).unionByName(terms.select(F.col(canonical).alias(term), canonical)).where(F.length(term) >= 2).distinct()
     chosen = every.join(best, canonical).groupBy(term).agg(F.min(F.struct("_p", canonical)).alias("m"))
@@ -98,23 +144,30 @@ def longest_occurrences(texts: DataFrame, keys: list[str], text: str, terms: Dat
     terms = written(terms.where(F.length(term) > 0).select(term).distinct(), "terms")
     if not terms.where(F.col(term).rlike(f"[{SEPARATORS}]")).isEmpty():
         return _by_blocks(texts, keys, text, terms, term)
-    long = F.col(text).rlike(f"[^{SEPARATORS}]{{{LONG_RUN}}}")
-    by_runs = _by_runs(texts.where(~long), keys, text, terms, term)
-    few = texts.where(long)
+    by_runs = _by_runs(texts, keys, text, terms, term)
+    few = _with_long_runs(texts, keys, text)
     return by_runs if few.isEmpty() else by_runs.unionByName(_by_blocks(few, keys, text, terms, term))
 
 
-def _runs(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """(``keys``, _at, _run): runs of each text with their places, repeated ones each."""
+def _runs(texts: DataFrame, keys: list[str], text: str, least: int, once: bool = False) -> DataFrame:
+    """(``keys``, _at, _run): runs of each text, of ``least`` characters or more, with their places; repeated ones each, or ``once`` (the last).
+    Texts with a run of ``LONG_RUN`` are passed over."""
     source = texts.select(*keys, F.col(text).alias("_text")).where("_text is not null")
-    n = len(keys)
+    n, most = len(keys), LONG_RUN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = re.compile(f"[^{SEPARATORS}]+")
+        found = re.compile(f"[^{SEPARATORS}]{{{least},}}")
+
+        def of(s: str) -> list[tuple[int, str]]:
+            held = [(m.start(), m.group()) for m in found.finditer(s)]
+            if len(s) >= most and any(len(r) >= most for _, r in held):
+                return []
+            return [(a, r) for r, a in {r: a for a, r in held}.items()] if once else held
+
         for big in batches:
             for k in range(0, big.num_rows, 500):
                 batch = big.slice(k, 500)
-                held = [(i, m.start(), m.group()) for i, s in enumerate(batch.column(n).to_pylist()) for m in found.finditer(s)]
+                held = [(i, a, r) for i, s in enumerate(batch.column(n).to_pylist()) for a, r in of(s)]
                 at, starts, runs = zip(*held) if held else ((), (), ())
                 places = pa.array(at, pa.int64())
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).take(places) for c in range(n)), pa.array(starts, pa.int64()), pa.array(runs, pa.string())], [*keys, "_at", "_run"])
@@ -127,13 +180,10 @@ def _by_runs(texts: DataFrame, keys: list[str], text: str, terms: DataFrame, ter
     texts meet their run's choice by a hash."""
     ship_package(texts.sparkSession)
     known = terms.select(F.col(term).alias("t"))
-    sizes = sorted(r["n"] for r in known.select(F.length("t").alias("n")).distinct().collect())
-    rows = _runs(texts, keys, text).where(F.length("_run") >= (sizes[0] if sizes else 1))
+    sizes = _sizes(known, "t")
+    rows = _runs(texts, keys, text, sizes[0] if sizes else 1)
     kinds = rows.select("_run").distinct().select("_run", F.xxhash64("_run").alias("_r"))
-    starts = kinds.select("_run", "_r", F.explode(F.sequence(F.lit(1), F.length("_run") - F.lit(sizes[0] if sizes else 1) + 1)).alias("_i"))
-    fitting = F.filter(F.array(*map(F.lit, sizes)).cast("array<int>"), lambda n: n <= F.length("_run") - F.col("_i") + 1)
-    parts = starts.select("_run", "_r", "_i", F.explode(fitting).alias("_n"))
-    met = parts.select("_r", "_i", "_n", F.expr("substring(_run, _i, _n)").alias("t")).join(known, "t")
+    met = _parts(kinds, sizes).join(known, "t")
     # At a start the longest comes first; what begins before the end of the last one taken is passed over.
     held = met.groupBy("_r").agg(F.array_sort(F.collect_list(F.struct("_i", (-F.col("_n")).alias("m"), "t"))).alias("h"))
     taken = "aggregate(h, struct(0 AS upto, cast(array() AS array<struct<_i: int, t: string>>) AS kept), (s, x) -> if(x._i >= s.upto, struct(x._i - x.m AS upto, concat(s.kept, array(struct(x._i AS _i, x.t AS t))) AS kept), s)).kept"

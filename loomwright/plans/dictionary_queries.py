@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomwright.operators import dictionary as D
 from loomwright.operators import rewriting as W
 from loomwright.operators.windows import top_per_group
+from loomwright.session import written
 
 from .registry import query
 from .text_queries import lines
@@ -25,8 +26,10 @@ def _words(t, least: int):
 
 
 def terms_of(t):
-    """(term, canonical, type)."""
-    held = t.documents.select("doc_id", F.explode(_words(t, 6)).alias("term")).distinct().groupBy("term").agg(F.count("*").alias("n")).where("n >= 2")
+    """(term, canonical, type). Two documents hold a word where their ids differ, so no (document, word) rows are shuffled."""
+    words = t.documents.select("doc_id", F.explode(_words(t, 6)).alias("term")).groupBy("term")
+    ids = words.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.max(F.col("doc_id").isNull()).alias("none"))
+    held = written(ids.where("a <> b OR (none AND a IS NOT NULL)").select("term"), "terms")
     return held.select("term", F.upper(F.substring("term", 1, 5)).alias("canonical"), (F.length("term") % 4).alias("type"))
 
 
@@ -37,7 +40,7 @@ def _low(t, *columns: str):
 @query("tx11_vocabulary_hits", f"WITH {_TERMS}, {_RUNS}, h AS (SELECT doc_id, list(term ORDER BY length(term) DESC, term) AS hits FROM held GROUP BY doc_id) SELECT doc_id, coalesce(hits, []) AS hits FROM documents LEFT JOIN h USING (doc_id)")
 def _(t):
     """Terms of a vocabulary that a text holds, whatever the case, the longest first, then as the vocabulary has them."""
-    held = D.held_terms(_low(t), ["doc_id"], "low", terms_of(t).select("term"), "term").select("doc_id", "term")
+    held = D.held_terms(_low(t), ["doc_id"], "low", terms_of(t).select("term"), "term", repeated=True).select("doc_id", "term")
     ordered = F.transform(F.sort_array(F.collect_set(F.struct((-F.length("term")).alias("n"), "term"))), lambda x: x["term"])
     hits = held.groupBy("doc_id").agg(ordered.alias("hits"))
     return t.documents.select("doc_id").join(hits, "doc_id", "left").select("doc_id", F.coalesce("hits", F.array().cast("array<string>")).alias("hits"))
@@ -45,7 +48,7 @@ def _(t):
 
 @query("ir8_glossary_documents", f"WITH {_TERMS}, {_RUNS} SELECT term, doc_id FROM (SELECT term, doc_id, row_number() OVER (PARTITION BY term ORDER BY n_chars DESC, doc_id) AS k FROM held JOIN documents USING (doc_id)) WHERE k <= 30")
 def _(t):
-    """Documents that hold a glossary term, the 30 longest of each: one pass over the texts for all terms."""
+    """Documents that hold a glossary term, the 30 longest of each: their runs of letters meet all terms at once."""
     held = D.held_terms(_low(t, "n_chars"), ["doc_id", "n_chars"], "low", terms_of(t).select("term"), "term")
     return top_per_group(held, ["term"], [F.desc("n_chars"), "doc_id"], 30).select("term", "doc_id")
 
@@ -57,7 +60,7 @@ def _(t):
 )
 def _(t):
     """Names that documents without links (here those of other languages) hold, by their longest mention, 15 of each document."""
-    held = D.held_terms(_low(t, "lang").where("lang <> 'en'"), ["doc_id"], "low", terms_of(t), "term")
+    held = D.held_terms(_low(t, "lang").where("lang <> 'en'"), ["doc_id"], "low", terms_of(t), "term", repeated=True)
     return D.first_longest(held, ["doc_id"], "term", "canonical", 15)
 
 
@@ -70,7 +73,7 @@ def _(t):
     """Every term that a text holds; of a canonical name's terms the shortest, of equally long ones the last added."""
     g = terms_of(t)
     every = g.select("term", "canonical", F.lit(1).alias("category")).unionByName(g.where(F.length("term") >= 9).select("term", F.upper(F.right("term", F.lit(4))).alias("canonical"), F.lit(2).alias("category")))
-    held = D.held_terms(_low(t), ["doc_id"], "low", D.index_terms(every, "term", ["category"]), "term")
+    held = D.held_terms(_low(t), ["doc_id"], "low", D.index_terms(every, "term", ["category"]), "term", repeated=True)
     return D.one_mention(held, ["doc_id"], "term", "canonical", "category").withColumnRenamed("term", "mention")
 
 
@@ -82,7 +85,7 @@ def _(t):
 def _(t):
     """Names of a text, without untyped ones (type 3), by how many texts hold them, eight at most."""
     kinds = D.typed(terms_of(t), "term", "canonical", "type")
-    held = D.held_terms(_low(t), ["doc_id"], "low", kinds, "term")
+    held = D.held_terms(_low(t), ["doc_id"], "low", kinds, "term", repeated=True)
     top = D.most_frequent(held, ["doc_id"], "canonical", 8, F.col("type") != 3)
     return top.groupBy("doc_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "canonical"))), lambda s: s["canonical"]).alias("names"))
 

@@ -377,3 +377,22 @@ def test_stored_index_search_ships_only_the_best_of_each_block(spark, monkeypatc
         assert rows(made.search(asked, "q", "text", 3).select("query", "doc", "score")) == want
         blocks = made._documents().count()
         assert max(seen) <= blocks * asked.count() * (3 + 1)
+
+
+def test_held_terms_need_no_pass_for_each_block_of_terms(spark, monkeypatch):
+    """Terms without separators are found by runs, each text's and each term's rows apart; others, and texts of long runs, by blocks."""
+    blocks = []
+    by_quotes = dictionary.held_quotes
+    monkeypatch.setattr(dictionary, "held_quotes", lambda *a: blocks.append(1) or by_quotes(*a))
+    texts = [(1, "abcabcab, xabc-äbc"), (2, None), (3, ""), (4, "bcabc abca"), (4, "bcabc abca"), (None, "ab\U0001f600bc c.a"), (6, "abcab " * 3 + "z" * 30)]
+    t = spark.createDataFrame(texts, "id long, body string")
+    plain = [("ab", 1), ("ab", 1), ("abc", 2), ("bca", 3), ("äb", 4), ("c", 5), ("\U0001f600b", 6), ("", 7), (None, 8)]
+    for terms, long, by_blocks in ((plain, 10_000, 0), ([*plain, ("c.a", 9)], 10_000, 1), (plain, 20, 1)):
+        monkeypatch.setattr(dictionary, "LONG_RUN", long)
+        blocks.clear()
+        g = spark.createDataFrame(terms, "term string, ord int")
+        want = sorted(((i, x, o) for i, s in texts for x, o in terms if x and x in (s or "")), key=str)
+        assert rows(dictionary.held_terms(t, ["id"], "body", g, "term").select("id", "term", "ord")) == want
+        assert len(blocks) == by_blocks
+        assert set(rows(dictionary.held_terms(t, ["id"], "body", g, "term", repeated=True).select("id", "term", "ord"))) == set(want)
+    assert dictionary.held_terms(t, ["id"], "body", g.limit(0), "term").count() == 0
