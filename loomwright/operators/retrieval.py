@@ -103,7 +103,7 @@ def _mask(terms: np.ndarray) -> np.ndarray:
     return maybe
 
 
-def _scored_dense(docs: DataFrame, doc_id: str, doc_text: str, query: StructField, pairs: list) -> DataFrame:
+def _scored_dense(docs: DataFrame, doc_id: str, doc_text: str, query: StructField, pairs: list, best: int | None) -> DataFrame:
     """(query, doc, score) for queries given as (query, term) rows, which are few; ``query``: their ids' type."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("doc"), F.col(doc_text).alias("text"))
@@ -137,7 +137,7 @@ def _scored_dense(docs: DataFrame, doc_id: str, doc_text: str, query: StructFiel
 
     def score(batches):
         terms, idf, avgdl, asked, labels = known.value
-        maybe = _mask(terms)
+        maybe, floor = _mask(terms), np.zeros(len(labels))
         for big in batches:
             for at in range(0, big.num_rows, step):
                 batch = big.slice(at, step)
@@ -145,21 +145,25 @@ def _scored_dense(docs: DataFrame, doc_id: str, doc_text: str, query: StructFiel
                 with np.errstate(divide="ignore", invalid="ignore"):
                     w = np.where(tf > 0, idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl[:, None] / avgdl)), 0.0)
                 s = w @ asked
-                d, q = np.nonzero(s)
+                if best is not None and len(s) >= best:
+                    # What is just below the best so far stays, as scores are rounded later.
+                    floor = np.maximum(floor, np.partition(s, len(s) - best, axis=0)[len(s) - best] - 1e-3)
+                d, q = np.nonzero((s != 0) & (s >= floor))
                 yield pa.RecordBatch.from_arrays([labels.take(pa.array(q)), batch.column(0).take(pa.array(d)), pa.array(s[d, q])], ["query", "doc", "score"])
 
     return rows.mapInArrow(score, schema)
 
 
-def bm25(docs: DataFrame, queries: DataFrame, doc_id: str, doc_text: str, query_id: str, query_text: str) -> DataFrame:
+def bm25(docs: DataFrame, queries: DataFrame, doc_id: str, doc_text: str, query_id: str, query_text: str, best: int | None = None) -> DataFrame:
     """(query, doc, score) of all pairs that share a term. A term counts once in a query. Document
-    frequencies and the mean length are those of all of ``docs``; null texts count as empty."""
+    frequencies and the mean length are those of all of ``docs``; null texts count as empty. With ``best``, pairs may be left out
+    that are not among the ``best`` highest scores of their query, rounded to 3 places or more."""
     spark = docs.sparkSession
     ship_package(spark)
     terms = written(_query_terms(queries, query_id, query_text), "terms")
     size = terms.agg(F.countDistinct("query").alias("q"), F.countDistinct("term").alias("t")).first()
     if 0 < size["t"] <= DENSE_TERMS and FEW_QUERIES < size["q"] <= DENSE_QUERIES:
-        return _scored_dense(docs, doc_id, doc_text, terms.schema["query"], terms.collect())
+        return _scored_dense(docs, doc_id, doc_text, terms.schema["query"], terms.collect(), best)
     wanted = None
     if size["t"] <= MAX_TERMS:
         wanted = spark.sparkContext.broadcast(np.sort(np.array([r["term"] for r in terms.select("term").distinct().collect()], np.int64)))

@@ -63,7 +63,7 @@ def _(t):
 def _(t):
     """The five best documents for every benchmark item."""
     q = t.benchmark.select("item_id", F.col("text").alias("q"))
-    s = R.bm25(t.documents, q, "doc_id", "text", "item_id", "q").withColumn("score", F.round("score", 4))
+    s = R.bm25(t.documents, q, "doc_id", "text", "item_id", "q", best=5).withColumn("score", F.round("score", 4))
     return W.top_per_group(s, ["query"], [F.desc("score"), "doc"], 5)
 
 

@@ -396,3 +396,16 @@ def test_held_terms_need_no_pass_for_each_block_of_terms(spark, monkeypatch):
         assert len(blocks) == by_blocks
         assert set(rows(dictionary.held_terms(t, ["id"], "body", g, "term", repeated=True).select("id", "term", "ord"))) == set(want)
     assert dictionary.held_terms(t, ["id"], "body", g.limit(0), "term").count() == 0
+
+
+def test_batch_scores_that_cannot_be_among_the_best_stay_in_their_task(spark, monkeypatch):
+    from loomwright.operators import retrieval as R
+    from loomwright.operators.windows import top_per_group
+
+    monkeypatch.setattr(R, "CELLS", 20_000)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(docs.selectExpr("doc_id + 100000 AS doc_id", "text"))
+    queries = spark.read.parquet(f"{SF}/benchmark.parquet").select(F.col("item_id").alias("q"), "text").limit(12)
+    top = lambda s: rows(top_per_group(s.withColumn("score", F.round("score", 4)), ["query"], [F.desc("score"), "doc"], 3))
+    every, few = (R.bm25(docs, queries, "doc_id", "text", "q", "text", best=k).cache() for k in (None, 3))
+    assert top(every) == top(few) and few.count() < every.count() / 2
