@@ -33,26 +33,46 @@ def clauses(suggestion: Column) -> Column:
     return F.transform(F.regexp_extract_all(F.coalesce(suggestion, F.lit("")), F.lit(CLAUSE), F.lit(0)), one)
 
 
+def _named(value: Column, body) -> Column:
+    """``body`` of ``value``, which is evaluated once however often ``body`` uses it: the variable of a function over one item. Columns that are
+    spelled out are evaluated wherever they stand."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def suggested(suggestion: Column, old: dict[str, Column]) -> Column:
     """A suggestion's new values by field (null: unchanged), how the claim came about (``mode``), and numbers in new values that the
     old record doesn't hold. Of several clauses for a field the last one counts; a suggestion of ten characters or more without
     any clause, and without words that ask for no change, is a claim as a whole."""
-    all_of = clauses(suggestion)
-    about = lambda f: F.filter(all_of, lambda c: (c["field"] == f) & (c["value"] != ""))
-    last = {f: F.try_element_at(about(f), F.lit(-1)) for f in FIELDS}
-    new = {f: last[f]["value"] for f in FIELDS}
-    claim, value, action = F.coalesce(old["claim"], F.lit("")), last["claim"]["value"], last["claim"]["action"]
-    ended = F.when(value.endswith("。"), value).otherwise(F.concat(value, F.lit("。")))
-    keeps = F.exists(F.array(*map(F.lit, NO_CHANGE)), lambda w: F.contains(suggestion, w))
-    whole = (F.size(F.filter(all_of, lambda c: c["field"].isNotNull())) == 0) & (F.length(F.trim(suggestion)) >= 10) & ~keeps
-    new["claim"] = (
-        F.when(action == "append", F.concat(claim, value)).when(action == "last", F.concat(F.regexp_extract(claim, "^[^。？！；]*", 0), F.lit("。"), ended))
-        .when(action == "replace", value).when(whole, F.trim(suggestion))
-    )
-    mode = F.when(action.isNotNull(), action).when(whole, "whole").when(F.coalesce(*new.values()).isNotNull(), "fields").otherwise("none")
     before = F.concat_ws(" ", *[old[f] for f in FIELDS if f in old])
-    numbers = F.array_sort(F.array_distinct(F.regexp_extract_all(F.concat_ws(" ", *new.values()), F.lit(NUMBER), F.lit(0))))
-    return F.struct(*[new[f].alias(f) for f in FIELDS], mode.alias("mode"), F.filter(numbers, lambda n: ~F.contains(before, n)).alias("new_numbers"))
+    old_claim = F.coalesce(old["claim"], F.lit(""))
+
+    def of_text(text: Column) -> Column:
+        return _named(clauses(text), lambda all_of: of_clauses(text, all_of))
+
+    def of_clauses(text: Column, all_of: Column) -> Column:
+        about = lambda f: F.filter(all_of, lambda c: (c["field"] == f) & (c["value"] != ""))
+        keeps = F.exists(F.array(*map(F.lit, NO_CHANGE)), lambda w: F.contains(text, w))
+        whole = (F.size(F.filter(all_of, lambda c: c["field"].isNotNull())) == 0) & (F.length(F.trim(text)) >= 10) & ~keeps
+        last = F.struct(*[F.try_element_at(about(f), F.lit(-1)).alias(f) for f in FIELDS], F.when(whole, F.trim(text)).alias("whole"))
+        return _named(last, of_last)
+
+    def of_last(last: Column) -> Column:
+        value, action, whole = last["claim"]["value"], last["claim"]["action"], last["whole"]
+        ended = F.when(value.endswith("。"), value).otherwise(F.concat(value, F.lit("。")))
+        claim = (
+            F.when(action == "append", F.concat(old_claim, value)).when(action == "last", F.concat(F.regexp_extract(old_claim, "^[^。？！；]*", 0), F.lit("。"), ended))
+            .when(action == "replace", value).otherwise(whole)
+        )
+        others = [last[f]["value"].alias(f) for f in FIELDS if f != "claim"]
+        mode = F.when(action.isNotNull(), action).when(whole.isNotNull(), "whole").when(F.coalesce(claim, *others).isNotNull(), "fields").otherwise("none")
+        return _named(F.struct(claim.alias("claim"), *others, mode.alias("mode")), of_values)
+
+    def of_values(new: Column) -> Column:
+        numbers = F.array_sort(F.array_distinct(F.regexp_extract_all(F.concat_ws(" ", *[new[f] for f in FIELDS]), F.lit(NUMBER), F.lit(0))))
+        held = _named(before, lambda held: F.filter(numbers, lambda n: ~F.contains(held, n)))
+        return F.struct(*[new[f].alias(f) for f in FIELDS], new["mode"].alias("mode"), held.alias("new_numbers"))
+
+    return _named(suggestion, of_text)
 
 
 KINDS, SCOPES, GRADES = ("mechanism", "experiment", "reject", "pending"), ("universal", "instance", "example"), ("high", "mid", "low")

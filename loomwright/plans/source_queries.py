@@ -11,7 +11,7 @@ from loomwright.functions import records as X
 from loomwright.functions import text as T
 from loomwright.functions.sequential import numeral_rewriter
 from loomwright.operators import external
-from loomwright.session import new_folder, written
+from loomwright.session import new_folder, spread, written
 from loomwright.sources import sinks
 from loomwright.sources import transcripts as S
 
@@ -263,7 +263,7 @@ _ANSWER = """CASE WHEN p_partkey % 11 = 0 THEN '[' || p_size || ']' WHEN p_partk
 )
 def _(t):
     """Model answers in one shape."""
-    return t.part.select("p_partkey", A.answer(F.expr(_ANSWER)).alias("a")).select("p_partkey", "a.*")
+    return spread(t.part).select("p_partkey", A.answer(F.expr(_ANSWER)).alias("a")).select("p_partkey", "a.*")
 
 
 #: Suggestions of one and more clauses, made of a part's columns.
@@ -285,7 +285,7 @@ _CLAUSE = A.CLAUSE.replace("'", "''")
 def _(t):
     """Suggested changes as new values by field."""
     old = {"claim": F.concat("p_name", F.lit("；"), "p_size"), "subject": F.col("p_brand"), "condition": F.col("p_type")}
-    return t.part.select("p_partkey", A.suggested(F.expr(_SUGGESTION), old).alias("f")).select("p_partkey", "f.*")
+    return spread(t.part).select("p_partkey", A.suggested(F.expr(_SUGGESTION), old).alias("f")).select("p_partkey", "f.*")
 
 
 @query("lm1_external_calls", "SELECT p_partkey, CASE p_partkey % 4 WHEN 3 THEN NULL ELSE CASE p_partkey % 4 WHEN 2 THEN 'second' ELSE 'first' END || ':' || p_name END AS answer, CASE WHEN p_partkey % 4 >= 2 THEN 'second' ELSE 'first' END AS model, CASE p_partkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 ELSE 2 END AS tries, CASE p_partkey % 4 WHEN 3 THEN 400 ELSE 200 END AS status FROM part")

@@ -64,6 +64,17 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return out
 
 
+#: Rows of a task where the work on each is heavy.
+ROWS = 20_000
+
+
+def spread(df: DataFrame, rows: int = 0) -> DataFrame:
+    """``df`` dealt into tasks of some ``rows`` (``ROWS``) each, for heavy work on rows: one small file is one task's otherwise, however many
+    rows it has. A plain read of Parquet files is counted from their footers."""
+    parts = -(-df.count() // (rows or ROWS))
+    return df.repartition(parts) if parts > 1 else df
+
+
 def forget(*tables: DataFrame) -> None:
     """Delete tables that ``written`` stored and that no later read needs. What others were derived from must
     have been consumed: a lazy result that still reads one fails."""
