@@ -9,6 +9,7 @@ from loomwright.operators import folds
 from loomwright.operators.graph import connected_components
 from loomwright.operators.joins import first_of
 from loomwright.operators.nested import json_strings
+from loomwright.session import spread
 
 from .registry import query
 from .text_queries import lines
@@ -16,12 +17,12 @@ from .window_queries import events
 
 @query("tx13_ratio")
 def _(t):
-    return t.part.select("p_partkey", F.round(S.ratio(F.lower("p_name"), F.lower("p_type")), 6).alias("ratio"))
+    return spread(t.part).select("p_partkey", F.round(S.ratio(F.lower("p_name"), F.lower("p_type")), 6).alias("ratio"))
 
 
 @query("tx14_edit_breakdown")
 def _(t):
-    return t.part.select("p_partkey", S.edits(F.lower("p_name"), F.lower("p_type")).alias("e")).select("p_partkey", "e.*")
+    return spread(t.part).select("p_partkey", S.edits(F.lower("p_name"), F.lower("p_type")).alias("e")).select("p_partkey", "e.*")
 
 
 @query("tx20_json_strings", "SELECT doc_id, path, value FROM (SELECT doc_id, '$.meta.lang' AS path, lang AS value FROM documents UNION ALL SELECT doc_id, '$.meta.parts[0]', source FROM documents UNION ALL SELECT doc_id, '$.meta.parts[1].lines[' || i || ']', x FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, unnest(range(length(text) + 1)) AS i FROM documents)) WHERE value IS NOT NULL")
