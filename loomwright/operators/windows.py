@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomwright.session import written
+from loomwright.session import tasks_of, written
 
 
 def gap_sessions(df: DataFrame, time: str, gap, keys: list[str], order: list[str], name: str = "session") -> DataFrame:
@@ -58,6 +58,7 @@ def place_in_order(df: DataFrame, order: list[str], name: str, keys: tuple[str,
 
 def interval_union(df: DataFrame, start: str, end: str, keys: list[str], touching: bool = True, slack=0) -> DataFrame:
     """Unions of overlapping intervals; with ``touching`` equal ends merge, with ``slack`` gaps below it do."""
+    df = df.repartition(tasks_of(df), *keys)
     w = Window.partitionBy(*keys).orderBy(start, end)
     before = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
     apart = F.col(start) > before + slack if touching else F.col(start) >= before + slack

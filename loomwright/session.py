@@ -75,6 +75,17 @@ def spread(df: DataFrame, rows: int = 0) -> DataFrame:
     return df.repartition(parts) if parts > 1 else df
 
 
+#: Rows of a task that sorts or hashes them.
+TASK_ROWS = 400_000
+
+
+def tasks_of(df: DataFrame) -> int:
+    """Into how many tasks the rows of ``df`` are dealt, so that a task's memory does not grow with the table: joined and merged by size
+    of their compressed shuffle files, narrow rows would be millions in a task. A plain read of Parquet files is counted from their footers."""
+    n = df.count()
+    return max(1, -(-n // TASK_ROWS), min(df.sparkSession.sparkContext.defaultParallelism, -(-n // 20_000)))
+
+
 def forget(*tables: DataFrame) -> None:
     """Delete tables that ``written`` stored and that no later read needs. What others were derived from must
     have been consumed: a lazy result that still reads one fails."""
