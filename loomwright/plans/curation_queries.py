@@ -9,6 +9,7 @@ from loomwright.functions import text as T
 from loomwright.operators import joins as J
 from loomwright.operators import windows as W
 from loomwright.operators.containment import held_quotes
+from loomwright.session import tasks_of
 
 from .registry import query
 from .text_queries import LINES, lines
@@ -301,9 +302,12 @@ def _(t):
 def _(t):
     """Members that answers name: unknown ids go, the first issue that names one keeps it."""
     pos = F.row_number().over(Window.partitionBy("o_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey"))
-    a = t.orders.select("o_custkey", "o_orderkey").join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_custkey").alias("bucket"), F.col("o_orderkey").alias("issue"), F.col("l_partkey").alias("member"), pos.alias("pos"))
-    known = t.part.where("p_size > 3").select(F.col("p_partkey").alias("member"))
-    return J.first_of(a.join(known, "member", "left_semi"), ["member"], ["bucket", "issue", "pos"]).select("member", "bucket", "issue")
+    n = tasks_of(t.lineitem)
+    orders = t.orders.select("o_custkey", "o_orderkey").repartition(n, "o_orderkey")
+    lines_ = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").repartition(n, "l_orderkey")
+    a = orders.join(lines_, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_custkey").alias("bucket"), F.col("o_orderkey").alias("issue"), F.col("l_partkey").alias("member"), pos.alias("pos"))
+    known = t.part.where("p_size > 3").select(F.col("p_partkey").alias("member")).repartition(n, "member")
+    return J.first_of(a.repartition(n, "member").join(known, "member", "left_semi"), ["member"], ["bucket", "issue", "pos"]).select("member", "bucket", "issue")
 
 
 @query("ex1_variant_matrix", "SELECT v, lang, count(*) AS n, sha256(string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id)) AS signature FROM documents, (VALUES ('off', 0), ('short', 500), ('long', 2000)) x(v, floor) WHERE n_chars >= floor GROUP BY ALL")
