@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loomwright.operators import joins as J
 from loomwright.operators import windows as W
+from loomwright.session import tasks_of
 
 from .registry import query
 from .text_queries import LINES, lines
@@ -42,8 +43,11 @@ def _(t):
 @query("jn6_status_max", "SELECT l_partkey AS p, max(CASE o_orderstatus WHEN 'F' THEN 2 WHEN 'O' THEN 1 ELSE 0 END)::BIGINT AS status_rank, count(DISTINCT o_orderkey) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey")
 def _(t):
     rank = F.when(F.col("o_orderstatus") == "F", 2).when(F.col("o_orderstatus") == "O", 1).otherwise(0).cast("long")
-    j = t.lineitem.select("l_partkey", "l_orderkey").join(t.orders.select("o_orderkey", "o_orderstatus"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return j.groupBy(F.col("l_partkey").alias("p")).agg(F.max(rank).alias("status_rank"), F.countDistinct("o_orderkey").alias("n"))
+    n = tasks_of(t.lineitem)
+    lines_, orders = t.lineitem.select("l_partkey", "l_orderkey").repartition(n, "l_orderkey"), t.orders.select("o_orderkey", "o_orderstatus").repartition(n, "o_orderkey")
+    j = lines_.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("l_partkey").alias("p"), "o_orderkey", rank.alias("r"))
+    once = j.repartition(n, "p", "o_orderkey").groupBy("p", "o_orderkey").agg(F.max("r").alias("r"))
+    return once.groupBy("p").agg(F.max("r").alias("status_rank"), F.count("o_orderkey").alias("n"))
 
 
 @query("jn7_shared_entities", "SELECT a.item_id, b.doc_id, count(*) AS shared FROM (SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '[a-z]{9,}')) AS w FROM benchmark) a JOIN (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{9,}')) AS w FROM documents) b ON a.w = b.w GROUP BY ALL")
@@ -58,8 +62,11 @@ def _(t):
 )
 def _(t):
     """Pairs of suppliers that share two orders or more, blocked on the order."""
-    e = t.lineitem.select(F.col("l_orderkey").alias("o"), F.col("l_suppkey").alias("s")).distinct()
-    return e.withColumnRenamed("s", "s1").join(e.withColumnRenamed("s", "s2"), "o").where("s1 < s2").groupBy("s1", "s2").agg(F.count("*").alias("shared")).where("shared >= 2")
+    n = tasks_of(t.lineitem)
+    e = t.lineitem.select(F.col("l_orderkey").alias("o"), F.col("l_suppkey").alias("s")).repartition(n, "o").distinct()
+    pairs = e.withColumnRenamed("s", "s1").join(e.withColumnRenamed("s", "s2"), "o").where("s1 < s2").select("s1", "s2")
+    # An order of few suppliers makes one or two pairs of a line.
+    return pairs.repartition(3 * n, "s1", "s2").groupBy("s1", "s2").agg(F.count("*").alias("shared")).where("shared >= 2")
 
 
 @query(
