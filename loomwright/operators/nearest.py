@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loomwright.session import ship_package, written
 
 #: Vectors in a block, which is broadcast, and in one step against it.
-BLOCK, STEP = 20_000, 500
+BLOCK, STEP = 5_000, 500
 
 
 def nearest_cosine(vectors: DataFrame, key: str, vector: str, places: int = 6) -> DataFrame:
@@ -38,7 +38,8 @@ def nearest_cosine(vectors: DataFrame, key: str, vector: str, places: int = 6) -
                     batch = big.slice(at, STEP)
                     k = batch.column(0).to_numpy()
                     x = unit(np.array(batch.column(1).to_pylist(), float).reshape(len(k), -1))
-                    c = np.round(x @ matrix.T, places)
+                    c = x @ matrix.T
+                    np.round(c, places, out=c)
                     c[k[:, None] == others[None, :]] = -1.0
                     # Others are in the order of their keys, and the first of equal ones is taken.
                     j = c.argmax(axis=1)
